@@ -347,3 +347,108 @@ ORACLES = {
     "train_union": ("select * from (" + _dataset(TRAIN_FIELDS) + ") union all select * from ("
                     + _dataset(VALIDATE_FIELDS) + ")"),
 }
+
+
+# ---- row-level features, calendar, task5 blocks, other datasets ---------------
+def _iso(col="date_received"):
+    return f"cast(isodow({col}) as integer)"
+
+
+CALENDAR_SQL = (
+    "select user_id, coupon_id, date_received, distance, "
+    f"{_iso()} as week_iso, case when {_iso()} in (5, 6) then 1 else 0 end as is_weekend_iso, "
+    + ", ".join(f"case when {_iso()} = {i} then 1 else 0 end as week_{i}" for i in range(1, 8))
+    + f", cast({_iso()} - 1 as integer) as week0, case when {_iso()} - 1 in (5, 6) then 1 else 0 end as is_weekend0, "
+    + ", ".join(f"case when {_iso()} - 1 = {i} then 1 else 0 end as wd0_{i}" for i in range(7))
+    + ", case when distance = -1 then 1 else 0 end as isnull_Distance from L0")
+
+SIMPLE_COLS = {
+    "simple_User_id_receive_cnt": "user_id",
+    "simple_User_id_Coupon_id_receive_cnt": "user_id, coupon_id",
+    "simple_User_id_Date_received_receive_cnt": "user_id, date_received",
+    "simple_User_id_Coupon_id_Date_received_receive_cnt": "user_id, coupon_id, date_received",
+}
+# task5 counts as window functions over the label rows (a second formulation).
+SIMPLE_SELECT = ", ".join(
+    [f"cast(count(*) over (partition by {k}) as bigint) as {n}" for n, k in SIMPLE_COLS.items()]
+    + ["case when count(*) over (partition by user_id, coupon_id, date_received) > 1 then 1 else 0 end "
+       "as simple_User_id_Coupon_id_Date_received_repeat_receive"])
+
+P = "history_field_User_id_"
+USER_BLOCK_CTE = f"""ub as (
+  select user_id,
+    count(*) as rc, count(distinct merchant_id) as dm,
+    count_if(date_used is not null) as cc, count_if(date_used is null) as nc,
+    {_mean('case when date_used is not null then discount_rate end')} as mr,
+    {_mean('case when date_used is not null and distance <> -1 then distance end')} as md,
+    count(distinct case when date_used is not null then merchant_id end) as cdm
+  from L0 group by user_id)"""
+USER_BLOCK_SELECT = ", ".join([
+    f'cast(coalesce(ub.rc, 0) as bigint) as "{P}receive_cnt"',
+    f'cast(coalesce(ub.dm, 0) as bigint) as "{P}receive_differ_Merchant_cnt"',
+    f'cast(coalesce(ub.cc, 0) as bigint) as "{P}receive_and_consume_cnt"',
+    f'cast(coalesce(ub.nc, 0) as bigint) as "{P}receive_not_consume_cnt"',
+    f'case when coalesce(ub.rc, 0) = 0 then 0.0 else cast(coalesce(ub.cc, 0) as double) / cast(ub.rc as double) end as "{P}receive_and rate"',
+    f'coalesce(ub.mr, 0.0) as "{P}receive_and_consume_mean_discount_rate"',
+    f'coalesce(ub.md, 0.0) as "{P}receive_and_consume_mean_distance"',
+    f'cast(coalesce(ub.cdm, 0) as bigint) as "{P}receive_and_consume_differ_Merchant_cnt"',
+    f'case when coalesce(ub.dm, 0) = 0 then 0.0 else cast(coalesce(ub.cdm, 0) as double) / cast(ub.dm as double) end as "{P}receive_differ_Merchant_consume_rate"',
+])
+
+COMPACT_FEATURES = [
+    "consume", "min_distance_x", "max_distance_x", "mean_distance", "receive_buy_mean_rate",
+    "Coupon_amount", "User_received_total_coupon", "manjian_coupon", "User_Date_received_x",
+    "User_manjian_rate", "User_Date_received_special_Coupon",
+    "User_if_same_Date_received_special_Coupon", "get_consume", "receive_use_mean",
+    "receive_use_max", "receive_use_min", "cunsume_cnt_x", "Merchant_use_coupon_amount",
+    "receive_consume_cnt", "receive_cnt_x", "cut_price", "cunsume_cnt_y", "receive_rate",
+    "receive_coupon_in_different_merchant", "receive_use__coupon_in_different_merchant",
+    "receive1_cnt", "User_Merchant_manjian_coupon", "User_Merchant_manjian_rate",
+    "User_received_Distance", "receive_cnt_y", "User_Date_received_y", "min_discount_rate",
+    "max_discount_rate", "min_distance_y", "max_distance_y", "receive_cnt",
+    "Merchant_received_special_coupon", "different_rate_coupon_amount",
+]
+
+_BASE_COLS = ["user_id", "coupon_id", "date_received", "distance", "is_manjian", "discount_rate",
+              "min_cost_of_manjian", "null_distance"]
+
+COMPACT_SELECT = ",\n  ".join(
+    _BASE_COLS + [f'"{n}"' for n in COMPACT_FEATURES]
+    + [f"{_iso()} as week", f"case when {_iso()} in (5, 6) then 1 else 0 end as is_weekend"]
+    + [f"case when {_iso()} = {i} then 1 else 0 end as week_{i}" for i in range(1, 8)]
+    + ["case when distance = -1 then 1 else 0 end as isnull_Distance", "label"])
+
+_UB_DATASET_COLS = (_BASE_COLS + list(SIMPLE_COLS) + ["simple_User_id_Coupon_id_Date_received_repeat_receive"]
+                    + [P + c for c in ["receive_cnt", "receive_differ_Merchant_cnt", "receive_and_consume_cnt",
+                                       "receive_not_consume_cnt", "receive_and rate",
+                                       "receive_and_consume_mean_discount_rate",
+                                       "receive_and_consume_mean_distance",
+                                       "receive_and_consume_differ_Merchant_cnt",
+                                       "receive_differ_Merchant_consume_rate"]]
+                    + ["week", "is_weekend"] + [f"week_{i}" for i in range(7)] + ["label"])
+
+USER_BLOCK_DATASET = (
+    _with(BASE, TRAIN_FIELDS, USER_BLOCK_CTE)
+    + "select distinct * from (select L.user_id, L.coupon_id, L.date_received, L.distance, L.is_manjian, "
+    "L.discount_rate, L.min_cost_of_manjian, L.null_distance, "
+    + SIMPLE_SELECT.replace("partition by user_id", "partition by L.user_id") + ", " + USER_BLOCK_SELECT
+    + f", cast({_iso('L.date_received')} - 1 as integer) as week, "
+    f"case when {_iso('L.date_received')} - 1 in (5, 6) then 1 else 0 end as is_weekend, "
+    + ", ".join(f"case when {_iso('L.date_received')} - 1 = {i} then 1 else 0 end as week_{i}" for i in range(7))
+    + ", L.label from L left join ub on L.user_id = ub.user_id) t where "
+    + " and ".join(f'"{c}" is not null' for c in _UB_DATASET_COLS))
+
+ORACLES.update({
+    "feat_ratios": (_with(BASE, TRAIN_FIELDS, FEATURE_TABLES, JOINED)
+                    + "select user_id, merchant_id, coupon_id, date_received, distance, "
+                    + ", ".join(RATIOS) + " from joined"),
+    "feat_calendar": _with(BASE, TRAIN_FIELDS) + CALENDAR_SQL,
+    "task5_simple": _with(BASE, TRAIN_FIELDS) + (
+        "select user_id, merchant_id, coupon_id, date_received, " + SIMPLE_SELECT + " from L"),
+    "task5_user_block": (_with(BASE, TRAIN_FIELDS, USER_BLOCK_CTE)
+                         + "select L0.user_id, merchant_id, coupon_id, date_received, " + USER_BLOCK_SELECT
+                         + " from L0 left join ub on L0.user_id = ub.user_id"),
+    "dataset_compact": (_with(BASE, TRAIN_FIELDS, FEATURE_TABLES, JOINED)
+                        + f"select distinct\n  {COMPACT_SELECT}\nfrom joined"),
+    "dataset_user_block": USER_BLOCK_DATASET,
+})
