@@ -193,3 +193,80 @@ QUERIES = {
     "dataset_user_block": q_dataset_user_block,
     "train_union": q_train_union,
 }
+
+
+# ---- clustering ------------------------------------------------------------------------
+from promo_engine.operators import cluster as CU  # noqa: E402
+from promo_engine.sources.tables import read_table  # noqa: E402
+
+
+def _points(spark, sf):
+    return CU.embedding_points(read_table(spark, sf, "embeddings"))
+
+
+def q_centroid_distance(spark, sf):
+    """Distance of every embedding to its class centroid."""
+    return CU.centroid_distances(_points(spark, sf), "label")
+
+
+def _label_centres(pts):
+    rows = CU.cluster_means(pts.withColumnRenamed("label", "cluster")).orderBy("cluster").collect()
+    return [list(r["centre"]) for r in rows]
+
+
+def q_lloyd_step(spark, sf):
+    """One exact Lloyd pass over the embeddings, starting from the class
+    centroids (k = number of classes)."""
+    pts = _points(spark, sf)
+    return CU.lloyd_step_table(pts.select("id", "p"), _label_centres(pts))
+
+
+def q_silhouette_labels(spark, sf):
+    """Silhouette (squared Euclidean) of the labelled classes, per class."""
+    pts = _points(spark, sf).withColumnRenamed("label", "cluster")
+    s = CU.silhouette_points(pts)
+    from promo_engine.functions.coupon import stable_mean
+    return s.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_points"),
+                                    stable_mean("silhouette").alias("mean_silhouette"))
+
+
+def q_pca_2d(spark, sf):
+    return CU.pca_2d(_points(spark, sf)).select("id", "x", "y")
+
+
+def _pca_points(spark, sf):
+    return CU.pca_2d(_points(spark, sf)).select("id", "p")
+
+
+def q_kmeans_assign(spark, sf, k: int = 3):
+    """MLlib k-means (k = 3, the default) on the 2-D PCA points."""
+    _, out = CU.mllib_kmeans(_pca_points(spark, sf), k, seed=7)
+    return out.select("id", "cluster", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
+
+
+def q_lloyd_kmeans(spark, sf, k: int = 3):
+    """Exact Lloyd loop (threshold 1e-4 on the summed shift, 21 passes) on the
+    2-D PCA points."""
+    res = CU.lloyd_kmeans(_pca_points(spark, sf), k, seed=7)
+    return res.assigned.select("id", "cluster", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
+
+
+def q_choose_k(spark, sf):
+    return CU.choose_k(_pca_points(spark, sf), seed=7)
+
+
+def q_cluster_report(spark, sf, k: int = 3):
+    _, out = CU.mllib_kmeans(_pca_points(spark, sf), k, seed=7)
+    return CU.cluster_report(out)
+
+
+QUERIES.update({
+    "centroid_distance": q_centroid_distance,
+    "lloyd_step": q_lloyd_step,
+    "silhouette_labels": q_silhouette_labels,
+    "pca_2d": q_pca_2d,
+    "kmeans_assign": q_kmeans_assign,
+    "lloyd_kmeans": q_lloyd_kmeans,
+    "choose_k": q_choose_k,
+    "cluster_report": q_cluster_report,
+})

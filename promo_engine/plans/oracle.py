@@ -452,3 +452,55 @@ ORACLES.update({
                         + f"select distinct\n  {COMPACT_SELECT}\nfrom joined"),
     "dataset_user_block": USER_BLOCK_DATASET,
 })
+
+
+# ---- clustering -----------------------------------------------------------------------
+_FOLD_SQ = "list_reduce(list_transform(list_zip({a}, {b}), lambda s: (s[1] - s[2]) * (s[1] - s[2])), lambda u, v: u + v)"
+_FOLD_ABS = "list_reduce(list_transform(list_zip({a}, {b}), lambda s: abs(s[1] - s[2])), lambda u, v: u + v)"
+_FOLD_DOT = "list_reduce(list_transform(list_zip({a}, {b}), lambda s: s[1] * s[2]), lambda u, v: u + v)"
+
+PTS = """pts as (select vec_id as id, label, cast(embedding as double[]) as p from embeddings),
+ex as (select id, label, unnest(p) as x, unnest(range(len(p))) as pos from pts),
+cent as (select label, list(m order by pos) as centre from (
+  select label, pos, cast(sum(cast(x as decimal(18,9))) as double) / cast(count(x) as double) as m
+  from ex group by label, pos) group by label)"""
+
+LLOYD = f"""d as (select pts.id, pts.p, cent.label as cluster,
+   sqrt({_FOLD_SQ.format(a='pts.p', b='cent.centre')}) as dist from pts cross join cent),
+asg as (select id, p, cluster from (select *, row_number() over (partition by id order by dist, cluster) as rn from d) where rn = 1),
+aex as (select cluster, unnest(p) as x, unnest(range(len(p))) as pos from asg),
+newc as (select cluster, max(n) as n_points, list(m order by pos) as centre from (
+   select cluster, pos, count(*) as n, cast(sum(cast(x as decimal(18,9))) as double) / cast(count(x) as double) as m
+   from aex group by cluster, pos) group by cluster)"""
+
+SIL = f"""xx as (select id, label as cluster, p, {_FOLD_DOT.format(a='p', b='p')} as xx from pts),
+st as (select cluster, count(*) as n, cast(sum(cast(xx as decimal(18,9))) as double) as q from xx group by cluster),
+ss as (select cluster, list(s order by pos) as sp from (
+   select label as cluster, pos, cast(sum(cast(x as decimal(18,9))) as double) as s from ex group by label, pos)
+   group by cluster),
+tot as (select xx.id, xx.cluster as own, st.cluster as c, st.n,
+   (cast(st.n as double) * xx.xx - 2.0 * {_FOLD_DOT.format(a='xx.p', b='ss.sp')}) + st.q as t
+   from xx cross join st join ss on st.cluster = ss.cluster),
+ab as (select id, own,
+   max(case when c = own then n end) as own_n,
+   max(case when c = own and n > 1 then t / cast(n - 1 as double) end) as a,
+   min(case when c <> own then t / cast(n as double) end) as b
+   from tot group by id, own),
+sv as (select id, own as cluster,
+   case when own_n <= 1 or b is null then 0.0
+        else coalesce(case when greatest(a, b) = 0 then null else (b - a) / greatest(a, b) end, 0.0) end as s
+   from ab)"""
+
+ORACLES.update({
+    "centroid_distance": _with(PTS) + (
+        f"select pts.id, pts.label, sqrt({_FOLD_SQ.format(a='pts.p', b='cent.centre')}) as euclidean, "
+        f"{_FOLD_ABS.format(a='pts.p', b='cent.centre')} as manhattan from pts join cent on pts.label = cent.label"),
+    "lloyd_step": _with(PTS, LLOYD) + (
+        "select cent.label as cluster, cast(coalesce(newc.n_points, 0) as bigint) as n_points, "
+        "coalesce(newc.centre, cent.centre) as centre, "
+        f"sqrt({_FOLD_SQ.format(a='cent.centre', b='coalesce(newc.centre, cent.centre)')}) as shift "
+        "from cent left join newc on cent.label = newc.cluster"),
+    "silhouette_labels": _with(PTS, SIL) + (
+        "select cluster, cast(count(*) as bigint) as n_points, "
+        f"{_mean('s')} as mean_silhouette from sv group by cluster"),
+})
