@@ -270,3 +270,34 @@ QUERIES.update({
     "choose_k": q_choose_k,
     "cluster_report": q_cluster_report,
 })
+
+
+# ---- model ---------------------------------------------------------------------------------
+from promo_engine.operators import model as MD  # noqa: E402
+
+
+def _main_sets(spark, sf):
+    cleaned = labelled(spark, sf)
+    sets = {}
+    for s in (TRAIN, VALIDATE, TEST):
+        sets[s.name] = DS.assemble_main(SP.label_field(cleaned, s), SP.history_field(cleaned, s))
+    return DS.train_union(sets["train"], sets["validate"]), sets["test"]
+
+
+def q_gbt_predictions(spark, sf):
+    """Train on train + validation, score the test set (outcome hidden)."""
+    big, test = _main_sets(spark, sf)
+    fm = MD.fit(big, MD.MAIN_PARAMS, rounds=20)
+    return MD.score(fm, test)
+
+
+def q_gbt_importance(spark, sf):
+    big, _ = _main_sets(spark, sf)
+    fm = MD.fit(big, MD.MAIN_PARAMS, rounds=20)
+    return MD.importance(fm)
+
+
+QUERIES.update({
+    "gbt_predictions": q_gbt_predictions,
+    "gbt_importance": q_gbt_importance,
+})
