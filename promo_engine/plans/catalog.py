@@ -14,6 +14,7 @@ from promo_engine.operators import dataset as DS
 from promo_engine.operators import features as FT
 from promo_engine.operators import reports as R
 from promo_engine.operators import user_block as UB
+from promo_engine.plans import materialize as MZ
 from promo_engine.plans import split as SP
 from promo_engine.sources.coupons import coupon_raw
 
@@ -32,8 +33,8 @@ def report_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fields(spark: SparkSession, sf: str, split: SP.SplitSet = TRAIN):
-    cleaned = labelled(spark, sf)
-    return SP.history_field(cleaned, split), SP.label_field(cleaned, split)
+    """(history, label) of a split, read from a table written once per session."""
+    return MZ.fields(spark, labelled(spark, sf), split, token=f"adapter:{sf}")
 
 
 # ---- cleaning / label --------------------------------------------------------
@@ -164,9 +165,9 @@ def q_dataset_user_block(spark, sf):
 
 
 def q_train_union(spark, sf):
-    tr = DS.assemble_main(*reversed(fields(spark, sf, TRAIN)))
-    va = DS.assemble_main(*reversed(fields(spark, sf, VALIDATE)))
-    return DS.train_union(tr, va)
+    h_tr, l_tr = fields(spark, sf, TRAIN)
+    h_va, l_va = fields(spark, sf, VALIDATE)
+    return DS.train_union(DS.assemble_main(l_tr, h_tr), DS.assemble_main(l_va, h_va))
 
 
 QUERIES = {
@@ -277,10 +278,10 @@ from promo_engine.operators import model as MD  # noqa: E402
 
 
 def _main_sets(spark, sf):
-    cleaned = labelled(spark, sf)
     sets = {}
     for s in (TRAIN, VALIDATE, TEST):
-        sets[s.name] = DS.assemble_main(SP.label_field(cleaned, s), SP.history_field(cleaned, s))
+        history, label = fields(spark, sf, s)
+        sets[s.name] = DS.assemble_main(label, history)
     return DS.train_union(sets["train"], sets["validate"]), sets["test"]
 
 
