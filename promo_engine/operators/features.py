@@ -279,23 +279,65 @@ def aggregate_block(label: DataFrame, history: DataFrame | None, keys, specs) ->
     return out.where(keep)
 
 
-def attach(label: DataFrame, history: DataFrame | None, specs: list[Spec]) -> DataFrame:
-    """Left-join every key set's aggregate onto the label rows."""
+def _join_keys(left: DataFrame, right: DataFrame, keys, null_safe_keys=()) -> DataFrame:
+    """Left equi-join on ``keys``; keys in ``null_safe_keys`` match null to null."""
+    if not any(k in null_safe_keys for k in keys):
+        return left.join(right, list(keys), "left")
+    r = right.select(*[F.col(c).alias(f"__k_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"__k_{k}"]) if k in null_safe_keys else (left[k] == r[f"__k_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "left").drop(*[f"__k_{k}" for k in keys])
+
+
+def _null_safe(block: list[Spec]) -> tuple[str, ...]:
+    # The label field's receipt date was coerced (null -> 0) before grouping,
+    # so for label-only key sets a null date is a group of its own.
+    return (DR,) if all(s.src == "L" for s in block) else ()
+
+
+def chains(blocks) -> list[tuple[tuple[str, ...], list]]:
+    """Assign every key set to a maximal key set containing it.
+
+    The label rows then join once per maximal key set ("chain"); the coarser
+    aggregates are first joined onto that chain's key table, which is at most
+    as large as the label field and usually much smaller.
+    """
+    keysets = [k for k, _ in blocks]
+    maximal = [k for k in keysets if not any(set(k) < set(o) for o in keysets)]
+    maximal.sort(key=len, reverse=True)
+    out = {m: [] for m in maximal}
+    for k, b in blocks:
+        home = next(m for m in maximal if set(k) <= set(m))
+        out[home].append((k, b))
+    return list(out.items())
+
+
+def attach(label: DataFrame, history: DataFrame | None, specs: list[Spec], chained: bool = True) -> DataFrame:
+    """Left-join every key set's aggregate onto the label rows.
+
+    ``chained=True`` (default): one join of the label rows per maximal key
+    set; ``chained=False``: one join per key set (the direct formulation,
+    kept for cross-checking).
+    """
+    blocks = group_blocks(specs)
     out = label
-    for keys, block in group_blocks(specs):
-        agg = aggregate_block(label, history, keys, block)
-        null_safe = all(s.src == "L" for s in block)
-        ren = agg.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                         *[s.name for s in block])
-        conds = [(out[k].eqNullSafe(ren[f"__k{i}"]) if null_safe else out[k] == ren[f"__k{i}"])
-                 for i, k in enumerate(keys)]
-        cond = conds[0]
-        for c in conds[1:]:
-            cond = cond & c
-        out = out.join(ren, cond, "left").drop(*[f"__k{i}" for i in range(len(keys))])
-        for s in block:   # first/last receipt flags compare the row with the group value
-            if s.agg in ("first", "last"):
-                out = out.withColumn(s.name, F.when(F.col(s.value) == F.col(s.name), 1).otherwise(0))
+    if not chained:
+        for keys, block in blocks:
+            out = _join_keys(out, aggregate_block(label, history, keys, block), keys, _null_safe(block))
+    else:
+        for top, members in chains(blocks):
+            table = label.select(*top).distinct()
+            for keys, block in members:
+                table = _join_keys(table, aggregate_block(label, history, keys, block), keys,
+                                   _null_safe(block))
+            # the chain table holds exactly the label rows' key combinations
+            # (nulls included), so this join matches null-safe on every key
+            out = _join_keys(out, table, top, top)
+    for s in specs:   # first/last receipt flags compare the row with the group value
+        if s.agg in ("first", "last"):
+            out = out.withColumn(s.name, F.when(F.col(s.value) == F.col(s.name), 1).otherwise(0))
     return out
 
 
