@@ -113,36 +113,41 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def column_sums(df: DataFrame, cols: list[str]) -> DataFrame:
-    """R11 (A15): per-column sums and each column's share of the grand total."""
-    wide = df.agg(*[F.sum(F.col(c)).alias(f"s__{i}") for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c}', cast(`s__{i}` as double)" for i, c in enumerate(cols))
+    """R11 (A15): per-column sums and each column's share of the grand total.
+
+    Sums are taken in decimal(38, 9) so they do not depend on the order the
+    partitions are combined in; the long table has one row per column.
+    """
+    wide = df.agg(*[F.sum(F.col(c).cast("decimal(18,9)")).alias(f"s__{i}") for i, c in enumerate(cols)])
+    stack = ", ".join(f"'{c}', `s__{i}`" for i, c in enumerate(cols))
     long = wide.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, total)")
     grand = F.sum("total").over(Window.partitionBy(F.lit(1)))
-    return long.withColumn("share", F.col("total") / grand)
+    return long.select("column_name", F.col("total").cast("double").alias("total"),
+                       (F.col("total").cast("double") / grand.cast("double")).alias("share"))
 
 
 def box_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     """R12 (A18): box-plot numbers per column.
 
-    Exact quartiles (``percentile``, linear interpolation), whiskers at the
-    most extreme values within 1.5 IQR of the box and the outlier count.  Two
-    passes over the data: quartiles, then whiskers/outliers against the
-    (one row per column) quartile table.
+    Exact quartiles (linear interpolation) by distributed selection
+    (``operators.quantiles``), then one pass for the whiskers -- the most
+    extreme values within 1.5 IQR of the box -- and the outlier count,
+    against a quartile table of one row per column.
     """
+    from promo_engine.operators.quantiles import exact_quantiles
     long = unpivot_numeric(df, cols)
-    q = (long.groupBy("column_name")
-         .agg(F.percentile("value", F.lit(0.25)).alias("q1"),
-              F.percentile("value", F.lit(0.5)).alias("median"),
-              F.percentile("value", F.lit(0.75)).alias("q3")))
-    q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-         .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
+    q = exact_quantiles(long, (0.25, 0.5, 0.75))
+    spark = df.sparkSession
+    qt = spark.createDataFrame([(c, *q[c]) for c in cols],
+                               "column_name string, q1 double, median double, q3 double")
+    qt = qt.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
+           .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
-    w = (long.join(F.broadcast(q), "column_name")  # one row per column: bounded
-         .groupBy("column_name", "q1", "median", "q3")
-         .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-              F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-              F.count_if(~inside).alias("n_outliers")))
-    return w
+    return (long.join(F.broadcast(qt), "column_name")  # one row per column: bounded
+            .groupBy("column_name", "q1", "median", "q3")
+            .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+                 F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+                 F.count_if(F.col("value").isNotNull() & ~inside).alias("n_outliers")))
 
 
 def unpivot_numeric(df: DataFrame, cols: list[str], id_cols: list[str] | None = None) -> DataFrame:

@@ -302,3 +302,28 @@ QUERIES.update({
     "gbt_predictions": q_gbt_predictions,
     "gbt_importance": q_gbt_importance,
 })
+
+
+# ---- table reports (R11-R13) on lineitem ------------------------------------------------
+LINE_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def q_column_sums(spark, sf):
+    return R.column_sums(read_table(spark, sf, "lineitem"), LINE_NUMERIC)
+
+
+def q_box_stats(spark, sf):
+    return R.box_stats(read_table(spark, sf, "lineitem"), LINE_NUMERIC)
+
+
+def q_long_series(spark, sf):
+    """The numeric columns as (row id, column, value) series."""
+    li = read_table(spark, sf, "lineitem")
+    return R.unpivot_numeric(li, LINE_NUMERIC, ["l_orderkey", "l_linenumber"])
+
+
+QUERIES.update({
+    "column_sums": q_column_sums,
+    "box_stats": q_box_stats,
+    "long_series": q_long_series,
+})

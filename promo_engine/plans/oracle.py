@@ -504,3 +504,26 @@ ORACLES.update({
         "select cluster, cast(count(*) as bigint) as n_points, "
         f"{_mean('s')} as mean_silhouette from sv group by cluster"),
 })
+
+
+# ---- table reports on lineitem ----------------------------------------------------------
+_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LONG = "long as (" + " union all ".join(
+    f"select l_orderkey, l_linenumber, '{c}' as column_name, cast({c} as double) as value from lineitem"
+    for c in _LINE) + ")"
+
+ORACLES.update({
+    "column_sums": _with("s as (" + " union all ".join(
+        f"select '{c}' as column_name, sum(cast({c} as decimal(18,9))) as total from lineitem" for c in _LINE)
+        + ")") + ("select column_name, cast(total as double) as total, "
+                  "cast(total as double) / cast(sum(total) over () as double) as share from s"),
+    "box_stats": _with(_LONG, """q as (select column_name, quantile_cont(value, 0.25) as q1,
+        quantile_cont(value, 0.5) as median, quantile_cont(value, 0.75) as q3 from long group by column_name),
+      f as (select *, q1 - 1.5 * (q3 - q1) as lo_fence, q3 + 1.5 * (q3 - q1) as hi_fence from q)""")
+    + """select long.column_name, q1, median, q3,
+        min(case when value >= lo_fence and value <= hi_fence then value end) as whisker_low,
+        max(case when value >= lo_fence and value <= hi_fence then value end) as whisker_high,
+        cast(count_if(value is not null and not (value >= lo_fence and value <= hi_fence)) as bigint) as n_outliers
+      from long join f on long.column_name = f.column_name group by long.column_name, q1, median, q3""",
+    "long_series": _with(_LONG) + "select * from long",
+})
