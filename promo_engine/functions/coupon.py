@@ -79,7 +79,7 @@ def null_flag(filled_distance) -> Column:
 def yyyymmdd_to_date(c) -> Column:
     """Numeric or text yyyymmdd (possibly ``20160516.0``) -> date."""
     as_text = _c(c).try_cast("double").try_cast("bigint").cast("string")
-    return F.try_to_date(as_text, F.lit("yyyyMMdd"))
+    return F.try_to_date(as_text, "yyyyMMdd")
 
 
 def day_gap(later, earlier) -> Column:
