@@ -49,10 +49,12 @@ def label_rate_by_distance(rep: DataFrame, max_distance: int = 10) -> DataFrame:
 
 
 def received_vs_label_by_rate(rep: DataFrame) -> DataFrame:
-    """Rows and cheap-label rows per (rounded) discount rate; 0 when none."""
+    """Rows and cheap-label rows per (rounded) discount rate; 0 when none.
+    ``rate_4dp`` is the axis label (P25: the rate printed with 4 decimals)."""
     return (rep.where(F.col("discount_rate").isNotNull()).groupBy("discount_rate")
             .agg(F.count(F.lit(1)).alias("n_received"),
-                 F.count_if(F.col("cheap_label") == 1).alias("n_positive")))
+                 F.count_if(F.col("cheap_label") == 1).alias("n_positive"))
+            .withColumn("rate_4dp", F.format_string("%.4f", "discount_rate").cast("double")))
 
 
 def weekday_counts(rep: DataFrame) -> DataFrame:

@@ -329,7 +329,8 @@ ORACLES = {
         "where distance between 0 and 10 group by distance) a on d.distance = a.distance"),
     "received_vs_label_by_rate": _with(BASE) + (
         "select discount_rate, cast(count(*) as bigint) as n_received, "
-        "cast(count_if(cheap_label = 1) as bigint) as n_positive from rep "
+        "cast(count_if(cheap_label = 1) as bigint) as n_positive, "
+        "cast(printf('%.4f', discount_rate) as double) as rate_4dp from rep "
         "where discount_rate is not null group by discount_rate"),
     "weekday_counts": _with(BASE) + (
         "select d.weekday_receive, cast(coalesce(a.n_received, 0) as bigint) as n_received, "
