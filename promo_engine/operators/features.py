@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promo_engine.functions import coupon as C
+from promo_engine.session import cut_lineage_all
 
 U, M, CP, DR, DIST, RATE = "user_id", "merchant_id", "coupon_id", "date_received", "distance", "discount_rate"
 
@@ -230,7 +231,7 @@ def _agg(spec: Spec, tag: Column) -> Column:
         out = C.stable_mean(v)
     elif a == "median":
         out = F.median(v).cast("double")
-    elif a == "ndistinct":
+    elif a == "ndistinct":   # compiled separately (see _distinct_counts)
         out = F.nullif(F.count_distinct(v), F.lit(0))
     else:
         raise ValueError(a)
@@ -262,11 +263,37 @@ def _source_rows(label: DataFrame, history: DataFrame | None, keys, specs) -> tu
     return rows, F.col("__is_l"), ~F.col("__is_l")
 
 
+def _distinct_counts(rows: DataFrame, keys, specs: list[Spec], is_l: Column, is_h: Column) -> DataFrame:
+    """Distinct counts as an explicit two-level aggregate.
+
+    Level 1 groups by (keys, value) with one "seen under this spec's
+    condition" flag per spec; level 2 counts the flagged values per key.
+    Both levels aggregate partially before their shuffle, and -- unlike the
+    built-in rewrite of several ``count(distinct)`` -- the other aggregates
+    of the block are not expanded along with them.
+    """
+    out = None
+    for v in sorted({s.value for s in specs}):
+        vs = [s for s in specs if s.value == v]
+        flags = [F.max(F.when((is_l if s.src == "L" else is_h) & _cond(s.cond), F.lit(1))).alias(f"__f{i}")
+                 for i, s in enumerate(vs)]
+        pairs = rows.where(_value(v).isNotNull()).groupBy(*keys, _value(v).alias("__v")).agg(*flags)
+        counts = pairs.groupBy(*keys).agg(
+            *[F.nullif(F.count_if(F.col(f"__f{i}") == 1), F.lit(0)).alias(s.name) for i, s in enumerate(vs)])
+        out = counts if out is None else _join_keys(out, counts, keys, keys, "full")
+    return out
+
+
 def aggregate_block(label: DataFrame, history: DataFrame | None, keys, specs) -> DataFrame:
     """One row per key: all aggregates of one key set (partial aggregation)."""
     rows, is_l, is_h = _source_rows(label, history, keys, specs)
-    aggs = [_agg(s, is_l if s.src == "L" else is_h) for s in specs]
+    plain = [s for s in specs if s.agg != "ndistinct"]
+    distinct = [s for s in specs if s.agg == "ndistinct"]
+    aggs = [_agg(s, is_l if s.src == "L" else is_h) for s in plain] or [F.count(F.lit(1)).alias("__n")]
     out = rows.groupBy(*keys).agg(*aggs)
+    if distinct:
+        out = _join_keys(out, _distinct_counts(rows, keys, distinct, is_l, is_h), keys, keys)
+    out = out.select(*keys, *[F.col(f"`{s.name}`") for s in specs])
     # Groups where no spec found a matching row carry no information (the
     # left join gives null for them anyway); history groups with a null key
     # never match a label row.  Dropping both keeps the join input minimal.
@@ -279,16 +306,26 @@ def aggregate_block(label: DataFrame, history: DataFrame | None, keys, specs) ->
     return out.where(keep)
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys, null_safe_keys=()) -> DataFrame:
-    """Left equi-join on ``keys``; keys in ``null_safe_keys`` match null to null."""
+def _join_keys(left: DataFrame, right: DataFrame, keys, null_safe_keys=(), how: str = "left") -> DataFrame:
+    """Equi-join on ``keys``; keys in ``null_safe_keys`` match null to null."""
     if not any(k in null_safe_keys for k in keys):
-        return left.join(right, list(keys), "left")
+        return left.join(right, list(keys), how)
+    if how == "full":
+        r = right.select(*[F.col(c).alias(f"__k_{c}") if c in keys else F.col(c) for c in right.columns])
+        cond = None
+        for k in keys:
+            c = left[k].eqNullSafe(r[f"__k_{k}"])
+            cond = c if cond is None else cond & c
+        j = left.join(r, cond, "full")
+        return j.select(*[F.coalesce(left[k], r[f"__k_{k}"]).alias(k) for k in keys],
+                        *[c for c in left.columns if c not in keys],
+                        *[c for c in right.columns if c not in keys])
     r = right.select(*[F.col(c).alias(f"__k_{c}") if c in keys else F.col(c) for c in right.columns])
     cond = None
     for k in keys:
         c = left[k].eqNullSafe(r[f"__k_{k}"]) if k in null_safe_keys else (left[k] == r[f"__k_{k}"])
         cond = c if cond is None else cond & c
-    return left.join(r, cond, "left").drop(*[f"__k_{k}" for k in keys])
+    return left.join(r, cond, how).drop(*[f"__k_{k}" for k in keys])
 
 
 def _null_safe(block: list[Spec]) -> tuple[str, ...]:
@@ -314,12 +351,20 @@ def chains(blocks) -> list[tuple[tuple[str, ...], list]]:
     return list(out.items())
 
 
-def attach(label: DataFrame, history: DataFrame | None, specs: list[Spec], chained: bool = True) -> DataFrame:
+def attach(label: DataFrame, history: DataFrame | None, specs: list[Spec], chained: bool = True,
+           write_chains: bool = True) -> DataFrame:
     """Left-join every key set's aggregate onto the label rows.
 
     ``chained=True`` (default): one join of the label rows per maximal key
     set; ``chained=False``: one join per key set (the direct formulation,
     kept for cross-checking).
+
+    ``write_chains``: each chain table is written to the shared checkpoint
+    folder and read back, so the planner knows its true size: a table that
+    is provably small (e.g. one row per discount rate) is broadcast, a large
+    one is sort-merge joined (AQE splits hot keys).  Without it the planner
+    only sees an estimate derived from the input and would shuffle the wide
+    label rows on a handful of key values before AQE could demote the join.
     """
     blocks = group_blocks(specs)
     out = label
@@ -327,11 +372,17 @@ def attach(label: DataFrame, history: DataFrame | None, specs: list[Spec], chain
         for keys, block in blocks:
             out = _join_keys(out, aggregate_block(label, history, keys, block), keys, _null_safe(block))
     else:
+        tops, tables = [], []
         for top, members in chains(blocks):
             table = label.select(*top).distinct()
             for keys, block in members:
                 table = _join_keys(table, aggregate_block(label, history, keys, block), keys,
                                    _null_safe(block))
+            tops.append(top)
+            tables.append(table)
+        if write_chains:
+            tables = cut_lineage_all(tables, "chain")
+        for top, table in zip(tops, tables):
             # the chain table holds exactly the label rows' key combinations
             # (nulls included), so this join matches null-safe on every key
             out = _join_keys(out, table, top, top)

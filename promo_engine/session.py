@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,14 +74,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and
+    read it back.
 
-    Survives executor loss (unlike a local checkpoint) and truncates the plan
-    before iterative stages (model fit, Lloyd iterations).
+    Truncates the plan before iterative stages (model fit, Lloyd passes,
+    choice of k) and survives executor loss (files, not executor memory).
+    Unlike ``DataFrame.checkpoint(eager=True)``, which runs the plan once to
+    count and again to write, the plan runs exactly once.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def cut_lineage_all(dfs: list[DataFrame], name: str = "cut") -> list[DataFrame]:
+    """``cut_lineage`` for several independent frames, written by concurrent
+    jobs (one driver thread each) so their stages share the executors."""
+    from concurrent.futures import ThreadPoolExecutor
+    if len(dfs) <= 1:
+        return [cut_lineage(d, name) for d in dfs]
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(lambda d: cut_lineage(d, name), dfs))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
