@@ -222,10 +222,15 @@ def cluster_report(assigned: DataFrame) -> DataFrame:
 
 def centroid_distances(points: DataFrame, group_col: str = "label") -> DataFrame:
     """C23/C24 on real data: each point's Euclidean and Manhattan distance to
-    the centroid of its group.  The centroid table has one row per group and
-    is joined back on the group key (AQE broadcasts it when small)."""
+    the centroid of its group.
+
+    The centroid table (one row per group) is written first, so the planner
+    knows its true size: broadcast when it is small, a sort-merge join (with
+    AQE splitting a hot group) when there are very many groups -- never a
+    shuffle of all points on a handful of group keys.
+    """
     means = cluster_means(points.withColumnRenamed(group_col, "cluster")) \
-        .withColumnRenamed("cluster", group_col)
-    j = points.join(means.select(group_col, "centre"), group_col)
+        .select(F.col("cluster").alias(group_col), "centre")
+    j = points.join(cut_lineage(means, "centroids"), group_col)
     return j.select("id", group_col, V.euclidean("p", "centre").alias("euclidean"),
                     V.manhattan("p", "centre").alias("manhattan"))
