@@ -295,13 +295,14 @@ def aggregate_block(label: DataFrame, history: DataFrame | None, keys, specs) ->
         out = _join_keys(out, _distinct_counts(rows, keys, distinct, is_l, is_h), keys, keys)
     out = out.select(*keys, *[F.col(f"`{s.name}`") for s in specs])
     # Groups where no spec found a matching row carry no information (the
-    # left join gives null for them anyway); history groups with a null key
-    # never match a label row.  Dropping both keeps the join input minimal.
+    # left join gives null for them anyway).  Null keys form no group (as in
+    # the pipeline's group-by), except the label field's receipt date, which
+    # the pipeline coerces to a value of its own.
     keep = F.lit(False)
     for s in specs:
         keep = keep | F.col(f"`{s.name}`").isNotNull()
-    if any(s.src == "H" for s in specs):
-        for k in keys:
+    for k in keys:
+        if k not in _null_safe(specs):
             keep = keep & F.col(k).isNotNull()
     return out.where(keep)
 

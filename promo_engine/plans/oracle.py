@@ -112,7 +112,7 @@ LMC = f"""select merchant_id, coupon_id,
 from L group by merchant_id, coupon_id having count_if(date_received is not null) > 0"""
 
 LRATE = """select discount_rate, cast(count(*) as bigint) as different_rate_coupon_amount
-from L where discount_rate_raw is not null group by discount_rate"""
+from L where discount_rate_raw is not null and discount_rate is not null group by discount_rate"""
 
 HU = f"""select user_id,
   min(case when {UR} then distance end) as min_distance_x,
