@@ -24,8 +24,8 @@ TEST = SP.ADAPTER_SPLITS[2]
 
 
 # ---- shared inputs ---------------------------------------------------------
-def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return CL.labelled(coupon_raw(spark, sf))
+def labelled(spark: SparkSession, sf: str, received_range=None) -> DataFrame:
+    return CL.labelled(coupon_raw(spark, sf, received_range))
 
 
 def report_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,8 +33,12 @@ def report_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fields(spark: SparkSession, sf: str, split: SP.SplitSet = TRAIN):
-    """(history, label) of a split, read from a table written once per session."""
-    return MZ.fields(spark, labelled(spark, sf), split, token=f"adapter:{sf}")
+    """(history, label) of a split, read from the table written once per
+    session for all adapter splits (one pass over the source, pruned to the
+    receipt dates the splits cover)."""
+    family = SP.ADAPTER_SPLITS
+    src = labelled(spark, sf, MZ.received_range(family))
+    return MZ.fields(spark, src, split, token=f"adapter:{sf}", family=family)
 
 
 # ---- cleaning / label --------------------------------------------------------

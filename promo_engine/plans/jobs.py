@@ -45,7 +45,7 @@ def build_datasets(spark: SparkSession, cleaned: DataFrame, test_cleaned: DataFr
     assemble, splits, _, _ = VARIANTS[variant]
     out = {}
     for s in splits:
-        history, label = MZ.fields(spark, cleaned, s, token, test_table=test_cleaned)
+        history, label = MZ.fields(spark, cleaned, s, token, test_table=test_cleaned, family=splits)
         if variant == "user_block":
             out[s.name] = DS.assemble_user_block(label)
         else:

@@ -22,36 +22,50 @@ from promo_engine.session import scratch_path
 _WRITTEN: dict[tuple, str] = {}
 
 
-def _key(spark: SparkSession, token: str, split: SP.SplitSet) -> tuple:
-    return (spark.sparkContext.applicationId, token, split)
+def received_range(splits) -> tuple:
+    """Smallest [lo, hi) receipt-date range covering every history and label
+    interval of ``splits`` (used to prune the source before tagging)."""
+    ivs = [iv for s in splits for iv in (s.history, s.label) if iv is not None]
+    return min(iv.start for iv in ivs), max(iv.end for iv in ivs)
 
 
-def fields_table(spark: SparkSession, cleaned: DataFrame, split: SP.SplitSet, token: str) -> DataFrame:
-    """(cleaned columns..., field) for the history and label intervals of
-    ``split``, written once per session and source ``token``."""
-    key = _key(spark, token, split)
+def fields_table(spark: SparkSession, cleaned: DataFrame, splits, token: str) -> DataFrame:
+    """(cleaned columns..., split, field) for the history and label intervals
+    of every split set in ``splits``, written in ONE pass over the source
+    (a row is repeated once per interval it falls in) and partitioned by
+    split and field.  Written once per session and source ``token``."""
+    splits = tuple(splits)
+    key = (spark.sparkContext.applicationId, token, splits)
     path = _WRITTEN.get(key)
     if path is None:
         digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-        path = scratch_path(spark, f"fields-{split.name}-{digest}")
-        field = (F.when(split.history.predicate(), F.lit("history"))
-                 .when(split.label.predicate(), F.lit("label")) if split.label is not None
-                 else F.when(split.history.predicate(), F.lit("history")))
-        (cleaned.withColumn("field", field).where(F.col("field").isNotNull())
-         .write.mode("overwrite").partitionBy("field").parquet(path))
+        path = scratch_path(spark, f"fields-{digest}")
+        tags = []
+        for s in splits:
+            tags.append(F.when(s.history.predicate(), F.lit(f"{s.name}/history")))
+            if s.label is not None:
+                tags.append(F.when(s.label.predicate(), F.lit(f"{s.name}/label")))
+        tag = F.explode(F.array_compact(F.array(*tags)))
+        (cleaned.select("*", tag.alias("__tag"))
+         .withColumn("split", F.split_part("__tag", F.lit("/"), F.lit(1)))
+         .withColumn("field", F.split_part("__tag", F.lit("/"), F.lit(2)))
+         .drop("__tag")
+         .write.mode("overwrite").partitionBy("split", "field").parquet(path))
         _WRITTEN[key] = path
     return spark.read.parquet(path)
 
 
 def fields(spark: SparkSession, cleaned: DataFrame, split: SP.SplitSet, token: str,
-           test_table: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(history, label) of ``split`` read back from the written table."""
-    t = fields_table(spark, cleaned, split, token)
-    history = t.where(F.col("field") == "history").drop("field")
+           test_table: DataFrame | None = None, family=None) -> tuple[DataFrame, DataFrame]:
+    """(history, label) of ``split`` read back from the written table of its
+    split family (partition pruning on split and field)."""
+    t = fields_table(spark, cleaned, family or (split,), token)
+    mine = t.where(F.col("split") == split.name).drop("split")
+    history = mine.where(F.col("field") == "history").drop("field")
     if split.label is None:
         label = SP.label_field(cleaned, split, test_table)
     else:
-        label = SP.label_field(t.where(F.col("field") == "label").drop("field"),
-                               SP.SplitSet(split.name, split.history, None, None, split.has_outcome),
-                               t.where(F.col("field") == "label").drop("field"))
+        rows = mine.where(F.col("field") == "label").drop("field")
+        label = SP.label_field(rows, SP.SplitSet(split.name, split.history, None, None, split.has_outcome),
+                               rows)
     return history, label
