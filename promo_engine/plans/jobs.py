@@ -76,9 +76,9 @@ class ClusteringResult:
 
 
 def clustering_job(spark: SparkSession, name: str, path: str, method: str = "lloyd",
-                   seed: int = 0) -> ClusteringResult:
+                   seed: int = 0, ks=CU.K_RANGE) -> ClusteringResult:
     pts = CU.pca_2d(FL.load_dataset(spark, name, path)).select("id", "p")
-    scores = CU.choose_k(pts, seed=seed, method=method)
+    scores = CU.choose_k(pts, ks=ks, seed=seed, method=method)
     k = scores.where("chosen = 1").first()["k"]
     if method == "lloyd":
         assigned = CU.lloyd_kmeans(pts, k, seed).assigned

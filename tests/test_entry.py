@@ -53,3 +53,15 @@ def test_fields_scanned_once_per_plan(spark, sf):
     """The dataset plan reads the written fields table, not the raw join."""
     plan = E.queries()["dataset_assembled"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "lineitem" not in plan and "orders.parquet" not in plan
+
+
+def test_dataset_plan_shape(spark, sf):
+    """After the chain tables are written, the dataset plan is: label rows
+    joined to 4 chain tables (broadcast or sort-merge) and one de-duplicating
+    aggregate -- at most 2 exchanges per join plus the dedup."""
+    plan = E.queries()["dataset_assembled"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    exchanges = plan.count("Exchange hashpartitioning") + plan.count("BroadcastExchange")
+    joins = plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin")
+    assert joins == 4
+    assert exchanges <= 2 * joins + 1
+    assert plan.count("Scan parquet") == 5
