@@ -57,7 +57,7 @@ def assemble_compact(label: DataFrame, history: DataFrame) -> DataFrame:
 
 def assemble_user_block(label: DataFrame, history: DataFrame | None = None,
                         source: str = "label") -> DataFrame:
-    """task5 dataset: simple counts, per-user block, 0-based calendar; rows
+    """Per-user-block dataset: simple counts, per-user block, 0-based calendar; rows
     with any null are dropped before de-duplication."""
     has_label = "label" in label.columns
     lab = label.withColumn("coupon_id", F.coalesce("coupon_id", F.lit(0).cast("bigint")))

@@ -1,4 +1,4 @@
-"""task5 feature blocks: simple label-field counts (T01-T05) and the per-user
+"""Third variant's feature blocks: simple label-field counts (T01-T05) and the per-user
 block (T06-T14), plus the 0-based calendar block (T16)."""
 
 from __future__ import annotations

@@ -136,8 +136,8 @@ def q_feat_calendar(spark, sf):
         .withColumn("isnull_Distance", F.when(F.col("distance") == -1, 1).otherwise(0))
 
 
-# ---- task5 blocks ------------------------------------------------------------------
-def q_task5_simple(spark, sf):
+# ---- per-user block variant ------------------------------------------------------------------
+def q_receipt_counts(spark, sf):
     _, label = fields(spark, sf)
     lab = FT.prepare_label_field(label)
     out = UB.simple_features(lab)
@@ -145,7 +145,7 @@ def q_task5_simple(spark, sf):
                       *[s.name for s in UB.SIMPLE_SPECS])
 
 
-def q_task5_user_block(spark, sf):
+def q_user_block_features(spark, sf):
     _, label = fields(spark, sf)
     out = UB.user_block(label)
     return out.select("user_id", "merchant_id", "coupon_id", "date_received",
@@ -191,8 +191,8 @@ QUERIES = {
     **{name: _block_query(src, keys) for name, (src, keys) in BLOCKS.items()},
     "feat_ratios": q_feat_ratios,
     "feat_calendar": q_feat_calendar,
-    "task5_simple": q_task5_simple,
-    "task5_user_block": q_task5_user_block,
+    "receipt_counts": q_receipt_counts,
+    "user_block_features": q_user_block_features,
     "dataset_assembled": q_dataset_assembled,
     "dataset_compact": q_dataset_compact,
     "dataset_user_block": q_dataset_user_block,

@@ -350,7 +350,7 @@ ORACLES = {
 }
 
 
-# ---- row-level features, calendar, task5 blocks, other datasets ---------------
+# ---- row-level features, calendar, user-block variant, other datasets ---------------
 def _iso(col="date_received"):
     return f"cast(isodow({col}) as integer)"
 
@@ -369,7 +369,7 @@ SIMPLE_COLS = {
     "simple_User_id_Date_received_receive_cnt": "user_id, date_received",
     "simple_User_id_Coupon_id_Date_received_receive_cnt": "user_id, coupon_id, date_received",
 }
-# task5 counts as window functions over the label rows (a second formulation).
+# receipt counts as window functions over the label rows (a second formulation).
 SIMPLE_SELECT = ", ".join(
     [f"cast(count(*) over (partition by {k}) as bigint) as {n}" for n, k in SIMPLE_COLS.items()]
     + ["case when count(*) over (partition by user_id, coupon_id, date_received) > 1 then 1 else 0 end "
@@ -444,9 +444,9 @@ ORACLES.update({
                     + "select user_id, merchant_id, coupon_id, date_received, distance, "
                     + ", ".join(RATIOS) + " from joined"),
     "feat_calendar": _with(BASE, TRAIN_FIELDS) + CALENDAR_SQL,
-    "task5_simple": _with(BASE, TRAIN_FIELDS) + (
+    "receipt_counts": _with(BASE, TRAIN_FIELDS) + (
         "select user_id, merchant_id, coupon_id, date_received, " + SIMPLE_SELECT + " from L"),
-    "task5_user_block": (_with(BASE, TRAIN_FIELDS, USER_BLOCK_CTE)
+    "user_block_features": (_with(BASE, TRAIN_FIELDS, USER_BLOCK_CTE)
                          + "select L0.user_id, merchant_id, coupon_id, date_received, " + USER_BLOCK_SELECT
                          + " from L0 left join ub on L0.user_id = ub.user_id"),
     "dataset_compact": (_with(BASE, TRAIN_FIELDS, FEATURE_TABLES, JOINED)
