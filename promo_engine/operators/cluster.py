@@ -120,13 +120,16 @@ def lloyd_kmeans(points: DataFrame, k: int, seed: int = 0, threshold: float = TH
     return LloydResult(cur, assigned, passes, shift)
 
 
-def lloyd_step_table(points: DataFrame, centres: list[list[float]]) -> DataFrame:
+def lloyd_step_table(points: DataFrame, centres: list[list[float]], ids: list[int] | None = None) -> DataFrame:
     """One Lloyd pass as a table: cluster, n_points, new centre, and the
-    Euclidean move of that centre (empty clusters keep theirs, n = 0)."""
+    Euclidean move of that centre (empty clusters keep theirs, n = 0).
+    ``ids`` names the clusters (default 0..k-1, in the order of ``centres``)."""
     spark = points.sparkSession
-    assigned = assign(points, centres)
+    ids = list(range(len(centres))) if ids is None else [int(i) for i in ids]
+    assigned = assign(points, centres).withColumn(
+        "cluster", F.element_at(F.array(*[F.lit(i) for i in ids]), F.col("cluster") + 1))
     means = cluster_means(assigned)
-    old = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)],
+    old = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in zip(ids, centres)],
                                 "cluster int, old array<double>")
     j = old.join(means, "cluster", "left")
     centre = F.coalesce(F.col("centre"), F.col("old"))

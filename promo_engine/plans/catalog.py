@@ -215,15 +215,17 @@ def q_centroid_distance(spark, sf):
 
 
 def _label_centres(pts):
+    """Class centroids (one row per class, collected: k x d numbers)."""
     rows = CU.cluster_means(pts.withColumnRenamed("label", "cluster")).orderBy("cluster").collect()
-    return [list(r["centre"]) for r in rows]
+    return [r["cluster"] for r in rows], [list(r["centre"]) for r in rows]
 
 
 def q_lloyd_step(spark, sf):
     """One exact Lloyd pass over the embeddings, starting from the class
-    centroids (k = number of classes)."""
+    centroids (k = number of classes, clusters named by class)."""
     pts = _points(spark, sf)
-    return CU.lloyd_step_table(pts.select("id", "p"), _label_centres(pts))
+    ids, centres = _label_centres(pts)
+    return CU.lloyd_step_table(pts.select("id", "p"), centres, ids)
 
 
 def q_silhouette_labels(spark, sf):
