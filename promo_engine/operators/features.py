@@ -371,16 +371,21 @@ def attach(label: DataFrame, history: DataFrame | None, specs: list[Spec], chain
         for keys, block in blocks:
             out = _join_keys(out, aggregate_block(label, history, keys, block), keys, _null_safe(block))
     else:
-        tops, tables = [], []
-        for top, members in chains(blocks):
+        def build(top, members):
             table = label.select(*top).distinct()
             for keys, block in members:
                 table = _join_keys(table, aggregate_block(label, history, keys, block), keys,
                                    _null_safe(block))
-            tops.append(top)
-            tables.append(table)
+            return table
+
+        ch = chains(blocks)
+        tops = [top for top, _ in ch]
         if write_chains:
-            tables = cut_lineage_all(tables, "chain")
+            # built and written from one driver thread per chain, so both the
+            # plan analysis and the jobs of the chains overlap
+            tables = cut_lineage_all([lambda t=t, m=m: build(t, m) for t, m in ch], "chain")
+        else:
+            tables = [build(t, m) for t, m in ch]
         for top, table in zip(tops, tables):
             # the chain table holds exactly the label rows' key combinations
             # (nulls included), so this join matches null-safe on every key

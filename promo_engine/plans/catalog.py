@@ -168,10 +168,24 @@ def q_dataset_user_block(spark, sf):
     return DS.assemble_user_block(label)
 
 
+def _in_parallel(*fns):
+    """Run independent DataFrame builders from separate driver threads: their
+    jobs (chain-table writes) are scheduled concurrently by Spark."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(fns)) as pool:
+        return [f.result() for f in [pool.submit(fn) for fn in fns]]
+
+
+def _main_dataset(spark, sf, split):
+    history, label = fields(spark, sf, split)
+    return DS.assemble_main(label, history)
+
+
 def q_train_union(spark, sf):
-    h_tr, l_tr = fields(spark, sf, TRAIN)
-    h_va, l_va = fields(spark, sf, VALIDATE)
-    return DS.train_union(DS.assemble_main(l_tr, h_tr), DS.assemble_main(l_va, h_va))
+    fields(spark, sf, TRAIN)   # one pass writes the fields of every split
+    tr, va = _in_parallel(lambda: _main_dataset(spark, sf, TRAIN),
+                          lambda: _main_dataset(spark, sf, VALIDATE))
+    return DS.train_union(tr, va)
 
 
 QUERIES = {
@@ -284,16 +298,17 @@ from promo_engine.operators import model as MD  # noqa: E402
 
 
 def _main_sets(spark, sf):
-    sets = {}
-    for s in (TRAIN, VALIDATE, TEST):
-        history, label = fields(spark, sf, s)
-        sets[s.name] = DS.assemble_main(label, history)
-    return DS.train_union(sets["train"], sets["validate"]), sets["test"]
+    fields(spark, sf, TRAIN)
+    tr, va, te = _in_parallel(*[(lambda s=s: _main_dataset(spark, sf, s)) for s in (TRAIN, VALIDATE, TEST)])
+    return DS.train_union(tr, va), te
 
 
 def q_gbt_predictions(spark, sf):
-    """Train on train + validation, score the test set (outcome hidden)."""
-    big, test = _main_sets(spark, sf)
+    """Train on train + validation, score the test set (outcome hidden).
+    Both inputs are written first, by concurrent jobs; the fit and the
+    scoring then read files."""
+    from promo_engine.session import cut_lineage_all
+    big, test = cut_lineage_all(list(_main_sets(spark, sf)), "gbt-input")
     fm = MD.fit(big, MD.MAIN_PARAMS, rounds=20)
     return MD.score(fm, test)
 

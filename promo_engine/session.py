@@ -89,14 +89,19 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def cut_lineage_all(dfs: list[DataFrame], name: str = "cut") -> list[DataFrame]:
-    """``cut_lineage`` for several independent frames, written by concurrent
-    jobs (one driver thread each) so their stages share the executors."""
+def cut_lineage_all(dfs: list, name: str = "cut") -> list[DataFrame]:
+    """``cut_lineage`` for several independent frames (or zero-argument
+    builders of frames), written by concurrent jobs -- one driver thread
+    each -- so their stages share the executors."""
     from concurrent.futures import ThreadPoolExecutor
+
+    def one(d):
+        return cut_lineage(d() if callable(d) else d, name)
+
     if len(dfs) <= 1:
-        return [cut_lineage(d, name) for d in dfs]
+        return [one(d) for d in dfs]
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        return list(pool.map(lambda d: cut_lineage(d, name), dfs))
+        return list(pool.map(one, dfs))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
