@@ -348,3 +348,40 @@ QUERIES.update({
     "box_stats": q_box_stats,
     "long_series": q_long_series,
 })
+
+
+def _variant_dataset(spark, sf, split, variant):
+    history, label = fields(spark, sf, split)
+    if variant == "compact":
+        return DS.assemble_compact(label, history)
+    return DS.assemble_user_block(label)
+
+
+def q_gbt_compact_predictions(spark, sf):
+    """Second parameter set: compact features, ids kept as features, 5
+    rounds, trained on the training split only (no validation set)."""
+    from promo_engine.session import cut_lineage_all
+    fields(spark, sf, TRAIN)
+    tr, te = _in_parallel(lambda: _variant_dataset(spark, sf, TRAIN, "compact"),
+                          lambda: _variant_dataset(spark, sf, TEST, "compact"))
+    tr, te = cut_lineage_all([tr, te], "gbt-input")
+    fm = MD.fit(tr, MD.COMPACT_PARAMS, rounds=None, drop_ids=False)
+    return MD.score(fm, te)
+
+
+def q_gbt_user_block_predictions(spark, sf):
+    """Third parameter set: per-user-block features, 10 rounds, trained on
+    train + validation."""
+    from promo_engine.session import cut_lineage_all
+    fields(spark, sf, TRAIN)
+    tr, va, te = _in_parallel(*[(lambda s=s: _variant_dataset(spark, sf, s, "user_block"))
+                                for s in (TRAIN, VALIDATE, TEST)])
+    big, te = cut_lineage_all([DS.train_union(tr, va), te], "gbt-input")
+    fm = MD.fit(big, MD.USER_BLOCK_PARAMS, rounds=None)
+    return MD.score(fm, te)
+
+
+QUERIES.update({
+    "gbt_compact_predictions": q_gbt_compact_predictions,
+    "gbt_user_block_predictions": q_gbt_user_block_predictions,
+})
