@@ -22,6 +22,12 @@ from promo_engine.session import scratch_path
 _WRITTEN: dict[tuple, str] = {}
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def received_range(splits) -> tuple:
     """Smallest [lo, hi) receipt-date range covering every history and label
     interval of ``splits`` (used to prune the source before tagging)."""
@@ -37,6 +43,8 @@ def fields_table(spark: SparkSession, cleaned: DataFrame, splits, token: str) ->
     splits = tuple(splits)
     key = (spark.sparkContext.applicationId, token, splits)
     path = _WRITTEN.get(key)
+    if path is not None and not _exists(spark, f"{path}/_SUCCESS"):
+        path = None   # the folder was cleaned up: write again
     if path is None:
         digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
         path = scratch_path(spark, f"fields-{digest}")
