@@ -88,8 +88,10 @@ def clustering_job(spark: SparkSession, name: str, path: str, method: str = "llo
 
 
 def report_job(spark: SparkSession, test_csv: str, out_dir: str | None = None) -> dict[str, DataFrame]:
-    rep = CL.report_clean(FL.read_offline_csv(spark, test_csv))
+    raw = FL.read_offline_csv(spark, test_csv)
+    rep = CL.report_clean(raw)
     tables = {
+        "null_profile": R.null_profile(raw),
         "daily_received": R.daily_received(rep),
         "distance_counts": R.distance_counts(rep),
         "label_rate_by_distance": R.label_rate_by_distance(rep),

@@ -56,3 +56,5 @@ def test_report_job(spark, sf, tmp_path):
     tables = J.report_job(spark, te, str(tmp_path / "rep"))
     assert tables["weekday_counts"].count() == 7
     assert tables["label_rate_by_distance"].count() == 11
+    nulls = {r.column_name: r.has_null for r in tables["null_profile"].collect()}
+    assert nulls["coupon_id"] == 1 and nulls["user_id"] == 0
