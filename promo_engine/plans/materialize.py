@@ -12,6 +12,7 @@ re-reads files instead of recomputing the source join.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from promo_engine.plans import split as SP
 from promo_engine.session import scratch_path
 
 _WRITTEN: dict[tuple, str] = {}
+_LOCK = threading.Lock()   # one writer per table when builders run in threads
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -42,6 +44,11 @@ def fields_table(spark: SparkSession, cleaned: DataFrame, splits, token: str) ->
     split and field.  Written once per session and source ``token``."""
     splits = tuple(splits)
     key = (spark.sparkContext.applicationId, token, splits)
+    with _LOCK:
+        return spark.read.parquet(_write_once(spark, cleaned, splits, key))
+
+
+def _write_once(spark: SparkSession, cleaned: DataFrame, splits, key) -> str:
     path = _WRITTEN.get(key)
     if path is not None and not _exists(spark, f"{path}/_SUCCESS"):
         path = None   # the folder was cleaned up: write again
@@ -60,7 +67,7 @@ def fields_table(spark: SparkSession, cleaned: DataFrame, splits, token: str) ->
          .drop("__tag")
          .write.mode("overwrite").partitionBy("split", "field").parquet(path))
         _WRITTEN[key] = path
-    return spark.read.parquet(path)
+    return path
 
 
 def fields(spark: SparkSession, cleaned: DataFrame, split: SP.SplitSet, token: str,
