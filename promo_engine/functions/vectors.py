@@ -19,7 +19,13 @@ def as_doubles(c) -> Column:
 
 
 def literal_vector(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    """A constant ``array<double>``, built as one SQL literal (one JVM call
+    instead of one per coordinate).  ``repr`` gives the shortest text that
+    parses back to the same double, so the values are bit-exact."""
+    vals = [float(v) for v in values]
+    if any(v != v or v in (float("inf"), float("-inf")) for v in vals):
+        return F.array(*[F.lit(v) for v in vals])
+    return F.expr("array(" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in vals) + ")")
 
 
 def squared_euclidean(a, b) -> Column:
