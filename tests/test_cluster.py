@@ -97,3 +97,9 @@ def test_choose_k_first_best(spark):
     chosen = [r.k for r in out if r.chosen == 1]
     assert chosen == [2]
     assert not math.isnan(out[0].silhouette)
+
+
+def test_literal_vector_is_bit_exact(spark):
+    vals = [0.1, -0.5, 1e-05, 1.2345678901234567e300, -3.0e-320, 2.0 / 3.0, 0.0, 123456789.123]
+    got = spark.range(1).select(V.literal_vector(vals).alias("v")).first().v
+    assert [x.hex() for x in got] == [float(x).hex() for x in vals]
