@@ -150,6 +150,15 @@ def q_receipt_counts(spark, sf):
                       *[s.name for s in UB.SIMPLE_SPECS])
 
 
+def q_user_block_history(spark, sf):
+    """The per-user block computed from the history field instead of the
+    label field (users without history rows get 0)."""
+    history, label = fields(spark, sf)
+    out = UB.user_block(label, history, source="history")
+    return out.select("user_id", "merchant_id", "coupon_id", "date_received",
+                      *[F.col(f"`{UB.USER_PREFIX + c}`") for c in UB.USER_COLUMNS])
+
+
 def q_user_block_features(spark, sf):
     _, label = fields(spark, sf)
     out = UB.user_block(label)
@@ -212,6 +221,7 @@ QUERIES = {
     "feat_calendar": q_feat_calendar,
     "receipt_counts": q_receipt_counts,
     "user_block_features": q_user_block_features,
+    "user_block_history": q_user_block_history,
     "dataset_assembled": q_dataset_assembled,
     "dataset_compact": q_dataset_compact,
     "dataset_user_block": q_dataset_user_block,

@@ -528,3 +528,9 @@ ORACLES.update({
       from long join f on long.column_name = f.column_name group by long.column_name, q1, median, q3""",
     "long_series": _with(_LONG) + "select * from long",
 })
+
+
+ORACLES["user_block_history"] = (
+    _with(BASE, TRAIN_FIELDS, USER_BLOCK_CTE.replace("from L0 group by user_id", "from H group by user_id"))
+    + "select L0.user_id, merchant_id, coupon_id, date_received, " + USER_BLOCK_SELECT
+    + " from L0 left join ub on L0.user_id = ub.user_id")
