@@ -73,8 +73,8 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP1_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
-at AS (SELECT r, w, unnest(range(1, len(w) - {substring_dedup.WINDOW_WORDS - 2})) AS i FROM d),
-win AS (SELECT r, i, array_to_string(w[i:i + {substring_dedup.WINDOW_WORDS - 1}], ' ') AS k FROM at),
+spot AS (SELECT r, w, unnest(range(1, len(w) - {substring_dedup.WINDOW_WORDS - 2})) AS i FROM d),
+win AS (SELECT r, i, array_to_string(w[i:i + {substring_dedup.WINDOW_WORDS - 1}], ' ') AS k FROM spot),
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM win) WHERE n > 1),
 gone AS (SELECT DISTINCT r, unnest(range(i, i + {substring_dedup.WINDOW_WORDS})) AS i FROM twice),
 word AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
