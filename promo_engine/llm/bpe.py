@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from promo_engine.llm import common as C
 
 PIECE_CHARS = 1 << 16
+ROWS = 256
 
 #: Safe cuts (the pattern looks ahead, never behind; no alternative of it spans these):
 #: a letter or digit, then a blank or line end; an ASCII letter beside an ASCII digit;
@@ -74,6 +75,13 @@ def encode_text(enc: tiktoken.Encoding, text: str, size: int = PIECE_CHARS) -> l
     return ids + [i for p in pieces(text[at:], size) for i in enc.encode_ordinary(p)]
 
 
+def encode_array(enc: tiktoken.Encoding, text: str, size: int = PIECE_CHARS) -> np.ndarray:
+    """The ids as int32."""
+    if len(text) <= size:
+        return enc.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+    return np.array(encode_text(enc, text, size), dtype=np.int32)
+
+
 def _shipped(path: str) -> str:
     """The rank file where this task runs: the given path, else Spark's copy of it."""
     return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
@@ -96,10 +104,9 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
         enc = encoding(_shipped(rank_path), pattern)
         for b in batches:
             ids, texts = b.column("doc_id"), b.column("text")
-            for lo in range(0, b.num_rows, 256):             # small outputs, whatever the batch
-                got = [np.asarray(encode_text(enc, t.as_py() or "", piece_chars), dtype=np.int32)
-                       for t in texts.slice(lo, 256)]
-                yield pa.record_batch([ids.slice(lo, 256), _lists(got)], names=["doc_id", "ids"])
+            for lo in range(0, b.num_rows, ROWS):            # small outputs, whatever the batch
+                got = [encode_array(enc, t.as_py() or "", piece_chars) for t in texts.slice(lo, ROWS)]
+                yield pa.record_batch([ids.slice(lo, ROWS), _lists(got)], names=["doc_id", "ids"])
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
@@ -108,6 +115,16 @@ def _lists(got: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(np.concatenate(got) if got else []))
 
 
+def _arrays(b: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray | None]]]:
+    """Slices of a batch with their ids as arrays."""
+    for lo in range(0, b.num_rows, ROWS):
+        part = b.slice(lo, ROWS)
+        col = part.column("ids")
+        flat, ends = np.asarray(col.values), np.asarray(col.offsets)
+        yield part, [flat[a:z] if ok else None for a, z, ok in
+                     zip(ends[:-1], ends[1:], col.is_valid().to_pylist(), strict=True)]
+
+
 def decode(tokens: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """``doc_id, ids, raw``: the exact bytes of the ids.  They are not forced
     into text, so ids that break a character keep every byte.  Null ids give
@@ -118,21 +135,29 @@ def decode(tokens: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(_shipped(rank_path), pattern)
         for b in batches:
-            raw = [None if v is None else enc.decode_bytes(v) for v in b.column("ids").to_pylist()]
-            yield pa.record_batch([b.column("doc_id"), b.column("ids"), C.binary(raw)], names=["doc_id", "ids", "raw"])
+            for part, ids in _arrays(b):
+                raw = [None if v is None else enc.decode_bytes(v.tolist()) for v in ids]
+                yield pa.record_batch([part.column("doc_id"), part.column("ids"), C.binary(raw)],
+                                      names=["doc_id", "ids", "raw"])
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>, raw binary")
 
 
-def digest(decoded: DataFrame, with_ids: bool = False) -> DataFrame:
-    """The contract's columns of ``decode``'s rows, and the ids if asked for."""
+def digest(tokens: DataFrame, rank_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """The contract's columns of ``encode``'s rows, decoded as ``decode`` does, and the ids if asked for."""
+    rows = tokens.select("doc_id", "ids")
+    rows.sparkSession.sparkContext.addFile(rank_path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(_shipped(rank_path), pattern)
+        written = [b"%d " % i for i in range(enc.n_vocab)]
         for b in batches:
-            ids = [v or [] for v in b.column("ids").to_pylist()]
-            out = {"doc_id": b.column("doc_id"), "n_tokens": pa.array([len(v) for v in ids], type=pa.int64()),
-                   "ids_sha256": pa.array([hashlib.sha256(" ".join(map(str, v)).encode()).hexdigest() for v in ids],
-                                          type=pa.string()),
-                   "decoded_sha256": pa.array([hashlib.sha256(v or b"").hexdigest()
-                                               for v in b.column("raw").to_pylist()], type=pa.string())}
-            yield pa.RecordBatch.from_pydict(out | ({"ids": b.column("ids")} if with_ids else {}))
-    return decoded.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-                              + ", ids array<int>" * with_ids)
+            for part, arrays in _arrays(b):
+                ids = [[] if v is None else v.tolist() for v in arrays]
+                texts = [b"".join(map(written.__getitem__, v))[:-1] for v in ids]
+                out = {"doc_id": part.column("doc_id"), "n_tokens": pa.array(map(len, ids), type=pa.int64()),
+                       "ids_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], type=pa.string()),
+                       "decoded_sha256": pa.array([hashlib.sha256(enc.decode_bytes(v)).hexdigest() for v in ids],
+                                                  type=pa.string())}
+                yield pa.RecordBatch.from_pydict(out | ({"ids": part.column("ids")} if with_ids else {}))
+    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+                           + ", ids array<int>" * with_ids)
