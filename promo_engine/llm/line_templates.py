@@ -31,17 +31,19 @@ _NO_ID = 2 ** 63 - 1
 
 def _masked(line: Column) -> Column:
     """The line's tokens joined by one blank, variable fields as ``<*>``."""
+    odd = line.rlike("[0-9\\x09-\\x0D]") | line.contains("  ")         # few lines need the slow way
     plain = F.trim(F.regexp_replace(line, f"{C.SPACE_CLASS}+", " "))
-    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", "<*>")).otherwise(plain)
+    return F.when(odd, F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", "<*>")).otherwise(F.trim(line))
 
 
 def _lines(rows: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     """Every line of ``min_tokens`` tokens or more, with its leaf."""
-    lines = (rows.select("doc", "row", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-             .select("doc", "row", "pos", _masked(F.col("line")).alias("masked"))
-             .withColumn("n", F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
-             .where((F.col("n") >= min_tokens) & (F.col("masked") != "")))
-    return lines.withColumn("leaf", F.xxhash64("n", F.substring_index("masked", " ", depth)))
+    # masked inside the array, so that the filter below reads the result and not the expression again
+    masked = F.transform(F.split("text", "\n", -1), _masked)
+    tokens = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
+    return (rows.select("doc", "row", F.posexplode(masked).alias("pos", "masked"))
+            .where((tokens >= min_tokens) & (F.col("masked") != ""))
+            .withColumn("leaf", F.xxhash64(tokens, F.substring_index("masked", " ", depth))))
 
 
 def _with_key(lines: DataFrame) -> DataFrame:
