@@ -221,11 +221,12 @@ def _symbols(words: list[bytes], n: int) -> np.ndarray:
 
 
 _BLOCK = ("block bigint, ids array<bigint>, train array<boolean>, sizes array<int>, codes binary, "
-          "words array<binary>")
+          "words array<binary>, symbols binary")
 
 
-def coded_blocks(rows: DataFrame, block_tokens: int) -> DataFrame:
-    """Documents (doc_id, text, train) as blocks: code 0 is the end, code i the block's word i - 1."""
+def coded_blocks(rows: DataFrame, block_tokens: int, n_symbols: int) -> DataFrame:
+    """Documents (doc_id, text, train) as blocks: code 0 is the end, code i the block's word i - 1,
+    whose symbol stands in ``symbols``, so that passes over symbols don't read the words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
         ids, train, sizes, codes = [], [], [], []
@@ -237,8 +238,9 @@ def coded_blocks(rows: DataFrame, block_tokens: int) -> DataFrame:
                 pa.array([(task << 32) + n], type=pa.int64()), pa.array([ids], type=pa.list_(pa.int64())),
                 pa.array([train], type=pa.list_(pa.bool_())), pa.array([sizes], type=pa.list_(pa.int32())),
                 C.binary([np.array(codes, dtype="<i4").tobytes()]),
-                pa.array([list(table)], type=pa.list_(pa.binary()))],
-                names=["block", "ids", "train", "sizes", "codes", "words"])
+                pa.array([list(table)], type=pa.list_(pa.binary())),
+                C.binary([_symbols(list(table), n_symbols).astype("<i4").tobytes()])],
+                names=["block", "ids", "train", "sizes", "codes", "words", "symbols"])
         for b in batches:
             for i, t, raw in zip(b.column("doc_id").to_pylist(), b.column("train").to_pylist(), C.texts_of(b),
                                  strict=True):
@@ -261,12 +263,11 @@ def coded_blocks(rows: DataFrame, block_tokens: int) -> DataFrame:
 class _Block:
     def __init__(self, row: dict, n_symbols: int):
         self.block = row["block"]
-        self.ids, self.words = row["ids"], row["words"]
+        self.ids, self.words = row.get("ids"), row.get("words")
         self.train = np.array(row["train"], dtype=bool)
         self.sizes = np.array(row["sizes"], dtype=np.int64)
         self.codes = np.frombuffer(row["codes"], dtype="<i4")
-        self.hash = C.word_hashes(self.words, seed=2)
-        own = (self.hash % np.uint64(n_symbols)).astype(np.int64)
+        own = np.frombuffer(row["symbols"], dtype="<i4").astype(np.int64)
         self.symbol = np.concatenate([[n_symbols], own])     # by code
 
     def parts(self, n_parts: int, n_symbols: int) -> np.ndarray:
@@ -275,7 +276,7 @@ class _Block:
         if n_parts <= n_symbols:
             return own * n_parts // n_symbols
         more = n_parts // n_symbols
-        return own * more + (self.hash >> np.uint64(40)).astype(np.int64) % more
+        return own * more + (C.word_hashes(self.words, seed=3) >> np.uint64(40)).astype(np.int64) % more
 
     def in_training(self) -> np.ndarray:
         return np.repeat(self.train, self.sizes)
@@ -363,7 +364,7 @@ def _pass(blocks: DataFrame, p: Params, n_symbols: int) -> tuple[np.ndarray, np.
         at = np.flatnonzero(acc.any(axis=1))
         yield pa.record_batch([pa.array(at, type=pa.int32()), *(pa.array(acc[at, i]) for i in range(k))],
                               names=["at", *names])
-    got = (blocks.mapInArrow(run, "at int, " + ", ".join(f"{n} double" for n in names)).groupBy("at")
+    got = (blocks.select("block", "train", "sizes", "codes", "symbols").mapInArrow(run, "at int, " + ", ".join(f"{n} double" for n in names)).groupBy("at")
            .agg(*(F.sum(n).alias(n) for n in names)).toArrow())
     acc = np.zeros((n_symbols + 1 + k + 2, k))
     if got.num_rows:
@@ -405,7 +406,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     rows = C.id_text(docs, id_col, text_col)
     out = F.coalesce(C.doc_fold(folds=folds) == held_out, F.lit(False))
     n_parts = C.parts_for(C.text_bytes(rows) // 24, range_entries)
-    blocks = C.cut_lineage(coded_blocks(rows.withColumn("train", ~out), block_tokens), "lm-blocks")
+    blocks = C.cut_lineage(coded_blocks(rows.withColumn("train", ~out), block_tokens, symbols), "lm-blocks")
     answers = C.cut_lineage(_asks(blocks, n_parts, symbols).groupBy("part").applyInArrow(_counted(symbols), _ANSWER),
                             "lm-counts")
     seen, tokens = _symbol_totals(answers, symbols)
