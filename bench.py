@@ -21,7 +21,7 @@ HEADLINE = [
     "clean_offline", "label_15d", "received_vs_label_by_rate", "daily_received", "null_profile",
     "split_windows", "feat_H_user", "feat_L_user", "dataset_assembled", "dataset_compact",
     "dataset_user_block", "train_union", "centroid_distance", "lloyd_step", "silhouette_labels",
-    "kmeans_assign", "gbt_predictions",
+    "kmeans_assign", "gbt_user_block_predictions",
 ]
 
 

@@ -139,10 +139,10 @@ def zero_for_missing_distance(d) -> Column:
 def stable_mean(x) -> Column:
     """Mean of doubles that does not depend on summation order.
 
-    Sums in decimal(38, 9) (exact for the 9-digit rounded inputs, associative)
-    and divides once at the end, so every engine and every partitioning gives
-    the same bits.
+    Sums in decimal(38, 18), which keeps 18 decimals, and divides once at the
+    end.  Groups with a magnitude of 1e15 or more, where the sum could leave
+    that range, use the plain double mean.
     """
-    xc = _c(x)
-    return F.try_divide(F.sum(xc.cast("decimal(18,9)")).cast("double"),
-                        F.count(xc).cast("double"))
+    xc = _c(x).cast("double")
+    exact = F.try_sum(xc.try_cast("decimal(38,18)")).cast("double")
+    return F.when(F.max(F.abs(xc)) < 1e15, F.try_divide(exact, F.count(xc).cast("double"))).otherwise(F.avg(xc))

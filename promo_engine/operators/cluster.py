@@ -58,11 +58,10 @@ def assign(points: DataFrame, centres: list[list[float]]) -> DataFrame:
 
 
 def cluster_means(assigned: DataFrame) -> DataFrame:
-    """Per-cluster mean point, order-independent (decimal sums)."""
+    """Per-cluster mean point (double sums: any magnitude, last bits vary with the order)."""
     e = assigned.select("cluster", F.posexplode("p").alias("pos", "x"))
     g = e.groupBy("cluster", "pos").agg(
-        F.try_divide(F.sum(F.col("x").cast("decimal(18,9)")).cast("double"),
-                     F.count("x").cast("double")).alias("m"),
+        F.avg("x").alias("m"),
         F.count(F.lit(1)).alias("n"))
     return g.groupBy("cluster").agg(
         F.max("n").alias("n_points"),
@@ -153,12 +152,12 @@ def mllib_kmeans(points: DataFrame, k: int, seed: int = 0, max_iter: int = MAX_P
 def cluster_stats(assigned: DataFrame) -> list[dict]:
     """Per-cluster count, coordinate sums and sum of squared norms (k rows)."""
     e = assigned.select("cluster", F.posexplode("p").alias("pos", "x"))
-    sums = (e.groupBy("cluster", "pos").agg(F.sum(F.col("x").cast("decimal(18,9)")).cast("double").alias("s"))
+    sums = (e.groupBy("cluster", "pos").agg(F.sum("x").alias("s"))
             .groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))),
                                                 lambda t: t["s"]).alias("sum_p")))
     norms = assigned.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(V.dot("p", "p").cast("decimal(18,9)")).cast("double").alias("sum_sq"))
+        F.sum(V.dot("p", "p")).alias("sum_sq"))
     return [r.asDict() for r in norms.join(sums, "cluster").orderBy("cluster").collect()]
 
 
@@ -168,14 +167,25 @@ def silhouette_points(assigned: DataFrame, stats: list[dict] | None = None) -> D
     Mean squared distance from x to cluster C:
         (n_C |x|^2 - 2 x . S_C + Q_C) / n_C     (S = sum of points, Q = sum of |y|^2)
     a(x) divides by n_C - 1 (x itself contributes 0), b(x) is the smallest
-    mean over the other non-empty clusters; a singleton scores 0.
+    mean over the other non-empty clusters; a singleton scores 0.  Points are
+    taken about their global mean, which limits cancellation for data far
+    from the origin, and totals that round below 0 count as 0.  ``stats``, if
+    given, are those of ``assigned`` as it is.
     """
-    stats = stats if stats is not None else cluster_stats(assigned)
+    if stats is None:
+        mean = [r["m"] for r in assigned.select(F.posexplode("p").alias("pos", "x")).groupBy("pos")
+                .agg(F.avg("x").alias("m")).orderBy("pos").collect()]       # one number per dimension
+        if mean:
+            about = assigned.withColumn("__p", F.col("p")).withColumn(
+                "p", F.zip_with("p", V.literal_vector(mean), lambda x, m: x - m))
+            return silhouette_points(about, cluster_stats(about)).withColumn("p", F.col("__p")).drop("__p")
+        stats = []
     xx = V.dot("p", "p")
     per = []
     for s in stats:
         tot = (F.lit(float(s["n"])) * xx - 2.0 * V.dot("p", V.literal_vector(s["sum_p"]))
                + F.lit(float(s["sum_sq"])))
+        tot = F.greatest(tot, F.lit(0.0))
         per.append((int(s["cluster"]), int(s["n"]), tot))
     cl = F.col("cluster")
     own_n, a = F.lit(0), F.lit(None).cast("double")

@@ -46,7 +46,7 @@ def assemble_main(label: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def assemble_compact(label: DataFrame, history: DataFrame) -> DataFrame:
-    """Second author's dataset: its feature subset plus the ISO calendar
+    """The compact variant's dataset: its feature subset plus the ISO calendar
     block (``week`` 1..7, ``is_weekend`` on 5/6, ``week_1..7``)."""
     has_label = "label" in label.columns
     feats = FT.label_field_features(label, history, "compact", weekday_base=1)

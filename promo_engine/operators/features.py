@@ -160,7 +160,7 @@ MAIN_ORDER = [
     "Merchant_Coupon_amount",
 ]
 
-# The second author's variant: a subset of the same features.
+# The compact variant, a subset of the same features.
 COMPACT_ORDER = [
     "consume", "min_distance_x", "max_distance_x", "mean_distance", "receive_buy_mean_rate",
     "Coupon_amount", "User_received_total_coupon", "manjian_coupon", "User_Date_received_x",

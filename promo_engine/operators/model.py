@@ -39,8 +39,7 @@ class Booster:
     min_child: int = 1
 
 
-# The three published parameter sets.  The main set trains
-# 3000 rounds; ``rounds`` can be overridden per call (default 20 here).
+# The three published parameter sets.
 MAIN_PARAMS = Booster(eta=0.01, depth=5, rounds=3000, subsample=0.9, colsample="0.7", min_child=1)
 COMPACT_PARAMS = Booster(eta=0.03, depth=6, rounds=5, subsample=1.0, colsample="all", min_child=1)
 USER_BLOCK_PARAMS = Booster(eta=0.01, depth=5, rounds=10, subsample=0.9, colsample="0.7", min_child=3)
@@ -71,18 +70,20 @@ def assemble(df: DataFrame, features: list[str]) -> DataFrame:
 class FittedModel:
     model: object
     features: list[str]
+    data: DataFrame        # the written training rows: ids, label, features
 
 
-def fit(train: DataFrame, params: Booster = MAIN_PARAMS, rounds: int | None = 20,
+def fit(train: DataFrame, params: Booster = MAIN_PARAMS, rounds: int | None = None,
         drop_ids: bool = True, seed: int = 0) -> FittedModel:
-    """Fit on the training rows (lineage cut first: GBT runs many jobs)."""
+    """Fit on the training rows, written once (GBT runs many jobs);
+    ``rounds=None`` means the parameter set's own."""
     feats = feature_columns(train, drop_ids)
     data = cut_lineage(assemble(train, feats).withColumn("label", F.col("label").cast("double")))
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds or params.rounds,
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=params.rounds if rounds is None else rounds,
                         stepSize=params.eta, maxDepth=params.depth, subsamplingRate=params.subsample,
                         featureSubsetStrategy=params.colsample, minInstancesPerNode=params.min_child,
                         seed=seed, lossType="logistic")
-    return FittedModel(gbt.fit(data), feats)
+    return FittedModel(gbt.fit(data), feats, data)
 
 
 def score(fm: FittedModel, rows: DataFrame) -> DataFrame:
@@ -91,9 +92,10 @@ def score(fm: FittedModel, rows: DataFrame) -> DataFrame:
     return out.select(*ID_COLUMNS, vector_to_array("probability")[1].alias("prob"))
 
 
-def train_auc(fm: FittedModel, train: DataFrame) -> float:
-    """Area under the ROC curve on the training rows."""
-    out = fm.model.transform(assemble(train, fm.features).withColumn("label", F.col("label").cast("double")))
+def train_auc(fm: FittedModel, train: DataFrame | None = None) -> float:
+    """Area under the ROC curve on the rows the model was fitted on, or on ``train``."""
+    rows = fm.data if train is None else assemble(train, fm.features).withColumn("label", F.col("label").cast("double"))
+    out = fm.model.transform(rows)
     return BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
                                          metricName="areaUnderROC").evaluate(out)
 

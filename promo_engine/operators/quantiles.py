@@ -30,16 +30,23 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
 
 def kth_values(long: DataFrame, wanted: dict[str, list[int]]) -> dict[tuple[str, int], float]:
     """Exact k-th smallest (0-based) non-null ``value`` per ``column_name``."""
-    data = long.where(F.col("value").isNotNull()).select("column_name", "value")
-    stats = {r["column_name"]: (r["lo"], r["hi"]) for r in
-             data.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
-    # search id -> [column, rank, lo, hi, count below lo]
+    inf = float("inf")
+    data = long.where(F.col("value").isNotNull() & ~F.isnan("value")).select("column_name", "value")
+    finite = F.when(F.abs("value") < inf, F.col("value"))
+    stats = {r["column_name"]: r for r in
+             data.groupBy("column_name").agg(F.min(finite).alias("lo"), F.max(finite).alias("hi"), F.count(finite).alias("n"),
+                                             F.count_if(F.col("value") == -inf).alias("low")).collect()}
+    data = data.where(F.abs("value") < inf)
+    # search id -> [column, rank, lo, hi, count below lo]; infinite ranks are known already
     open_ = {}
+    done: dict[tuple[str, int], float] = {}
     for c, ks in wanted.items():
         for k in sorted(set(ks)):
-            lo, hi = stats[c]
-            open_[len(open_)] = [c, k, float(lo), float(hi), 0]
-    done: dict[tuple[str, int], float] = {}
+            s = stats[c]
+            if s["low"] <= k < s["low"] + s["n"]:
+                open_[len(open_)] = [c, k, float(s["lo"]), float(s["hi"]), s["low"]]
+            else:
+                done[(c, k)] = -inf if k < s["low"] else inf
     for _ in range(MAX_PASSES):
         for sid, (c, k, lo, hi, below) in list(open_.items()):
             if lo == hi:
@@ -53,8 +60,10 @@ def kth_values(long: DataFrame, wanted: dict[str, list[int]]) -> dict[tuple[str,
         s = F.explode(F.filter(searches, lambda t: (t["c"] == F.col("column_name"))
                                & (F.col("value") >= t["lo"]) & (F.col("value") <= t["hi"])))
         tagged = data.select("value", s.alias("t"))
-        width = (F.col("t.hi") - F.col("t.lo")) / F.lit(float(BUCKETS))
-        bucket = F.least(F.floor((F.col("value") - F.col("t.lo")) / width), F.lit(BUCKETS - 1)).cast("int")
+        # divided first: the range of finite doubles may be no finite double; at least the least double
+        width = F.greatest(F.col("t.hi") / F.lit(float(BUCKETS)) - F.col("t.lo") / F.lit(float(BUCKETS)), F.lit(5e-324))
+        place = F.col("value") / width - F.col("t.lo") / width
+        bucket = F.greatest(F.lit(0), F.least(F.floor(F.least(place, F.lit(float(BUCKETS)))), F.lit(BUCKETS - 1))).cast("int")
         hist = (tagged.groupBy(F.col("t.sid").alias("sid"), bucket.alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("mn"), F.max("value").alias("mx"))
                 .collect())
@@ -76,7 +85,7 @@ def exact_quantiles(long: DataFrame, probs=(0.25, 0.5, 0.75)) -> dict[str, list[
     """Linear-interpolated quantiles (the ``percentile`` / ``quantile_cont``
     definition) per ``column_name`` of a long (column_name, value) table."""
     counts = {r["column_name"]: r["n"] for r in
-              long.groupBy("column_name").agg(F.count("value").alias("n")).collect()}
+              long.groupBy("column_name").agg(F.count(F.when(~F.isnan("value"), F.col("value"))).alias("n")).collect()}
     wanted = {c: [r for p in probs for r in _ranks(n, p)[:2]] for c, n in counts.items() if n > 0}
     kth = kth_values(long, wanted)
     out = {}
@@ -88,6 +97,6 @@ def exact_quantiles(long: DataFrame, probs=(0.25, 0.5, 0.75)) -> dict[str, list[
                 continue
             a, b, frac = _ranks(n, p)
             x, y = kth[(c, a)], kth[(c, b)]
-            vals.append(x + (y - x) * frac)
+            vals.append(x if x == y else x + (y - x) * frac if frac else x)
         out[c] = vals
     return out

@@ -118,9 +118,13 @@ def column_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     """R11 (A15): per-column sums and each column's share of the grand total.
 
     Sums are taken in decimal(38, 9) so they do not depend on the order the
-    partitions are combined in; the long table has one row per column.
+    partitions are combined in; a column that leaves that range (1e29) is
+    summed as doubles.  The long table has one row per column.
     """
-    wide = df.agg(*[F.sum(F.col(c).cast("decimal(18,9)")).alias(f"s__{i}") for i, c in enumerate(cols)])
+    def total(c):
+        x = F.col(f"`{c}`").cast("double")
+        return F.when(F.max(F.abs(x)) < 1e18, F.try_sum(x.try_cast("decimal(38,9)")).cast("double")).otherwise(F.sum(x))
+    wide = df.agg(*[total(c).alias(f"s__{i}") for i, c in enumerate(cols)])
     stack = ", ".join(f"'{c}', `s__{i}`" for i, c in enumerate(cols))
     long = wide.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, total)")
     grand = F.sum("total").over(Window.partitionBy(F.lit(1)))
@@ -134,18 +138,22 @@ def box_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     Exact quartiles (linear interpolation) by distributed selection
     (``operators.quantiles``), then one pass for the whiskers -- the most
     extreme values within 1.5 IQR of the box -- and the outlier count,
-    against a quartile table of one row per column.
+    against a quartile table of one row per column.  NaN counts as missing,
+    infinities are values; a column without values has null numbers and no
+    outliers, one whose box has an infinite or undefined width no whiskers
+    where no value lies inside.
     """
     from promo_engine.operators.quantiles import exact_quantiles
     long = unpivot_numeric(df, cols)
     q = exact_quantiles(long, (0.25, 0.5, 0.75))
     spark = df.sparkSession
-    qt = spark.createDataFrame([(c, *q[c]) for c in cols],
+    qt = spark.createDataFrame([(c, *q.get(c, (None, None, None))) for c in cols],
                                "column_name string, q1 double, median double, q3 double")
     qt = qt.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
            .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
-    return (long.join(F.broadcast(qt), "column_name")  # one row per column: bounded
+    # one row per column: bounded.  The box table leads, so a column without values has its row too.
+    return (F.broadcast(qt).join(long.where(~F.isnan("value")), "column_name", "left")
             .groupBy("column_name", "q1", "median", "q3")
             .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
                  F.max(F.when(inside, F.col("value"))).alias("whisker_high"),

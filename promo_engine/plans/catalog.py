@@ -19,7 +19,6 @@ from promo_engine.operators import reports as R
 from promo_engine.operators import user_block as UB
 from promo_engine.plans import materialize as MZ
 from promo_engine.plans import split as SP
-from promo_engine.session import cut_lineage_all
 from promo_engine.sources.coupons import coupon_raw
 from promo_engine.sources.tables import read_table
 
@@ -238,7 +237,8 @@ def _points(spark, sf):
 
 def q_centroid_distance(spark, sf):
     """Distance of every embedding to its class centroid."""
-    return CU.centroid_distances(_points(spark, sf), "label")
+    d = CU.centroid_distances(_points(spark, sf), "label")
+    return d.select("id", "label", F.round("euclidean", 9).alias("euclidean"), F.round("manhattan", 9).alias("manhattan"))
 
 
 def _label_centres(pts):
@@ -252,7 +252,9 @@ def q_lloyd_step(spark, sf):
     centroids (k = number of classes, clusters named by class)."""
     pts = _points(spark, sf)
     ids, centres = _label_centres(pts)
-    return CU.lloyd_step_table(pts.select("id", "p"), centres, ids)
+    t = CU.lloyd_step_table(pts.select("id", "p"), centres, ids)
+    return t.select("cluster", "n_points", F.transform("centre", lambda x: F.round(x, 9)).alias("centre"),
+                    F.round("shift", 9).alias("shift"))
 
 
 def q_silhouette_labels(spark, sf):
@@ -260,7 +262,7 @@ def q_silhouette_labels(spark, sf):
     pts = _points(spark, sf).withColumnRenamed("label", "cluster")
     s = CU.silhouette_points(pts)
     return s.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_points"),
-                                    stable_mean("silhouette").alias("mean_silhouette"))
+                                    F.round(stable_mean("silhouette"), 9).alias("mean_silhouette"))
 
 
 def q_pca_2d(spark, sf):
@@ -314,25 +316,11 @@ def _main_sets(spark, sf):
     return DS.train_union(tr, va), te
 
 
-def q_gbt_predictions(spark, sf):
-    """Train on train + validation, score the test set (outcome hidden).
-    Both inputs are written first, by concurrent jobs; the fit and the
-    scoring then read files."""
-    big, test = cut_lineage_all(list(_main_sets(spark, sf)), "gbt-input")
-    fm = MD.fit(big, MD.MAIN_PARAMS, rounds=20)
-    return MD.score(fm, test)
-
-
-def q_gbt_importance(spark, sf):
-    big, _ = _main_sets(spark, sf)
-    fm = MD.fit(big, MD.MAIN_PARAMS, rounds=20)
-    return MD.importance(fm)
-
-
-QUERIES.update({
-    "gbt_predictions": q_gbt_predictions,
-    "gbt_importance": q_gbt_importance,
-})
+def main_model_sets(spark, sf):
+    """(training rows, test rows) of the main model.  Its published 3000
+    rounds are a job's work (``plans.jobs.coupon_model_job``), so no query
+    registers a shortened copy of it."""
+    return _main_sets(spark, sf)
 
 
 # ---- table reports (R11-R13) on lineitem ------------------------------------------------
@@ -373,8 +361,7 @@ def q_gbt_compact_predictions(spark, sf):
     fields(spark, sf, TRAIN)
     tr, te = _in_parallel(lambda: _variant_dataset(spark, sf, TRAIN, "compact"),
                           lambda: _variant_dataset(spark, sf, TEST, "compact"))
-    tr, te = cut_lineage_all([tr, te], "gbt-input")
-    fm = MD.fit(tr, MD.COMPACT_PARAMS, rounds=None, drop_ids=False)
+    fm = MD.fit(tr, MD.COMPACT_PARAMS, drop_ids=False)
     return MD.score(fm, te)
 
 
@@ -384,12 +371,36 @@ def q_gbt_user_block_predictions(spark, sf):
     fields(spark, sf, TRAIN)
     tr, va, te = _in_parallel(*[(lambda s=s: _variant_dataset(spark, sf, s, "user_block"))
                                 for s in (TRAIN, VALIDATE, TEST)])
-    big, te = cut_lineage_all([DS.train_union(tr, va), te], "gbt-input")
-    fm = MD.fit(big, MD.USER_BLOCK_PARAMS, rounds=None)
+    fm = MD.fit(DS.train_union(tr, va), MD.USER_BLOCK_PARAMS)
     return MD.score(fm, te)
 
 
+def q_gbt_importance(spark, sf):
+    """Split counts and gains of the per-user-block model (10 rounds)."""
+    fields(spark, sf, TRAIN)
+    tr, va = _in_parallel(*[(lambda s=s: _variant_dataset(spark, sf, s, "user_block")) for s in (TRAIN, VALIDATE)])
+    return MD.importance(MD.fit(DS.train_union(tr, va), MD.USER_BLOCK_PARAMS))
+
+
 QUERIES.update({
     "gbt_compact_predictions": q_gbt_compact_predictions,
     "gbt_user_block_predictions": q_gbt_user_block_predictions,
+    "gbt_importance": q_gbt_importance,
 })
+
+#: Means of doubles: sums differ in the last bits between engines, so results are compared to 9 decimals.
+MEANS = ("mean_distance", "receive_buy_mean_rate", "receive_use_mean", "15_mean_consume_distance",
+         "history_field_User_id_receive_and_consume_mean_discount_rate",
+         "history_field_User_id_receive_and_consume_mean_distance")
+
+
+def _rounded(fn):
+    def q(spark, sf):
+        df = fn(spark, sf)
+        return df.withColumns({c: F.round(F.col(f"`{c}`"), 9) for c in MEANS if c in df.columns})
+    q.__name__, q.__doc__ = fn.__name__, fn.__doc__
+    return q
+
+
+for _name in [n for n in QUERIES if n.startswith(("feat_", "user_block", "dataset_", "train_union"))]:
+    QUERIES[_name] = _rounded(QUERIES[_name])

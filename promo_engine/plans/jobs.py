@@ -41,7 +41,7 @@ class ModelJobResult:
 
 
 def build_datasets(spark: SparkSession, cleaned: DataFrame, test_cleaned: DataFrame,
-                   variant: str = "main", token: str = "offline") -> dict[str, DataFrame]:
+                   variant: str = "main", token: str = "") -> dict[str, DataFrame]:
     assemble, splits, _, _ = VARIANTS[variant]
     out = {}
     for s in splits:
@@ -54,7 +54,7 @@ def build_datasets(spark: SparkSession, cleaned: DataFrame, test_cleaned: DataFr
 
 
 def coupon_model_job(spark: SparkSession, train_csv: str, test_csv: str, variant: str = "main",
-                     rounds: int | None = 20, out_dir: str | None = None) -> ModelJobResult:
+                     rounds: int | None = None, out_dir: str | None = None) -> ModelJobResult:
     train = CL.labelled(FL.read_offline_csv(spark, train_csv))
     test = CL.clean(FL.read_offline_csv(spark, test_csv))
     sets = build_datasets(spark, train, test, variant, token=f"{train_csv}|{test_csv}")
@@ -64,7 +64,7 @@ def coupon_model_job(spark: SparkSession, train_csv: str, test_csv: str, variant
     pred = MD.score(fm, sets["test"])
     if out_dir:
         write_csv(pred, f"{out_dir.rstrip('/')}/result", header=False)   # K1
-    return ModelJobResult(pred, MD.importance(fm), MD.train_auc(fm, fit_on))
+    return ModelJobResult(pred, MD.importance(fm), MD.train_auc(fm))
 
 
 @dataclass

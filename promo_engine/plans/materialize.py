@@ -30,6 +30,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _identity(spark: SparkSession, df: DataFrame) -> tuple:
+    """What ``df`` reads: its plan, and each input file's size and modification time."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for f in sorted(df.inputFiles()):
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        s = p.getFileSystem(conf).getFileStatus(p)
+        files.append((f, s.getLen(), s.getModificationTime()))
+    return df.semanticHash(), tuple(files)
+
+
 def received_range(splits) -> tuple:
     """Smallest [lo, hi) receipt-date range covering every history and label
     interval of ``splits`` (used to prune the source before tagging)."""
@@ -41,9 +52,10 @@ def fields_table(spark: SparkSession, cleaned: DataFrame, splits, token: str) ->
     """(cleaned columns..., split, field) for the history and label intervals
     of every split set in ``splits``, written in ONE pass over the source
     (a row is repeated once per interval it falls in) and partitioned by
-    split and field.  Written once per session and source ``token``."""
+    split and field.  Written once per session, source ``token`` and state
+    of the input (``_identity``): other rows or replaced files are written anew."""
     splits = tuple(splits)
-    key = (spark.sparkContext.applicationId, token, splits)
+    key = (spark.sparkContext.applicationId, token, splits, _identity(spark, cleaned))
     with _LOCK:
         return spark.read.parquet(_write_once(spark, cleaned, splits, key))
 

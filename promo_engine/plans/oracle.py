@@ -54,7 +54,7 @@ def _with(*parts: str) -> str:
 
 
 def _mean(x: str) -> str:
-    return f"cast(sum(cast({x} as decimal(18,9))) as double) / cast(count({x}) as double)"
+    return f"round(avg(cast({x} as double)), 9)"
 
 
 def _cnt(cond: str) -> str:
@@ -463,7 +463,7 @@ _FOLD_DOT = "list_reduce(list_transform(list_zip({a}, {b}), lambda s: s[1] * s[2
 PTS = """pts as (select vec_id as id, label, cast(embedding as double[]) as p from embeddings),
 ex as (select id, label, unnest(p) as x, unnest(range(len(p))) as pos from pts),
 cent as (select label, list(m order by pos) as centre from (
-  select label, pos, cast(sum(cast(x as decimal(18,9))) as double) / cast(count(x) as double) as m
+  select label, pos, avg(x) as m
   from ex group by label, pos) group by label)"""
 
 LLOYD = f"""d as (select pts.id, pts.p, cent.label as cluster,
@@ -471,13 +471,13 @@ LLOYD = f"""d as (select pts.id, pts.p, cent.label as cluster,
 asg as (select id, p, cluster from (select *, row_number() over (partition by id order by dist, cluster) as rn from d) where rn = 1),
 aex as (select cluster, unnest(p) as x, unnest(range(len(p))) as pos from asg),
 newc as (select cluster, max(n) as n_points, list(m order by pos) as centre from (
-   select cluster, pos, count(*) as n, cast(sum(cast(x as decimal(18,9))) as double) / cast(count(x) as double) as m
+   select cluster, pos, count(*) as n, avg(x) as m
    from aex group by cluster, pos) group by cluster)"""
 
 SIL = f"""xx as (select id, label as cluster, p, {_FOLD_DOT.format(a='p', b='p')} as xx from pts),
-st as (select cluster, count(*) as n, cast(sum(cast(xx as decimal(18,9))) as double) as q from xx group by cluster),
+st as (select cluster, count(*) as n, sum(xx) as q from xx group by cluster),
 ss as (select cluster, list(s order by pos) as sp from (
-   select label as cluster, pos, cast(sum(cast(x as decimal(18,9))) as double) as s from ex group by label, pos)
+   select label as cluster, pos, sum(x) as s from ex group by label, pos)
    group by cluster),
 tot as (select xx.id, xx.cluster as own, st.cluster as c, st.n,
    (cast(st.n as double) * xx.xx - 2.0 * {_FOLD_DOT.format(a='xx.p', b='ss.sp')}) + st.q as t
@@ -534,3 +534,9 @@ ORACLES["user_block_history"] = (
     _with(BASE, TRAIN_FIELDS, USER_BLOCK_CTE.replace("from L0 group by user_id", "from H group by user_id"))
     + "select L0.user_id, merchant_id, coupon_id, date_received, " + USER_BLOCK_SELECT
     + " from L0 left join ub on L0.user_id = ub.user_id")
+
+# last bits of double sums vary with their order: compared to 9 decimals
+ORACLES["centroid_distance"] = ("select id, label, round(euclidean, 9) as euclidean, round(manhattan, 9) as manhattan from ("
+                                + ORACLES["centroid_distance"] + ")")
+ORACLES["lloyd_step"] = ("select cluster, n_points, list_transform(centre, lambda x: round(x, 9)) as centre, "
+                         "round(shift, 9) as shift from (" + ORACLES["lloyd_step"] + ")")

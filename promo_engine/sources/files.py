@@ -19,9 +19,27 @@ OFFLINE_COLUMNS = ("User_id", "Merchant_id", "Coupon_id", "Discount_rate", "Dist
                    "Date_received", "Date")
 
 
-def read_offline_csv(spark: SparkSession, path: str) -> DataFrame:
+def bad_values(spark: SparkSession, path: str) -> DataFrame:
+    """``column_name, n_bad, example``: values of an offline log that its
+    numeric and date columns can't hold (P11), for columns that have any."""
+    df = spark.read.option("header", True).option("nullValue", "null").csv(path)
+    checks = {c: F.col(c).try_cast("double").try_cast("bigint") for c in ("User_id", "Merchant_id", "Coupon_id", "Distance")}
+    checks |= {c: C.yyyymmdd_to_date(c) for c in ("Date_received", "Date") if c in df.columns}
+    found = F.array(*[F.when(F.col(c).isNotNull() & v.isNull(), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")))
+                      for c, v in checks.items()])
+    return (df.select(F.explode(F.array_compact(found)).alias("b")).groupBy("b.column_name")
+            .agg(F.count(F.lit(1)).alias("n_bad"), F.min("b.v").alias("example")))
+
+
+def read_offline_csv(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Offline coupon log (train has ``Date``, test does not) mapped to
-    the canonical raw coupon schema of ``sources.coupons``."""
+    the canonical raw coupon schema of ``sources.coupons``.  Bad ids and dates
+    become null; ``bad_values`` counts them, and ``strict`` raises on any."""
+    if strict:
+        bad = bad_values(spark, path).collect()               # a row per column at most
+        if bad:
+            raise ValueError("bad values: " + "; ".join(f"{r['column_name']} {r['n_bad']}, such as {r['example']!r}"
+                                                        for r in sorted(bad, key=lambda r: r["column_name"])))
     head = spark.read.option("header", True).option("nullValue", "null").csv(path)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in head.columns])
     df = spark.read.option("header", True).option("nullValue", "null").schema(schema).csv(path)
@@ -41,19 +59,20 @@ def read_offline_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_headerless_csv(spark: SparkSession, path: str, n_cols: int | None = None) -> DataFrame:
+def read_headerless_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV without header; columns come out as ``_c0.._cN`` (text)."""
     return spark.read.option("header", False).csv(path)
 
 
 def read_whitespace_text(spark: SparkSession, path: str) -> DataFrame:
     """S3: numbers separated by runs of whitespace (the CSV reader has no
-    regex separator): one text line -> split -> ``_c0.._cN`` doubles."""
+    regex separator): one text line -> split -> ``_c0.._cN`` doubles.  There
+    are as many columns as the longest line has tokens; shorter lines end in
+    nulls."""
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    parts = F.split(F.trim("value"), r"\s+")
-    first = lines.select(F.size(parts).alias("n")).first()
-    n = int(first["n"]) if first else 0
-    return lines.select(*[parts.getItem(i).try_cast("double").alias(f"_c{i}") for i in range(n)])
+    parts = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")
+    n = lines.agg(F.coalesce(F.max(F.size(parts)), F.lit(0)).alias("n")).first()["n"]
+    return lines.select(*[F.get(parts, F.lit(i)).try_cast("double").alias(f"_c{i}") for i in range(n)])
 
 
 @dataclass(frozen=True)
