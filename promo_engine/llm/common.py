@@ -8,6 +8,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -153,6 +154,25 @@ def texts_of(table: pa.Table | pa.RecordBatch, name: str = "text") -> list[bytes
                                                       else pa.binary()).to_pylist()]
 
 
+def each_row(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows as dicts, one at a time: for batches of few, large rows."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside send Python at most ``rows`` rows a batch (large
+    rows would else fill batches of tens of MB); the setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -40,6 +40,8 @@ SYMBOLS = 1 << 14
 BLOCK_TOKENS = 500_000
 RANGE_ENTRIES = 500_000
 SEGMENT = 256
+SEGMENTS_AT_ONCE = 1024
+BLOCKS_AT_ONCE = 2
 START_BLOCKS = 12
 START_PASSES = 8
 PASSES = 3
@@ -155,33 +157,43 @@ def expected_counts(p: Params, sym: np.ndarray, sizes: np.ndarray, most: int = S
         w = np.flatnonzero(s.index == j)
         b = np.einsum("nij,nj->ni", mats[w], leave[w])
         leave[s.prev[w]] = b / b.sum(axis=1, keepdims=True)
+    start, moves, emit = np.zeros(k), np.zeros((k, k)), np.zeros((n_sym, k))
+    for lo in range(0, len(s.at), SEGMENTS_AT_ONCE):   # each segment's ends are known, so groups stand alone
+        g = slice(lo, lo + SEGMENTS_AT_ONCE)
+        _add_counts(p, sym, s.at[g], s.size[g], s.first[g], enter[g], leave[g], start, moves, emit)
+    return start, moves, emit, float(log.sum())
+
+
+def _add_counts(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray, first: np.ndarray, enter: np.ndarray,
+                leave: np.ndarray, start: np.ndarray, moves: np.ndarray, emit: np.ndarray) -> None:
+    """Adds the expected counts of segments (longest first) to ``start``, ``moves`` and ``emit``."""
+    k = len(p.start)
     alphas, acts = [], []
-    for t in range(int(s.size.max())):
-        act = int(np.searchsorted(-s.size, -t, side="left"))
+    for t in range(int(size.max())):
+        act = int(np.searchsorted(-size, -t, side="left"))
         if t == 0:
-            a = np.where(s.first[:, None], p.start, enter @ p.move)
+            a = np.where(first[:, None], p.start, enter @ p.move)
         else:
             a = alphas[-1][:act] @ p.move
-        a = a * p.emit[sym[s.at[:act] + t]]
+        a = a * p.emit[sym[at[:act] + t]]
         alphas.append(a / a.sum(axis=1, keepdims=True))
         acts.append(act)
-    moves, start = np.zeros((k, k)), np.zeros(k)
     gammas, symbols = [], []
-    beta = np.empty((len(s.at), k))
+    beta = np.empty((len(at), k))
     done = 0
     for t in range(len(alphas) - 1, -1, -1):
         act = acts[t]
         beta[done:act] = leave[done:act]             # segments whose last token this is
         done = act
-        here = sym[s.at[:act] + t]
+        here = sym[at[:act] + t]
         g = alphas[t] * beta[:act]
         g /= g.sum(axis=1, keepdims=True)
         gammas.append(g)
         symbols.append(here)
         eb = p.emit[here] * beta[:act]
         if t == 0:
-            start += g[s.first].sum(axis=0)
-            before, eb = enter[~s.first], eb[~s.first]
+            start += g[first].sum(axis=0)
+            before, eb = enter[~first], eb[~first]
         else:
             before = alphas[t - 1][:act]
         if len(before):
@@ -191,8 +203,8 @@ def expected_counts(p: Params, sym: np.ndarray, sizes: np.ndarray, most: int = S
             if t:
                 beta[:act] = back / back.sum(axis=1, keepdims=True)
     g, here = np.concatenate(gammas), np.concatenate(symbols)
-    emit = np.stack([np.bincount(here, weights=g[:, i], minlength=n_sym) for i in range(k)], axis=1)
-    return start, moves, emit, float(log.sum())
+    for i in range(k):
+        emit[:, i] += np.bincount(here, weights=g[:, i], minlength=len(emit))
 
 
 def estimate(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, shape: np.ndarray) -> Params:
@@ -289,7 +301,7 @@ _ANSWER = "part int, block bigint, counts binary, symbols binary, seen binary, t
 def _asks(blocks: DataFrame, n_parts: int, n_symbols: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in C.each_row(batch):
                 b = _Block(row, n_symbols)
                 if not b.words:
                     continue
@@ -353,7 +365,7 @@ def _pass(blocks: DataFrame, p: Params, n_symbols: int) -> tuple[np.ndarray, np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc = np.zeros((n_symbols + 1 + k + 2, k))      # emissions, moves, start, log likelihood
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in C.each_row(batch):
                 b = _Block(row, n_symbols)
                 sym = b.symbol[b.codes[b.in_training()]]
                 start, moves, emit, log = expected_counts(p, sym, b.sizes[b.train])
@@ -364,8 +376,11 @@ def _pass(blocks: DataFrame, p: Params, n_symbols: int) -> tuple[np.ndarray, np.
         at = np.flatnonzero(acc.any(axis=1))
         yield pa.record_batch([pa.array(at, type=pa.int32()), *(pa.array(acc[at, i]) for i in range(k))],
                               names=["at", *names])
-    got = (blocks.select("block", "train", "sizes", "codes", "symbols").mapInArrow(run, "at int, " + ", ".join(f"{n} double" for n in names)).groupBy("at")
-           .agg(*(F.sum(n).alias(n) for n in names)).toArrow())
+    sums = (blocks.select("block", "train", "sizes", "codes", "symbols")
+            .mapInArrow(run, "at int, " + ", ".join(f"{n} double" for n in names))
+            .groupBy("at").agg(*(F.sum(n).alias(n) for n in names)))
+    with C.arrow_rows(blocks.sparkSession, BLOCKS_AT_ONCE):
+        got = sums.toArrow()
     acc = np.zeros((n_symbols + 1 + k + 2, k))
     if got.num_rows:
         acc[np.asarray(got.column("at"))] = np.stack([np.asarray(got.column(n)) for n in names], axis=1)
@@ -407,8 +422,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     out = F.coalesce(C.doc_fold(folds=folds) == held_out, F.lit(False))
     n_parts = C.parts_for(C.text_bytes(rows) // 24, range_entries)
     blocks = C.cut_lineage(coded_blocks(rows.withColumn("train", ~out), block_tokens, symbols), "lm-blocks")
-    answers = C.cut_lineage(_asks(blocks, n_parts, symbols).groupBy("part").applyInArrow(_counted(symbols), _ANSWER),
-                            "lm-counts")
+    with C.arrow_rows(docs.sparkSession, BLOCKS_AT_ONCE):
+        answers = C.cut_lineage(_asks(blocks, n_parts, symbols).groupBy("part").applyInArrow(_counted(symbols), _ANSWER),
+                                "lm-counts")
     seen, tokens = _symbol_totals(answers, symbols)
     ends = blocks.agg(F.coalesce(F.sum(F.size(F.filter("train", lambda x: x))), F.lit(0))).first()[0]
     n, v = int(tokens.sum()) + ends, int(seen.sum()) + int(ends > 0)
