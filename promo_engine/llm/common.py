@@ -75,7 +75,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_SLICE = 1 << 20
+_SLICE = 1 << 17        # bytes hashed at once: the tables of powers, kept per worker, stay at a few MB
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 

@@ -38,10 +38,11 @@ from promo_engine.llm import common as C
 STATES = 6
 SYMBOLS = 1 << 14
 BLOCK_TOKENS = 500_000
-RANGE_ENTRIES = 500_000
+RANGE_ENTRIES = 250_000
 SEGMENT = 256
 SEGMENTS_AT_ONCE = 1024
 BLOCKS_AT_ONCE = 2
+TEXTS_AT_ONCE = 256
 START_BLOCKS = 12
 START_PASSES = 8
 PASSES = 3
@@ -253,7 +254,7 @@ def coded_blocks(rows: DataFrame, block_tokens: int, n_symbols: int) -> DataFram
                 pa.array([list(table)], type=pa.list_(pa.binary())),
                 C.binary([_symbols(list(table), n_symbols).astype("<i4").tobytes()])],
                 names=["block", "ids", "train", "sizes", "codes", "words", "symbols"])
-        for b in batches:
+        for b in (whole.slice(lo, TEXTS_AT_ONCE) for whole in batches for lo in range(0, whole.num_rows, TEXTS_AT_ONCE)):
             for i, t, raw in zip(b.column("doc_id").to_pylist(), b.column("train").to_pylist(), C.texts_of(b),
                                  strict=True):
                 words = _words_of(raw)

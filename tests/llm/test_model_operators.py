@@ -28,8 +28,10 @@ def plain(p, seq):
     return np.log(total), (al * be / total)[0], moves, emit
 
 
+@pytest.mark.parametrize("at_once", [1, 3, 1024])
 @pytest.mark.parametrize("most", [1, 2, 4, 100])
-def test_forward_backward_is_plain(most):
+def test_forward_backward_is_plain(most, at_once, monkeypatch):
+    monkeypatch.setattr(hmm_lm, "SEGMENTS_AT_ONCE", at_once)
     rng = np.random.default_rng(1)
     p, sizes = chain(rng), np.array([1, 7, 3, 20, 2, 11])
     sym = rng.integers(0, 5, sizes.sum())
