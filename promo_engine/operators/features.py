@@ -261,8 +261,8 @@ def _source_rows(label: DataFrame, history: DataFrame | None, keys, specs) -> tu
     return rows, F.col("__is_l"), ~F.col("__is_l")
 
 
-def _distinct_counts(rows: DataFrame, keys, specs: list[Spec], is_l: Column, is_h: Column) -> DataFrame:
-    """Distinct counts as an explicit two-level aggregate.
+def _distinct_counts(rows: DataFrame, keys, specs: list[Spec], is_l: Column, is_h: Column) -> list[DataFrame]:
+    """Distinct counts as explicit two-level aggregates, one table per value column.
 
     Level 1 groups by (keys, value) with one "seen under this spec's
     condition" flag per spec; level 2 counts the flagged values per key.
@@ -270,7 +270,7 @@ def _distinct_counts(rows: DataFrame, keys, specs: list[Spec], is_l: Column, is_
     built-in rewrite of several ``count(distinct)`` -- the other aggregates
     of the block are not expanded along with them.
     """
-    out = None
+    out = []
     for v in sorted({s.value for s in specs}):
         vs = [s for s in specs if s.value == v]
         flags = [F.max(F.when((is_l if s.src == "L" else is_h) & _cond(s.cond), F.lit(1))).alias(f"__f{i}")
@@ -278,30 +278,34 @@ def _distinct_counts(rows: DataFrame, keys, specs: list[Spec], is_l: Column, is_
         pairs = rows.where(_value(v).isNotNull()).groupBy(*keys, _value(v).alias("__v")).agg(*flags)
         counts = pairs.groupBy(*keys).agg(
             *[F.nullif(F.count_if(F.col(f"__f{i}") == 1), F.lit(0)).alias(s.name) for i, s in enumerate(vs)])
-        out = counts if out is None else _join_keys(out, counts, keys, keys, "full")
+        out.append(counts)
     return out
 
 
 def aggregate_block(label: DataFrame, history: DataFrame | None, keys, specs) -> DataFrame:
-    """One row per key: all aggregates of one key set (partial aggregation)."""
+    """One row per key: all aggregates of one key set (partial aggregation).
+
+    Null keys form no group (as in the pipeline's group-by), except the label
+    field's receipt date, which the pipeline coerces to a value of its own.
+    They go first, so that the joins below compare plain keys and reuse the
+    aggregates' partitioning.
+    """
     rows, is_l, is_h = _source_rows(label, history, keys, specs)
+    for k in keys:
+        if k not in _null_safe(specs):
+            rows = rows.where(F.col(k).isNotNull())
     plain = [s for s in specs if s.agg != "ndistinct"]
     distinct = [s for s in specs if s.agg == "ndistinct"]
     aggs = [_agg(s, is_l if s.src == "L" else is_h) for s in plain] or [F.count(F.lit(1)).alias("__n")]
     out = rows.groupBy(*keys).agg(*aggs)
-    if distinct:
-        out = _join_keys(out, _distinct_counts(rows, keys, distinct, is_l, is_h), keys, keys)
+    for counts in _distinct_counts(rows, keys, distinct, is_l, is_h):
+        out = _join_keys(out, counts, keys, _null_safe(specs))
     out = out.select(*keys, *[F.col(f"`{s.name}`") for s in specs])
     # Groups where no spec found a matching row carry no information (the
-    # left join gives null for them anyway).  Null keys form no group (as in
-    # the pipeline's group-by), except the label field's receipt date, which
-    # the pipeline coerces to a value of its own.
+    # left join gives null for them anyway).
     keep = F.lit(False)
     for s in specs:
         keep = keep | F.col(f"`{s.name}`").isNotNull()
-    for k in keys:
-        if k not in _null_safe(specs):
-            keep = keep & F.col(k).isNotNull()
     return out.where(keep)
 
 
@@ -407,15 +411,16 @@ def _row_feature(name, kind, x, y) -> Column:
 
 
 def label_field_features(label: DataFrame, history: DataFrame, variant: str = "main",
-                         weekday_base: int = 1) -> DataFrame:
+                         weekday_base: int = 1, only: list[str] | None = None) -> DataFrame:
     """The label rows with every feature of ``variant`` attached.
 
-    ``variant`` is ``"main"`` (56 features) or ``"compact"`` (the 2nd
-    author's subset).  Calendar columns follow: ``week`` (ISO, 1 = Monday,
-    or 0-based with ``weekday_base=0``), ``is_weekend`` (week in 5, 6),
-    one-hot ``week_*`` and ``isnull_Distance``.
+    ``variant`` is ``"main"`` (56 features) or ``"compact"`` (the compact
+    variant's subset); with ``only``, just those of its features are built.
+    Calendar columns follow: ``week`` (ISO, 1 = Monday, or 0-based with
+    ``weekday_base=0``), ``is_weekend`` (week in 5, 6), one-hot ``week_*``
+    and ``isnull_Distance``.
     """
-    order = VARIANTS[variant]
+    order = [n for n in VARIANTS[variant] if only is None or n in only]
     lab = prepare_label_field(label)
     specs = specs_for(order)
     out = attach(lab, history, specs)

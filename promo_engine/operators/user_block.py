@@ -26,26 +26,31 @@ def simple_features(label: DataFrame) -> DataFrame:
 
 
 def user_aggregates(source: DataFrame) -> DataFrame:
-    """T06-T14 as one grouped aggregate per user (partial aggregation).
+    """One grouped aggregate per user (partial aggregation), and the
+    distinct merchants in two levels, so that no row is expanded for them.
 
     Follows the commented intent where the notebook's code is broken:
     merchant counts are distinct counts (not the printed length of the
-    group), and "consumed" means ``date_used`` is present.
+    group), and "consumed" means ``date_used`` is present.  Rows without a
+    user form no group.
     """
     used = F.col("date_used").isNotNull()
     p = USER_PREFIX
-    return source.groupBy(U).agg(
+    source = source.where(F.col(U).isNotNull())
+    merchants = (source.where(F.col("merchant_id").isNotNull())
+                 .groupBy(U, "merchant_id").agg(F.max(used).alias("__used"))
+                 .groupBy(U).agg(F.count(F.lit(1)).alias(p + "receive_differ_Merchant_cnt"),
+                                 F.count_if("__used").alias(p + "receive_and_consume_differ_Merchant_cnt")))
+    counts = source.groupBy(U).agg(
         F.count(F.lit(1)).alias(p + "receive_cnt"),
-        F.count_distinct("merchant_id").alias(p + "receive_differ_Merchant_cnt"),
         F.count_if(used).alias(p + "receive_and_consume_cnt"),
         F.count_if(~used).alias(p + "receive_not_consume_cnt"),
         C.stable_mean(F.when(used, F.col("discount_rate"))).alias(
             p + "receive_and_consume_mean_discount_rate"),
         C.stable_mean(F.when(used & (F.col("distance") != -1), F.col("distance"))).alias(
             p + "receive_and_consume_mean_distance"),
-        F.count_distinct(F.when(used, F.col("merchant_id"))).alias(
-            p + "receive_and_consume_differ_Merchant_cnt"),
     )
+    return counts.join(merchants, U, "left").fillna(0, [c for c in merchants.columns if c != U])
 
 
 USER_COLUMNS = [

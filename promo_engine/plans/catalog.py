@@ -124,8 +124,8 @@ def q_feat_ratios(spark, sf):
     """Row-level ratio features (C18/C19) and the threshold cut on every
     label row, with the row's ids."""
     history, label = fields(spark, sf)
-    f = FT.label_field_features(label, history, "main")
     names = [n for n, *_ in FT.MAIN_ROW_FEATURES]
+    f = FT.label_field_features(label, history, "main", only=names)
     return f.select("user_id", "merchant_id", "coupon_id", "date_received", "distance",
                     *[F.col(n) for n in names])
 

@@ -23,6 +23,7 @@ from promo_engine.operators import model as MD
 from promo_engine.operators import reports as R
 from promo_engine.plans import materialize as MZ
 from promo_engine.plans import split as SP
+from promo_engine.session import cut_lineage
 from promo_engine.sources import files as FL
 from promo_engine.sources.sinks import write_csv
 
@@ -88,7 +89,7 @@ def clustering_job(spark: SparkSession, name: str, path: str, method: str = "llo
 
 
 def report_job(spark: SparkSession, test_csv: str, out_dir: str | None = None) -> dict[str, DataFrame]:
-    raw = FL.read_offline_csv(spark, test_csv)
+    raw = cut_lineage(FL.read_offline_csv(spark, test_csv), "report-input")   # the text is scanned once
     rep = CL.report_clean(raw)
     tables = {
         "null_profile": R.null_profile(raw),

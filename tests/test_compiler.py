@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from promo_engine.operators import features as FT
+from promo_engine.operators import user_block as UB
 
 SCHEMA = ("user_id bigint, merchant_id bigint, coupon_id bigint, discount_rate_raw string, "
           "distance int, is_manjian int, discount_rate double, date_received date, date_used date, label int")
@@ -70,3 +71,15 @@ def test_full_null_safe_join(spark):
     b = spark.createDataFrame([(None, "m"), (2, "y")], "k bigint, b string")
     j = sorted((tuple(r) for r in FT._join_keys(a, b, ("k",), ("k",), "full").collect()), key=str)
     assert j == sorted([(1, "x", None), (None, "n", "m"), (2, None, "y")], key=str)
+
+
+def test_distinct_merchants_per_user_expand_no_row(spark):
+    rows = spark.sql("""SELECT * FROM VALUES (1, 10, date'2016-01-02', 0.9D, 1), (1, 10, null, 0.9D, 1), (1, 11, null, 0.8D, 2),
+        (2, null, null, 0.9D, -1), (null, 10, date'2016-01-02', 0.9D, 1)
+        AS t(user_id, merchant_id, date_used, discount_rate, distance)""")
+    agg = UB.user_aggregates(rows)
+    p = UB.USER_PREFIX
+    got = sorted(tuple(r) for r in agg.select("user_id", p + "receive_cnt", p + "receive_differ_Merchant_cnt",
+                                              p + "receive_and_consume_differ_Merchant_cnt").collect())
+    assert got == [(1, 3, 2, 1), (2, 1, 0, 0)]
+    assert "Expand" not in agg._jdf.queryExecution().optimizedPlan().toString()
