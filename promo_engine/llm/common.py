@@ -161,16 +161,38 @@ def each_row(batch: pa.RecordBatch) -> Iterator[dict]:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs started inside send Python at most ``rows`` rows a batch (large
-    rows would else fill batches of tens of MB); the setting is put back."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def settings(spark: SparkSession, given: dict[str, str]) -> Iterator[None]:
+    """Jobs started inside run with these session settings; they are put back."""
+    before = {k: spark.conf.get(k, None) for k in given}
+    for k, v in given.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs started inside send Python at most ``rows`` rows a batch (large
+    rows would else fill batches of tens of MB)."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)})
+
+
+def key_filters(spark: SparkSession):
+    """Joins inside that would shuffle both sides first filter the large one
+    by a Bloom filter of the other's keys, where that one has a comparison in
+    its ``where`` (Spark's runtime filter).  The filter has 8 MB whatever the
+    number of keys; beyond some ten million it lets more rows through, and
+    the join that follows is exact at any size."""
+    name = "spark.sql.optimizer.runtime.bloomFilter."
+    return settings(spark, {name + "enabled": "true", name + "creationSideThreshold": "100g",
+                            name + "applicationSideScanSizeThreshold": "1m", name + "expectedNumItems": str(1 << 23),
+                            name + "maxNumItems": str(1 << 23), name + "numBits": str(1 << 26),
+                            name + "maxNumBits": str(1 << 26)})
 
 
 _SHIPPED: set[str] = set()

@@ -199,7 +199,7 @@ def _bucket_edges(threshold: float):
 def _counted(rows: DataFrame) -> DataFrame:
     """Rows of buckets with two entries or more, with the number ``n``."""
     n = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.join(C.cut_lineage(n, "buckets"), "bucket")
+    return rows.join(C.cut_lineage(n, "buckets").where("n > 1"), "bucket")
 
 
 def _block_pairs(rows: DataFrame, key: str, blocks) -> DataFrame:
@@ -213,21 +213,26 @@ def _block_pairs(rows: DataFrame, key: str, blocks) -> DataFrame:
             .repartition(key, "i", "j").sortWithinPartitions(key, "i", "j"))
 
 
-def candidate_edges(entries: DataFrame, threshold: float, bucket: int) -> DataFrame:
-    """``a, b``: edges that join all entries (rep, size, sketch, paths) that share a bucket and look alike."""
-    top = entries.select("rep", "size", "sketch", F.explode("paths").alias("x")).select(
-        "rep", "size", "sketch", F.col("x.p").alias("bucket"), F.col("x.next").alias("next"))
-    one = C.cut_lineage(_counted(top), "level-1")
-    leaves = [one.where(F.col("n") <= bucket)]
-    two = C.cut_lineage(_counted(one.where(F.col("n") > bucket).select(
-        "rep", "size", "sketch", F.explode("next").alias("x")).select(
-        "rep", "size", "sketch", F.col("x.p").alias("bucket"), F.col("x.next").alias("next"))), "level-2")
-    leaves.append(two.where(F.col("n") <= bucket))
-    three = _counted(two.where(F.col("n") > bucket).select(
-        "rep", "size", "sketch", F.explode("next").alias("bucket")))
-    leaves.append(three)
-    cols = ["rep", "size", "sketch", "bucket", "n"]
-    rows = leaves[0].select(cols).unionByName(leaves[1].select(cols)).unionByName(leaves[2].select(cols))
+def candidate_edges(entries: DataFrame, trees: DataFrame, threshold: float, bucket: int) -> DataFrame:
+    """``a, b``: edges that join all entries (rep, size, sketch, row, first) that share a bucket and look alike.
+
+    Buckets are counted on pairs of path and entry alone; sketches join the
+    buckets that hold two entries or more, and only entries of buckets that
+    split look up their deeper paths in ``trees`` (row, paths)."""
+    one = C.cut_lineage(_counted(entries.select("rep", F.explode("first").alias("bucket"))), "level-1")
+    wanted = C.cut_lineage(
+        one.where(F.col("n") > bucket).groupBy("rep").agg(F.collect_list("bucket").alias("split"))
+        .join(entries.select("rep", "row"), "rep"), "split-buckets")
+    two = C.cut_lineage(_counted(
+        trees.join(wanted.where(F.size("split") > 0), "row")
+        .select("rep", F.explode(F.filter("paths", lambda x: F.array_contains("split", x["p"]))).alias("x"))
+        .select("rep", F.explode("x.next").alias("x"))
+        .select("rep", F.col("x.p").alias("bucket"), F.col("x.next").alias("next"))), "level-2")
+    three = _counted(two.where(F.col("n") > bucket).select("rep", F.explode("next").alias("bucket")))
+    cols = ["rep", "bucket", "n"]
+    leaves = (one.where(F.col("n") <= bucket).select(cols)
+              .unionByName(two.where(F.col("n") <= bucket).select(cols)).unionByName(three.select(cols)))
+    rows = leaves.join(entries.select("rep", "size", "sketch"), "rep")
     blocked = _block_pairs(rows, "bucket", F.ceil(F.col("n") / bucket))
     return blocked.select("bucket", "i", "j", "side", "rep", "size", "sketch").mapInArrow(
         _bucket_edges(threshold), "a bigint, b bigint")
@@ -317,13 +322,17 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = C.cut_lineage(rows.mapInArrow(_entries(runs, threshold), _ROW)
                           .withColumn("row", F.monotonically_increasing_id()), "shingled")
     order = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "hash", "row")
+    first = F.transform("paths", lambda x: x["p"])
     entries = C.cut_lineage(
         known.where("digest is not null").groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("least"), F.min(F.struct("size", "sketch")).alias("s"),
-             F.max_by("paths", "row").alias("paths"))
-        .select(F.monotonically_increasing_id().alias("rep"), "digest", "copies", "least", "s.size", "s.sketch", "paths"),
+        .agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("least"),
+             F.max(F.struct("row", "size", "sketch", first.alias("first"))).alias("s"))
+        .select(F.monotonically_increasing_id().alias("rep"), "digest", "copies", "least", "s.row", "s.size", "s.sketch",
+                "s.first"),
         "entries")
-    coarse = C.cut_lineage(components(candidate_edges(entries, threshold, bucket)), "candidates")
+    with C.key_filters(docs.sparkSession):
+        coarse = C.cut_lineage(components(candidate_edges(entries, known.select("row", "paths"), threshold, bucket)),
+                               "candidates")
     sizes = C.cut_lineage(
         coarse.join(entries.select(F.col("rep").alias("node"), "size"), "node").groupBy(F.col("root").alias("comp"))
         .agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_entries), F.ceil(F.sum("size") / block_shingles)).alias("nb")),
@@ -332,11 +341,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .join(entries.select("rep", "copies", F.col("least.id").alias("id"), F.col("least.hash").alias("hash")),
                      "rep"))
     members = C.cut_lineage(members, "members")
-    texts = (rows.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "hash", "text").join(members, ["id", "hash"]))
-    checked = C.cut_lineage(
-        _block_pairs(texts.select("comp", "nb", "rep", "copies", "text"), "comp", F.col("nb"))
-        .select("comp", "i", "j", "side", "rep", "copies", "text")
-        .mapInArrow(_exact(threshold), "rep bigint, root bigint, links bigint"), "checked")
+    texts = (rows.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "hash", "text")
+             .join(members.where("copies > 0"), ["id", "hash"]))
+    with C.key_filters(docs.sparkSession):      # so texts that are no candidates aren't shuffled
+        checked = C.cut_lineage(
+            _block_pairs(texts.select("comp", "nb", "rep", "copies", "text"), "comp", F.col("nb"))
+            .select("comp", "i", "j", "side", "rep", "copies", "text")
+            .mapInArrow(_exact(threshold), "rep bigint, root bigint, links bigint"), "checked")
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
     edges = checked.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     classes = components(edges).select(F.col("node").alias("rep"), "root")
