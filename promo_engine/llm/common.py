@@ -185,14 +185,14 @@ def arrow_rows(spark: SparkSession, rows: int):
 def key_filters(spark: SparkSession):
     """Joins inside that would shuffle both sides first filter the large one
     by a Bloom filter of the other's keys, where that one has a comparison in
-    its ``where`` (Spark's runtime filter).  The filter has 8 MB whatever the
-    number of keys; beyond some ten million it lets more rows through, and
+    its ``where`` (Spark's runtime filter).  The filter has 2 MB whatever the
+    number of keys; beyond some two million it lets more rows through, and
     the join that follows is exact at any size."""
     name = "spark.sql.optimizer.runtime.bloomFilter."
     return settings(spark, {name + "enabled": "true", name + "creationSideThreshold": "100g",
-                            name + "applicationSideScanSizeThreshold": "1m", name + "expectedNumItems": str(1 << 23),
-                            name + "maxNumItems": str(1 << 23), name + "numBits": str(1 << 26),
-                            name + "maxNumBits": str(1 << 26)})
+                            name + "applicationSideScanSizeThreshold": "1m", name + "expectedNumItems": str(1 << 21),
+                            name + "maxNumItems": str(1 << 21), name + "numBits": str(1 << 24),
+                            name + "maxNumBits": str(1 << 24)})
 
 
 _SHIPPED: set[str] = set()
