@@ -39,7 +39,9 @@ BUCKET = 2048
 SKETCH_BITS = 256
 MARGIN = 0.18          # of the sketches' estimate: over 4.5 standard deviations
 BLOCK_ENTRIES = 1024
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
+TEMPORARY = 1 << 19      # numbers in a temporary array
+TEXTS_AT_ONCE = 128
 _NO_ID = 2 ** 63 - 1
 _ODD = C.mix64(np.arange(1, SKETCH_BITS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -63,7 +65,7 @@ def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
 def sketch(x: np.ndarray) -> np.ndarray:
     """256 bits, one of the least value of the set under each of 256 multiplicative hashes."""
     low = np.empty(SKETCH_BITS, dtype=np.uint64)
-    step = max(1, (1 << 22) // max(1, len(x)))
+    step = max(1, TEMPORARY // max(1, len(x)))
     with np.errstate(over="ignore"):
         for f in range(0, SKETCH_BITS, step):
             low[f:f + step] = (x[None, :] * _ODD[f:f + step, None]).min(axis=1)
@@ -74,7 +76,7 @@ def _chosen(x: np.ndarray, paths: np.ndarray, rate: float) -> list[np.ndarray]:
     """For each path, the next paths of set ``x``: shingles whose hash on that path is under the rate."""
     bound = np.uint64(min(2 ** 64 - 1, int(rate * 2 ** 64)))
     out = []
-    step = max(1, (1 << 22) // max(1, len(x)))
+    step = max(1, TEMPORARY // max(1, len(x)))
     with np.errstate(over="ignore"):
         for lo in range(0, len(paths), step):
             p = paths[lo:lo + step]
@@ -121,8 +123,8 @@ def _entries(runs: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = [np.empty(0, np.uint64), [], []]
         for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                b = whole.slice(lo, 512)
+            for lo in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                b = whole.slice(lo, TEXTS_AT_ONCE)
                 sets = [shingles(t) for t in C.texts_of(b)]
                 yield pa.record_batch([
                     b.column("doc_id"), b.column("hash"),
