@@ -11,7 +11,9 @@ that carries its smallest ids (as many as a result can hold), and queries of
 one vector share one search.  Buckets and the probes on them are cut into
 chunks of bounded size, so no task holds a whole hot bucket.  A query that
 its probes leave with too few candidates is searched in all buckets of one
-table, which is exact.
+table, which is exact.  So are all queries of a dimension whose vectors are
+of uneven length, where the angle doesn't tell the inner product, or whose
+axes are so few that the probes would read as many vectors as there are.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ QUERY_STEP = 20
 TABLES = 16
 PROBES = 8
 CHUNK = 4096
+EVEN = 1.01
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -152,6 +155,16 @@ def _usable(v: Column) -> Column:
     return v.isNotNull() & F.coalesce(whole, F.lit(False)) & F.exists(v, lambda x: x != 0)
 
 
+def _whole_dims(distinct: DataFrame, tables: int, probes: int) -> DataFrame:
+    """``dim``: the dimensions that are searched without hashing."""
+    dim = F.size("v")
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    axes_of = F.expr("shiftleft(2L, length(bin(dim - 1)))")
+    return (distinct.groupBy(dim.alias("dim")).agg(F.min(length).alias("least"), F.max(length).alias("most"))
+            .where((axes_of <= tables * probes) | (F.col("most") > F.col("least") * EVEN)
+                   | (F.col("most") == float("inf")) | (F.col("least") == 0)).select("dim"))      # beyond doubles: not told
+
+
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", neighbours: int = NEIGHBOURS,
             query_step: int = QUERY_STEP, tables: int = TABLES, probes: int = PROBES, seed: int = 5,
             chunk: int = CHUNK) -> DataFrame:
@@ -180,13 +193,16 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     distinct = C.cut_lineage(
         first.join(asked.groupBy("v").agg(F.count(F.lit(1)).alias("asked")), "v", "left"), "distinct-vectors")
     queries = distinct.where("asked is not null")
-    index = _entries(distinct, tables, 1, seed)
-    found = C.cut_lineage(_best(_search(index, _entries(queries, tables, probes, seed), keep, chunk), keep), "found")
+    hashed = C.cut_lineage(distinct.join(F.broadcast(_whole_dims(distinct, tables, probes)),
+                                         F.size("v") == F.col("dim"), "left_anti"), "hashed-vectors")
+    index = _entries(hashed, tables, 1, seed)
+    found = C.cut_lineage(_best(_search(index, _entries(hashed.where("asked is not null"), tables, probes, seed), keep,
+                                        chunk), keep), "found")
     ids = distinct.select("rep", "ids")
 
     def expanded(best: DataFrame) -> DataFrame:
         return best.join(ids, "rep").select("q", F.explode("ids").alias("vec_id"), "score")
-    # probes that gathered too little: every bucket of table 0 holds all vectors once
+    # not hashed, or probes that gathered too little: every bucket of table 0 holds all vectors once
     short = (queries.select("rep", "v").join(
         expanded(found).groupBy(F.col("q").alias("rep")).agg(F.count(F.lit(1)).alias("n")), "rep", "left")
         .where(F.coalesce("n", F.lit(0)) < keep).select("rep", "v"))

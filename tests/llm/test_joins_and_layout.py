@@ -130,6 +130,18 @@ def test_nearest_recall(spark, sf, llm):
     assert hit >= 0.9 * sum(map(len, want.values()))
 
 
+def test_nearest_with_uneven_lengths(llm):
+    rng = np.random.default_rng(8)
+    for d in (64, 100):
+        lengths = np.where(rng.random(3000) < 0.01, 10.0, 1.0) * (1 + rng.pareto(1.5, 3000))
+        x = rng.normal(size=(3000, d))
+        x *= (lengths / np.linalg.norm(x, axis=1))[:, None]
+        rows = [(i, v.tolist()) for i, v in enumerate(x)]
+        got = as_lists(ann.nearest(llm.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect())
+        want = exact_nearest(rows)
+        assert {q: [i for i, _ in got[q]] for q in got} == {q: [i for i, _ in want[q]] for q in want}
+
+
 def test_nearest_ties_copies_and_few(llm):
     rng = np.random.default_rng(3)
     rows = [(i, [1.0, 2.0, 2.0]) for i in range(60)] + [(i, rng.normal(size=3).tolist()) for i in range(60, 90)]
