@@ -12,8 +12,7 @@ distributed: they are counted in Spark and only meet the blocks that ask.
    of symbols, where they are added up; each block gets its words' totals.
 3. Baum-Welch: expected transition and emission counts of every training
    document, by the scaled forward-backward recursion, added up per partition
-   and then by Spark; the first passes, over a few blocks, only choose a
-   starting point, the last ones cover all.
+   and then by Spark; every pass covers all.
 4. Scores: scaled forward recursion over the whole text, plus the words'
    shares of their symbols.
 
@@ -43,7 +42,6 @@ SEGMENT = 256
 SEGMENTS_AT_ONCE = 1024
 BLOCKS_AT_ONCE = 2
 TEXTS_AT_ONCE = 256
-START_BLOCKS = 12
 START_PASSES = 8
 PASSES = 3
 EMISSION_PRIOR = 0.05
@@ -388,20 +386,16 @@ def _pass(blocks: DataFrame, p: Params, n_symbols: int) -> tuple[np.ndarray, np.
     return acc[-2], acc[n_symbols + 1:-2], acc[:n_symbols + 1], float(acc[-1, 0])
 
 
-def _fit(blocks: DataFrame, tokens: np.ndarray, ends: int, states: int, seed: int, start_blocks: int,
+def _fit(blocks: DataFrame, tokens: np.ndarray, ends: int, states: int, seed: int,
          start_passes: int, passes: int) -> tuple[Params, list[float]]:
     n_symbols = len(tokens)
     shape = np.append(tokens, ends).astype(np.float64) + 0.5
     shape /= shape.sum()
     p = starting_point(shape, states, seed)
-    n = blocks.count()
-    few = blocks.where(F.pmod(F.xxhash64("block"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, start_blocks / max(1, n))))
-    if n > start_blocks:
-        few = C.cut_lineage(few, "start-blocks")
     logs = []
-    for rows in [few] * start_passes + [blocks] * passes:
-        start, moves, emit, log = _pass(rows, p, n_symbols)
-        if start.sum() > 0:                     # the few blocks may hold no training document
+    for _ in range(start_passes + passes):
+        start, moves, emit, log = _pass(blocks, p, n_symbols)
+        if start.sum() > 0:                     # there may be no training document
             p = estimate(start, moves, emit, shape)
         logs.append(log)
     return p, logs
@@ -409,7 +403,7 @@ def _fit(blocks: DataFrame, tokens: np.ndarray, ends: int, states: int, seed: in
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES,
           symbols: int = SYMBOLS, folds: int = 5, held_out: int = HELD_OUT_FOLD, seed: int = 3,
-          block_tokens: int = BLOCK_TOKENS, range_entries: int = RANGE_ENTRIES, start_blocks: int = START_BLOCKS,
+          block_tokens: int = BLOCK_TOKENS, range_entries: int = RANGE_ENTRIES,
           start_passes: int = START_PASSES, passes: int = PASSES) -> DataFrame:
     """One row per input row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -429,7 +423,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     seen, tokens = _symbol_totals(answers, symbols)
     ends = blocks.agg(F.coalesce(F.sum(F.size(F.filter("train", lambda x: x))), F.lit(0))).first()[0]
     n, v = int(tokens.sum()) + ends, int(seen.sum()) + int(ends > 0)
-    p, _ = _fit(blocks, tokens, ends, states, seed, start_blocks, start_passes, passes)
+    p, _ = _fit(blocks, tokens, ends, states, seed, start_passes, passes)
     whole = np.log10(n + 0.5 * (v + 1))
     share = np.log10(np.append(tokens + 0.5 * (seen + 1), 1.0))
 

@@ -78,6 +78,15 @@ def test_hmm_beats_base_on_two_languages(llm):
     assert out[0] > out[1] + 100
 
 
+def test_hmm_passes_read_all_blocks(llm, monkeypatch):
+    read, one_pass = [], hmm_lm._pass
+    monkeypatch.setattr(hmm_lm, "_pass", lambda blocks, *a: read.append(blocks.count()) or one_pass(blocks, *a))
+    texts = [" ".join(f"w{(i * j) % 13}" for j in range(40)) for i in range(120)]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    hmm_lm.score(docs, block_tokens=100, symbols=8, states=2, start_passes=2, passes=1)
+    assert len(read) == 3 and len(set(read)) == 1 and read[0] > 12
+
+
 def test_hmm_empty_and_untrained(empty, llm):
     assert hmm_lm.score(empty).count() == 0
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 1)
