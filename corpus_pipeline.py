@@ -30,7 +30,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_templates.strip_recurring(docs)
+    out = line_templates.strip_recurring(docs, rule=line_templates.every_recurring_line)
     if "n_chars" not in docs.columns:
         return out
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(

@@ -118,6 +118,25 @@ def test_line_templates_edges(edge, edge_rows, empty):
     assert line_templates.drop_recurring(empty).count() == 0 and line_templates.strip_recurring(empty).count() == 0
 
 
+def stripped(llm, texts):
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = line_templates.strip_recurring(docs, rule=line_templates.every_recurring_line)
+    return {r.doc_id: r.text for r in out.collect()}
+
+
+def letters(i):
+    return "".join(chr(97 + int(c)) for c in str(i))
+
+
+def test_every_recurring_line_finds_several_templates_in_a_leaf(llm):
+    texts = [f"own {letters(i)}\nPosted by {letters(i)} {letters(i * 7)}x on the forum today" for i in range(20)]
+    texts += [f"own {letters(i)}\nPosted by {letters(i)} {letters(i * 7)}x in our shop yesterday" for i in range(20, 35)]
+    texts += [f"own {letters(i)}\nPosted by {' '.join(letters(i * k) + 'y' for k in range(3, 9))}" for i in range(35, 95)]
+    out = stripped(llm, texts)
+    for i, t in enumerate(texts):
+        assert out[i] == (t if i in (0, 20) or i >= 35 else t.split("\n")[0])
+
+
 def test_empty_tables(empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert bpe.digest(bpe.encode(empty, RANKS, P.PATTERN), RANKS, P.PATTERN).count() == 0
