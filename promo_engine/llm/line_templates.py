@@ -14,7 +14,7 @@ Counts are combined before each shuffle and joins have unique right sides,
 so a line that a third of all documents share doesn't meet in one task.
 
 ``recurring_lines`` is the rule of OP3_SQL.  ``every_recurring_line`` is the
-wider one of the pipeline: several templates in a leaf.
+wider one of the pipeline: lines of any length, several templates in a leaf.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ MIN_TOKENS = 4
 MIN_DOCS = 10
 MAJORITY = 0.5
 SIMILARITY = 0.75
+REPEATS = 2
 _NO_ID = 2 ** 63 - 1
 
 
@@ -130,7 +131,7 @@ def _compared_lines(rows: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     leafed = _tokens(line) >= min_tokens
     return (rows.select("doc", "row", F.posexplode(F.transform(F.split("text", "\n", -1),
                                                                lambda x: _compared(x, min_tokens))).alias("pos", "masked"))
-            .where((line != "") & (_tokens(line) >= min_tokens))
+            .where(line != "")
             .withColumn("leaf", F.when(leafed, F.xxhash64(_tokens(line), F.substring_index("masked", " ", depth)))))
 
 
@@ -158,10 +159,11 @@ def _patterns(variants: DataFrame, min_docs: int, depth: int, similarity: float)
                 "top", lambda x: F.struct(x["at"], x["token"])))).alias("pattern")))
 
 
-def every_recurring_line(rows: DataFrame, min_docs: int = MIN_DOCS,
+def every_recurring_line(rows: DataFrame, repeats: int = REPEATS, min_docs: int = MIN_DOCS,
                          min_tokens: int = MIN_TOKENS, depth: int = DEPTH, majority: float = MAJORITY,
                          similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """As ``recurring_lines``, but a leaf holds a template for every pattern of frequent tokens
+    """As ``recurring_lines``, but a line of any length recurs in ``repeats``
+    documents, a leaf holds a template for every pattern of frequent tokens
     beside the one of its majorities."""
     lines = C.cut_lineage(_with_key(_compared_lines(rows, min_tokens, depth)).drop("masked"), "lines")
     own = C.cut_lineage(
@@ -185,7 +187,7 @@ def every_recurring_line(rows: DataFrame, min_docs: int = MIN_DOCS,
     alike = variants.select("doc", "h", "g", "leaf").distinct().join(patterns, ["leaf", "h", "g"])
     by_pattern = (patterns.join(_shared(alike, ["leaf", "pattern"], min_docs), ["leaf", "pattern"])
                   .select("h", "g", "first"))
-    by_line = own.where(F.col("docs") >= min_docs).select("h", "g", "first")
+    by_line = own.where(F.col("docs") >= repeats).select("h", "g", "first")
     dropped = (by_template.unionByName(by_pattern).unionByName(by_line)
                .groupBy("h", "g").agg(F.min("first").alias("first")))
     return lines, C.cut_lineage(dropped, "recurring-lines")

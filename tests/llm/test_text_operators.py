@@ -137,6 +137,15 @@ def test_every_recurring_line_finds_several_templates_in_a_leaf(llm):
         assert out[i] == (t if i in (0, 20) or i >= 35 else t.split("\n")[0])
 
 
+def test_every_recurring_line_counts_short_and_few(llm):
+    same = "All rights reserved."
+    texts = [f"own {letters(i)}\n" + (same if i < 3 else "") + ("\nwords that two of them share" if i in (4, 5) else "")
+             for i in range(8)]
+    out = stripped(llm, texts)
+    assert [same in out[i] for i in range(4)] == [True, False, False, False]
+    assert "share" in out[4] and "share" not in out[5]
+
+
 def test_empty_tables(empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert bpe.digest(bpe.encode(empty, RANKS, P.PATTERN), RANKS, P.PATTERN).count() == 0
