@@ -14,7 +14,8 @@ Counts are combined before each shuffle and joins have unique right sides,
 so a line that a third of all documents share doesn't meet in one task.
 
 ``recurring_lines`` is the rule of OP3_SQL.  ``every_recurring_line`` is the
-wider one of the pipeline: lines of any length, several templates in a leaf.
+wider one of the pipeline: lines of any length, several templates in a leaf,
+and lines of figures compared as they are.
 """
 
 from __future__ import annotations
@@ -109,11 +110,13 @@ def recurring_lines(rows: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
 
 
 def _compared(line: Column, min_tokens: int) -> Column:
-    """The line as it is compared: with ``<*>`` for words with a digit unless it is short."""
+    """The line as it is compared: with ``<*>`` for words with a digit if at
+    least half of its tokens are words of letters, else as it is."""
     odd = line.rlike("[\\x09-\\x0D]") | line.contains("  ")
     plain = F.when(odd, F.trim(F.regexp_replace(line, f"{C.SPACE_CLASS}+", " "))).otherwise(F.trim(line))
     masked = F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", "<*>")
-    return F.when(plain.rlike("[0-9]") & (_tokens(plain) >= min_tokens), masked).otherwise(plain)
+    return F.when(plain.rlike("[0-9]") & (_tokens(plain) >= min_tokens) & (_worded(masked) * 2 >= _tokens(plain)),
+                  masked).otherwise(plain)
 
 
 def _tokens(line: Column) -> Column:
@@ -128,7 +131,7 @@ def _worded(line: Column) -> Column:
 def _compared_lines(rows: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     """Every line that isn't blank; those that can follow a template have a leaf."""
     line = F.col("masked")
-    leafed = _tokens(line) >= min_tokens
+    leafed = (_tokens(line) >= min_tokens) & ~line.rlike("[0-9]") & (_worded(line) * 2 >= _tokens(line))
     return (rows.select("doc", "row", F.posexplode(F.transform(F.split("text", "\n", -1),
                                                                lambda x: _compared(x, min_tokens))).alias("pos", "masked"))
             .where(line != "")
@@ -155,6 +158,7 @@ def _patterns(variants: DataFrame, min_docs: int, depth: int, similarity: float)
     return (cells.join(often, ["leaf", "at", "token"]).groupBy("leaf", "h", "g", "n", "lead")
             .agg(F.collect_list(F.struct((-F.col("often")).alias("o"), "at", "token", "worded")).alias("cells"))
             .where(F.size("cells") >= need).select("leaf", "h", "g", "n", "lead", top.alias("top"))
+            .where((F.col("lead") + F.aggregate("top", F.lit(0), lambda a, x: a + x["worded"])) * 2 >= F.col("n"))
             .select("leaf", "h", "g", F.xxhash64(F.array_sort(F.transform(
                 "top", lambda x: F.struct(x["at"], x["token"])))).alias("pattern")))
 
@@ -164,7 +168,8 @@ def every_recurring_line(rows: DataFrame, repeats: int = REPEATS, min_docs: int
                          similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """As ``recurring_lines``, but a line of any length recurs in ``repeats``
     documents, a leaf holds a template for every pattern of frequent tokens
-    beside the one of its majorities."""
+    beside the one of its majorities, and half of a template's places must be
+    words of letters; other lines with figures are compared as they are."""
     lines = C.cut_lineage(_with_key(_compared_lines(rows, min_tokens, depth)).drop("masked"), "lines")
     own = C.cut_lineage(
         lines.groupBy("h", "g", "leaf", "doc").agg(F.count(F.lit(1)).alias("c"))
@@ -177,7 +182,7 @@ def every_recurring_line(rows: DataFrame, repeats: int = REPEATS, min_docs: int
     variants = C.cut_lineage(
         _with_key(_compared_lines(rows, min_tokens, depth)).select("doc", "h", "g", "leaf", "masked")
         .join(leaves, "leaf"), "variants")
-    members = C.cut_lineage(_followers(variants, majority, similarity), "members")
+    members = C.cut_lineage(_followers(variants, majority, similarity, 0.5), "members")
     by_template = C.cut_lineage(
         members.select("leaf", "h", "g").distinct().join(_shared(members, ["leaf"], min_docs), "leaf")
         .select("h", "g", "first"), "majority-lines")

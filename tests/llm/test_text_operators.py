@@ -146,6 +146,14 @@ def test_every_recurring_line_counts_short_and_few(llm):
     assert "share" in out[4] and "share" not in out[5]
 
 
+def test_every_recurring_line_keeps_different_figures(llm):
+    texts = [f"{i} {i + 1}.5 {i * 3} {i}:30\n| {i} | {i + 7} | {i * 2} |" for i in range(15)]
+    texts += [f"own {letters(i)}\nPage {i} of the report" for i in range(12)] + [texts[3]]
+    out = stripped(llm, texts)
+    assert [out[i] for i in range(15)] == texts[:15] and 27 not in out
+    assert "Page" in out[15] and not any("Page" in out[i] for i in range(16, 27))
+
+
 def test_empty_tables(empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert bpe.digest(bpe.encode(empty, RANKS, P.PATTERN), RANKS, P.PATTERN).count() == 0
