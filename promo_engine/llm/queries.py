@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from promo_engine.llm import (ann, bpe, common, exact_dedup, hmm_lm, line_templates, mixing, ngram_join, quality,
-                              sharding, substring_dedup)
+from promo_engine.llm import (ann, bpe, collocations, common, exact_dedup, hmm_lm, line_templates, mixing, ngram_join,
+                              quality, sharding, substring_dedup)
 from promo_engine.sources.tables import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -57,6 +57,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(common.documents(spark, sf_dir))
+
+
 def _shipped(query: Callable) -> Callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(common.ship_package(spark), sf_dir)
@@ -67,7 +71,7 @@ def _shipped(query: Callable) -> Callable:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _shipped(q) for q in (
         op1_substring_dedup, op2_byte_bpe, op3_line_templates, op4_mixing, op5_exact_dedup, op6_hmm_scores,
-        op7_ngram_join, op8_quality, op9_sharding, op10_nearest)}
+        op7_ngram_join, op8_quality, op9_sharding, op10_nearest, op13_collocations)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -138,5 +142,28 @@ SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, class_size, doc_id = c
 FROM cls LEFT JOIN num USING (doc_id)
 """
 
+OP13_SQL = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+piece AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+word AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+spot AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM word, (SELECT unnest(range(1, {collocations.LONGEST + 1})) AS k)),
+f AS (SELECT lang, k, w[i:i + k - 1] AS w, count(*) AS f FROM spot GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE k > 1 AND f >= {collocations.MIN_COUNT}),
+cut AS (SELECT *, unnest(range(1, k)) AS j FROM cand),
+scored AS (SELECT c.lang, c.w, c.f AS a, x.f AS l, y.f AS r, ({collocations.SCALE} * c.f::HUGEINT) // (x.f + y.f) AS score, j
+           FROM cut c JOIN f x ON x.lang = c.lang AND x.w = c.w[1:j] JOIN f y ON y.lang = c.lang AND y.w = c.w[j + 1:c.k]),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, j) = 1),
+inner_part AS (SELECT lang, f, k, w, unnest(range(2, k)) AS m FROM cand),
+inside AS (SELECT lang, f, w, m, unnest(range(1, k - m + 2)) AS i FROM inner_part),
+around AS (SELECT lang, w[i:i + m - 1] AS w, max(f) AS f FROM inside GROUP BY ALL),
+kept AS (SELECT least.* FROM least LEFT JOIN around USING (lang, w)
+         WHERE around.f IS NULL OR {collocations.COVER[1]} * around.f < {collocations.COVER[0]} * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank,
+       array_to_string(w, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN total USING (lang) QUALIFY rank <= {collocations.TOP}
+"""
+
 ORACLES = {"op1_substring_dedup": OP1_SQL, "op3_line_templates": OP3_SQL, "op5_exact_dedup": OP5_SQL,
-           "op7_ngram_join": OP7_SQL}
+           "op7_ngram_join": OP7_SQL, "op13_collocations": OP13_SQL}
