@@ -37,7 +37,8 @@ MIN_COUNT = 30
 COVER = (80, 100)          # a phrase goes if a longer one has this share of its count
 TOP = 2000
 SCALE = 2_000_000
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 2_000_000  # words and ends of pieces; below 2**21 the sorts are fastest
+RANGES = 1 << 16           # of words, each numbered by itself
 SLICE = 1 << 20            # bytes tokenised at once
 ROWS = 1 << 16             # rows of an Arrow batch sent on
 
@@ -145,19 +146,30 @@ def shards(docs: DataFrame, text_col: str, lang_col: str, words: int) -> DataFra
 
 
 def corpus_words(vocabulary: DataFrame, min_count: int) -> DataFrame:
-    """``lang, word, f, g``: the words that reach ``min_count`` with an id from 1 on, without gaps."""
-    found = C.cut_lineage(vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-                          .withColumn("at", F.monotonically_increasing_id()), "phrase-words")
-    part = F.shiftright("at", 33)
-    sizes = {r["p"]: r["n"] for r in found.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    first, total = [], 1
-    for p in range(max(sizes, default=-1) + 1):                    # one number per partition of the count
-        first.append(total)
-        total += sizes.get(p, 0)
-    if total > 2 ** 32:
-        raise OverflowError("ids of frequent words need more than 32 bits")
-    start = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in first or [1]]), (part + 1).cast("int"))
-    return found.select("lang", "word", "f", (start + (F.col("at").bitwiseAND((1 << 33) - 1))).alias("g"))
+    """``shard, local, g, lang, word, f`` of the words that reach ``min_count``, with the id ``g`` of the word in
+    the corpus; ``lang``, ``word`` and ``f`` stand in one of a word's rows alone.
+
+    Words are dealt to ``RANGES`` ranges by a hash and numbered in each, so one shuffle adds up the counts
+    and gives the ids."""
+    own = Window.partitionBy("range", "lang", "word")
+    rows = (vocabulary.withColumn("range", F.pmod(F.xxhash64("lang", "word"), F.lit(RANGES)))
+            .repartition("range").withColumn("f", F.sum("n").over(own)).where(F.col("f") >= min_count)
+            .withColumn("at", F.dense_rank().over(Window.partitionBy("range").orderBy("lang", "word")))
+            .withColumn("lead", F.row_number().over(own.orderBy("shard")) == 1))
+    g = F.col("at").cast("bigint") * RANGES + F.col("range")
+    low = F.when(g < 1 << 32, g).otherwise(F.raise_error(F.lit("ids of frequent words need more than 32 bits")))
+    return C.cut_lineage(rows.select("shard", "local", low.alias("g"), *[
+        F.when(F.col("lead"), F.col(c)).alias(c) for c in ("lang", "word", "f")]), "phrase-words")
+
+
+def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the (whole, not negative) keys, equal ones by place, and the keys in it."""
+    bits = max(1, (len(key) - 1).bit_length())
+    if int(key.max(initial=0)).bit_length() + bits > 63:
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    both = np.sort(key << bits | np.arange(len(key)))       # far faster than sorting places by keys
+    return both & ((1 << bits) - 1), both >> bits
 
 
 class Index:
@@ -169,45 +181,48 @@ class Index:
     often they occur (``n``)."""
 
     def __init__(self, text: np.ndarray, symbols: int):
-        self.symbols = symbols
+        self.text, self.symbols = text, symbols
         counts = np.bincount(text, minlength=symbols)
         self.counts, self.first = counts, np.cumsum(counts) - counts
-        self.sides = [self._side(text), self._side(text[::-1])]
+        self.sides: list[tuple[np.ndarray, np.ndarray] | None] = [None, None]        # made when first asked for
 
     def _side(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbol before each place in sorted order, and the place which that symbol has in it."""
-        rank, top, depth = text, self.symbols, 1
+        rank, top, depth = text, self.symbols - 1, 1
         while depth < LONGEST:
-            key = rank * top + np.roll(rank, -depth)
-            order = np.argsort(key, kind="stable")
-            new = np.concatenate([[False], key[order][1:] != key[order][:-1]])
+            order, key = _sorted(rank << top.bit_length() | np.roll(rank, -depth))
+            new = np.concatenate([[False], key[1:] != key[:-1]])
             rank = np.empty(len(text), dtype=np.int64)
             rank[order] = np.cumsum(new)
-            top, depth = int(rank[order[-1]]) + 1, depth * 2
+            top, depth = int(rank[order[-1]]), depth * 2
         before = text[order - 1]
         step = np.empty(len(text), dtype=np.int64)
-        step[np.argsort(before, kind="stable")] = np.arange(len(text))
+        step[_sorted(before)[0]] = np.arange(len(text))
         return before, step
 
+    def side(self, which: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.sides[which] is None:
+            self.sides[which] = self._side(self.text[::-1] if which else self.text)
+        return self.sides[which]
+
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """``symbol, lo, back, n`` of every symbol but 0."""
         w = np.flatnonzero(self.counts[1:]) + 1
         return w, self.first[w], self.first[w], self.counts[w]
 
-    def _extend(self, side: int, lo: np.ndarray, other: np.ndarray, n: np.ndarray):
-        before, step = self.sides[side]
-        ends = np.cumsum(n)
+    def _extend(self, which: int, lo: np.ndarray, other: np.ndarray, n: np.ndarray):
+        before, step = self.side(which)
+        begin = np.cumsum(n) - n
         owner = np.repeat(np.arange(len(n)), n)
-        place = np.arange(len(owner)) - np.repeat(ends - n, n) + np.repeat(lo, n)
-        key = owner * self.symbols + before[place]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        place = np.arange(len(owner)) + np.repeat(lo - begin, n)
+        bits = self.symbols.bit_length()
+        order, key = _sorted(owner << bits | before[place])
         at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-        own, symbol = key[at] // self.symbols, key[at] % self.symbols
+        own, symbol = key[at] >> bits, key[at] & ((1 << bits) - 1)
         count = np.diff(np.append(at, len(key)))
         real = symbol > 0
         at, own, symbol, count = at[real], own[real], symbol[real], count[real]
-        return own, symbol, step[place[order[at]]], other[own] + at - (ends - n)[own], count
+        return own, symbol, step[place[order[at]]], other[own] + at - begin[own], count
 
     def left(self, lo: np.ndarray, back: np.ndarray, n: np.ndarray):
         """Every phrase with one word more on the left: ``row it extends, word, lo, back, n``."""
@@ -219,11 +234,10 @@ class Index:
         return own, word, lo, back, n
 
 
-def _indexed(ids: np.ndarray) -> tuple[np.ndarray, Index]:
-    """The shard's ids in ascending order (0 first), and the index over their places in it."""
-    ids = np.concatenate([[0], ids])
-    names, text = np.unique(ids, return_inverse=True)
-    return names, Index(text.astype(np.int64), len(names))
+def _indexed(ids: bytes, names: bytes) -> tuple[np.ndarray, Index]:
+    """The corpus ids of the shard's symbols (0 first), and the index over its symbols."""
+    names = np.concatenate([[0], np.cumsum(unpack(names))])
+    return names, Index(np.concatenate([[0], unpack(ids)]), len(names))
 
 
 def _two(names: np.ndarray, index: Index):
@@ -246,19 +260,21 @@ def _table(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def _encoded(shard: pa.Table, words: pa.Table) -> pa.Table:
-    """The shard with corpus ids, 0 for its other words and one 0 between pieces."""
+    """The shard in symbols: its frequent words by ascending corpus id from 1 on, 0 for its other words and
+    one 0 between pieces; ``names`` are the steps between these ids."""
     out = []
     if shard.num_rows and words.num_rows:
         ids = unpack(shard.column("ids")[0].as_py())
         local, g = (np.asarray(words.column(c).combine_chunks()).astype(np.int64) for c in ("local", "g"))
-        names = np.zeros(int(max(ids.max(initial=0), local.max())) + 1, dtype=np.int64)
-        names[local] = g
-        ids = names[ids]
+        order = np.argsort(g)
+        symbol = np.zeros(int(max(ids.max(initial=0), local.max())) + 1, dtype=np.int64)
+        symbol[local[order]] = np.arange(1, len(g) + 1)
+        ids = symbol[ids]
         keep = np.ones(len(ids), dtype=bool)
         keep[1:] = (ids[1:] > 0) | (ids[:-1] > 0)
-        out = [(shard.column("shard")[0].as_py(), pack(ids[keep]))]
-    return pa.table([pa.array([s for s, _ in out], type=pa.int64()), C.binary([b for _, b in out])],
-                    names=["shard", "ids"])
+        out = [(shard.column("shard")[0].as_py(), pack(ids[keep]), pack(np.diff(g[order], prepend=0)))]
+    return pa.table([pa.array([x for x, _, _ in out], type=pa.int64()), C.binary([x for _, x, _ in out]),
+                     C.binary([x for _, _, x in out])], names=["shard", "ids", "names"])
 
 
 def pairs(encoded: DataFrame) -> DataFrame:
@@ -266,8 +282,7 @@ def pairs(encoded: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in C.each_row(b):
-                names, index = _indexed(unpack(row["ids"]))
-                _, _, key, _, _, n = _two(names, index)
+                _, _, key, _, _, n = _two(*_indexed(row["ids"], row["names"]))
                 yield from _table({"shard": np.full(len(n), row["shard"]), "hi": key, "n": n})
     return encoded.mapInArrow(run, "shard bigint, hi bigint, n bigint")
 
@@ -276,7 +291,7 @@ def _longer(shard: pa.Table, often: pa.Table) -> pa.Table:
     """Three- and four-word phrases of a shard whose two-word parts are all in ``often``."""
     out = [np.empty((0, 3), dtype=np.int64)]
     if shard.num_rows and often.num_rows:
-        names, index = _indexed(unpack(shard.column("ids")[0].as_py()))
+        names, index = _indexed(*(shard.column(c)[0].as_py() for c in ("ids", "names")))
         known = np.sort(np.asarray(often.column("hi").combine_chunks()))
 
         def is_known(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -331,12 +346,11 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min
         raw = C.cut_lineage(shards(docs, text_col, lang_col, shard_words), "phrase-shards")
     vocabulary = raw.where(F.col("local").isNotNull())
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = corpus_words(vocabulary, min_count)
-    back = vocabulary.select("shard", "local", "lang", "word").join(words.select("lang", "word", "g"), ["lang", "word"])
+    found = corpus_words(vocabulary, min_count)
     encoded = C.cut_lineage(
         raw.where(F.col("local").isNull()).select("shard", "ids").groupBy("shard")
-        .cogroup(back.select("shard", "local", "g").toDF("shard", "local", "g").groupBy("shard")).applyInArrow(_encoded, "shard bigint, ids binary"),
-        "phrase-ids")
+        .cogroup(found.select("shard", "local", "g").toDF("shard", "local", "g").groupBy("shard"))
+        .applyInArrow(_encoded, "shard bigint, ids binary, names binary"), "phrase-ids")
     # one row per shard and phrase; the sum over shards stays beside them, to go back to the shards
     each = Window.partitionBy("hi")
     with C.arrow_rows(spark, 1):
@@ -347,7 +361,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min
         .applyInArrow(_longer, "hi bigint, lo bigint, n bigint")
         .groupBy("hi", "lo").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count), "phrase-longer")
     counts = two.groupBy("hi").agg(F.max("f").alias("f")).select("hi", F.lit(0).cast("bigint").alias("lo"), "f")
-    return words, counts.unionByName(longer), totals
+    return found.where(F.col("f").isNotNull()).select("lang", "word", "f", "g"), counts.unionByName(longer), totals
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT,

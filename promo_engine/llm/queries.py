@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from promo_engine.llm import (ann, bpe, collocations, common, exact_dedup, hmm_lm, line_templates, mixing, ngram_join,
-                              quality, sharding, substring_dedup)
+from promo_engine.llm import (ann, bpe, collocations, common, exact_dedup, hard_negatives, hmm_lm, language,
+                              line_templates, mixing, ngram_join, quality, sharding, substring_dedup)
 from promo_engine.sources.tables import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -57,6 +57,14 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(common.documents(spark, sf_dir))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(common.documents(spark, sf_dir))
 
@@ -71,7 +79,8 @@ def _shipped(query: Callable) -> Callable:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _shipped(q) for q in (
         op1_substring_dedup, op2_byte_bpe, op3_line_templates, op4_mixing, op5_exact_dedup, op6_hmm_scores,
-        op7_ngram_join, op8_quality, op9_sharding, op10_nearest, op13_collocations)}
+        op7_ngram_join, op8_quality, op9_sharding, op10_nearest, op11_hard_negatives, op12_language,
+        op13_collocations)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -142,6 +151,24 @@ SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, class_size, doc_id = c
 FROM cls LEFT JOIN num USING (doc_id)
 """
 
+OP11_SQL = rf"""
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % {hard_negatives.FLIP_STEP} = 0 THEN (label + 1) % {hard_negatives.LABELS} ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT vec_id AS anchor_id, label, v FROM r WHERE vec_id % {hard_negatives.ANCHOR_STEP} = 0),
+p AS (SELECT anchor_id, a.label, r.vec_id, r.label = a.label AS same, list_dot_product(a.v, r.v)::BIGINT AS s
+      FROM a JOIN r ON r.vec_id <> a.anchor_id AND len(r.v) = len(a.v)),
+pos AS (SELECT anchor_id, vec_id AS positive_id, s AS positive_score FROM p WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= {hard_negatives.POSITIVES})
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, s AS negative_score
+FROM pos JOIN p USING (anchor_id)
+WHERE NOT same AND {hard_negatives.LOW}::HUGEINT * positive_score <= 100::HUGEINT * s
+      AND 100::HUGEINT * s <= {hard_negatives.HIGH}::HUGEINT * positive_score
+QUALIFY rank <= {hard_negatives.NEGATIVES}
+"""
+
 OP13_SQL = rf"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang,
                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
@@ -166,4 +193,5 @@ FROM kept JOIN total USING (lang) QUALIFY rank <= {collocations.TOP}
 """
 
 ORACLES = {"op1_substring_dedup": OP1_SQL, "op3_line_templates": OP3_SQL, "op5_exact_dedup": OP5_SQL,
-           "op7_ngram_join": OP7_SQL, "op13_collocations": OP13_SQL}
+           "op7_ngram_join": OP7_SQL, "op11_hard_negatives": OP11_SQL,
+           "op13_collocations": OP13_SQL}
