@@ -99,6 +99,17 @@ class Classifier:
         return self.langs[best], float(score), 1.0 if math.isinf(second) else float(1.0 - size[best] / second)
 
 
+def agreed(pieces: dict[str, list[str]]) -> dict[str, list[str]]:
+    """The pieces that the other half of the pieces gives the language they came with: wrong labels and
+    passages of another language don't get into a dictionary.  A language of which none would stay keeps all."""
+    out = {k: [] for k in pieces}
+    for half in (0, 1):
+        model = Classifier(dictionaries({k: v[half::2] or v for k, v in pieces.items()}))
+        for k, v in pieces.items():
+            out[k] += [p for p in v[1 - half::2] if model.langs[int(np.argmin(model.sizes(p)))] == k]
+    return {k: v or pieces[k] for k, v in out.items()}
+
+
 def dictionaries(pieces: dict[str, list[str]]) -> dict[str, bytes]:
     """Raw content of each language; zstandard wants 8 bytes at least."""
     return {k: b"\n".join(map(normal, v)).ljust(8) for k, v in pieces.items()}
@@ -109,7 +120,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """One row per input row: ``doc_id, held_out, lang_pred, score, margin, rejected``.
 
     Dictionaries come from rows with a text, a language and an id whose fold
-    isn't held out.  ``lang_pred`` is ``und`` with score 0 if the text is null
+    isn't held out, and hold only pieces that agree with their label
+    (``agreed``).  ``lang_pred`` is ``und`` with score 0 if the text is null
     or has no letter, or if no language was learned; it is the best language
     otherwise, and ``rejected`` tells margins under ``margin``, which
     ``reject=True`` turns into ``und`` too.  Equal sizes go to the first
@@ -118,7 +130,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     no UTF-8 count as the replacement character.  Other columns are not read;
     an empty table gives no rows.
     """
-    given = dictionaries(training_pieces(docs, id_col, text_col, lang_col))
+    given = dictionaries(agreed(training_pieces(docs, id_col, text_col, lang_col)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Classifier(given, level)
