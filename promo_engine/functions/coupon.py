@@ -140,9 +140,10 @@ def stable_mean(x) -> Column:
     """Mean of doubles that does not depend on summation order.
 
     Sums in decimal(38, 18), which keeps 18 decimals, and divides once at the
-    end.  Groups with a magnitude of 1e15 or more, where the sum could leave
-    that range, use the plain double mean.
+    end.  Groups with a magnitude of 1e15 or more, and groups whose sum leaves
+    that range all the same, use the plain double mean.
     """
     xc = _c(x).cast("double")
     exact = F.try_sum(xc.try_cast("decimal(38,18)")).cast("double")
-    return F.when(F.max(F.abs(xc)) < 1e15, F.try_divide(exact, F.count(xc).cast("double"))).otherwise(F.avg(xc))
+    mean = F.coalesce(F.try_divide(exact, F.count(xc).cast("double")), F.avg(xc))
+    return F.when(F.max(F.abs(xc)) < 1e15, mean).otherwise(F.avg(xc))

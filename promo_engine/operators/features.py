@@ -22,7 +22,8 @@ size check) or runs as a sort-merge join whose skewed partitions it splits.
 
 Null semantics (pandas group-by drops null keys; merge leaves null):
   * counts are ``nullif(count_if(cond), 0)`` -- no matching row -> null;
-  * min/max/mean/median aggregate ``when(cond, value)`` -> null when none;
+  * min/max/mean aggregate ``when(cond, value)`` -> null when none; so do
+    medians, which are selected from value counts (``_medians``);
   * key sets made of label-field keys only join null-safe (a null key of the
     label field forms its own group, as the pipeline's coercion to 0 did).
 """
@@ -35,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promo_engine.functions import coupon as C
+from promo_engine.operators import quantiles as Q
 from promo_engine.session import cut_lineage_all
 
 U, M, CP, DR, DIST, RATE = "user_id", "merchant_id", "coupon_id", "date_received", "distance", "discount_rate"
@@ -229,9 +231,7 @@ def _agg(spec: Spec, tag: Column) -> Column:
         out = F.max(v)
     elif a == "mean":
         out = C.stable_mean(v)
-    elif a == "median":
-        out = F.median(v).cast("double")
-    else:   # "ndistinct" is compiled separately (see _distinct_counts)
+    else:   # "ndistinct" and "median" are compiled separately (see _distinct_counts, _medians)
         raise ValueError(a)
     return out.alias(spec.name)
 
@@ -282,6 +282,21 @@ def _distinct_counts(rows: DataFrame, keys, specs: list[Spec], is_l: Column, is_
     return out
 
 
+def _medians(rows: DataFrame, keys, specs: list[Spec], is_l: Column, is_h: Column) -> DataFrame:
+    """Exact medians of one key set: the values of all specs are counted by
+    (keys, spec, value) with partial aggregation, and the middle ranks are
+    selected from the counts (``quantiles.grouped_medians``).  A key's rows
+    are never held together, as the built-in median's state does."""
+    values = F.array(*[F.struct(F.lit(i).alias("spec"), F.when(
+        (is_l if s.src == "L" else is_h) & _cond(s.cond), _value(s.value).cast("double")).alias("value"))
+        for i, s in enumerate(specs)])
+    long = rows.select(*keys, F.explode(F.filter(values, lambda x: x["value"].isNotNull())).alias("__x"))
+    counts = (long.groupBy(*keys, F.col("__x.spec").alias("__spec"), F.col("__x.value").alias("value"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return Q.grouped_medians(counts, [*keys, "__spec"]).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("__spec") == i, F.col("median"))).alias(s.name) for i, s in enumerate(specs)])
+
+
 def aggregate_block(label: DataFrame, history: DataFrame | None, keys, specs) -> DataFrame:
     """One row per key: all aggregates of one key set (partial aggregation).
 
@@ -294,12 +309,15 @@ def aggregate_block(label: DataFrame, history: DataFrame | None, keys, specs) ->
     for k in keys:
         if k not in _null_safe(specs):
             rows = rows.where(F.col(k).isNotNull())
-    plain = [s for s in specs if s.agg != "ndistinct"]
+    plain = [s for s in specs if s.agg not in ("ndistinct", "median")]
     distinct = [s for s in specs if s.agg == "ndistinct"]
+    middle = [s for s in specs if s.agg == "median"]
     aggs = [_agg(s, is_l if s.src == "L" else is_h) for s in plain] or [F.count(F.lit(1)).alias("__n")]
     out = rows.groupBy(*keys).agg(*aggs)
     for counts in _distinct_counts(rows, keys, distinct, is_l, is_h):
         out = _join_keys(out, counts, keys, _null_safe(specs))
+    if middle:
+        out = _join_keys(out, _medians(rows, keys, middle, is_l, is_h), keys, _null_safe(specs))
     out = out.select(*keys, *[F.col(f"`{s.name}`") for s in specs])
     # Groups where no spec found a matching row carry no information (the
     # left join gives null for them anyway).

@@ -14,12 +14,17 @@ doubles shrink 4096-fold per pass.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from promo_engine.session import cut_lineage
+
 BUCKETS = 4096
 MAX_PASSES = 200
+MEDIAN_ROWS = 250_000    # distinct values of one key that one task walks through
+MEDIAN_PARTS = 64        # ranges that a key of more values is cut into
 
 
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -100,3 +105,66 @@ def exact_quantiles(long: DataFrame, probs=(0.25, 0.5, 0.75)) -> dict[str, list[
             vals.append(x if x == y else x + (y - x) * frac if frac else x)
         out[c] = vals
     return out
+
+
+# ---- grouped medians ------------------------------------------------------------------
+def grouped_medians(counts: DataFrame, keys: list[str], most: int = MEDIAN_ROWS, parts: int = MEDIAN_PARTS) -> DataFrame:
+    """``keys..., median``: the exact median of every key from a table
+    ``keys..., value, n`` of how often each value (double, not null) occurs.
+
+    The middle ranks are found by running counts over the distinct values of
+    a key.  Keys of more than ``most`` values are first cut into ``parts``
+    ranges at their own (approximate) quantiles; the counts per range tell
+    which range holds a middle rank, and only its values stay.  This repeats
+    until no key has more than ``most`` values left, so a key that holds most
+    of the rows never meets in one task, however many values it has.
+    """
+    rows = cut_lineage(counts.select(*keys, "value", "n"), "median-counts")
+    group = list(keys)
+    for level in range(MAX_PASSES):
+        if rows.count() <= most:          # the written table's row count, from its footers
+            break
+        sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("__rows"), F.sum("n").alias("__all"))
+        if (sizes.agg(F.max("__rows")).first()[0] or 0) <= most:
+            break
+        rows = cut_lineage(_narrowed(rows, sizes, group, f"__part{level}", most, parts), "median-range")
+        group.append(f"__part{level}")
+    if group == list(keys):
+        rows = rows.withColumns({"__before": F.lit(0).cast("bigint"), "__total": F.sum("n").over(Window.partitionBy(*group))})
+    end = F.col("__before") + F.sum("n").over(
+        Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    low, high = F.expr("(__total - 1) div 2"), F.expr("__total div 2")
+    at = lambda rank: F.max(F.when((F.col("__end") - F.col("n") <= rank) & (rank < F.col("__end")), F.col("value")))
+    ends = rows.withColumn("__end", end).groupBy(*keys).agg(at(low).alias("__low"), at(high).alias("__high"))
+    return ends.select(*keys, F.when(F.col("__low") == F.col("__high"), F.col("__low"))
+                       .otherwise(F.col("__low") * 0.5 + F.col("__high") * 0.5).alias("median"))
+
+
+def _on(left: DataFrame, right: DataFrame, names: list[str]) -> tuple[DataFrame, Column]:
+    """``right`` with other names for the keys, and the condition that joins it to ``left`` (null to null)."""
+    other = right.select(*[F.col(c).alias(f"__r_{c}") if c in names else F.col(c) for c in right.columns])
+    return other, reduce(lambda a, b: a & b, [left[c].eqNullSafe(other[f"__r_{c}"]) for c in names])
+
+
+def _narrowed(rows: DataFrame, sizes: DataFrame, group: list[str], part: str, most: int, parts: int) -> DataFrame:
+    """The rows in ranges that hold a middle rank, with the range (0 in keys
+    that are small enough), the rows before it and the total."""
+    first = "__total" not in rows.columns
+    sizes = cut_lineage(sizes, "median-sizes")
+    big, on = _on(rows, sizes.where(F.col("__rows") > most).drop("__rows", "__all"), group)
+    edges = (rows.join(big, on, "left_semi").groupBy(*group).agg(F.percentile_approx(
+        "value", [i / parts for i in range(1, parts)], parts * 20).alias("__edges")))
+    edges, on = _on(rows, cut_lineage(edges, "median-edges"), group)
+    below = F.size(F.filter(F.col("__edges"), lambda e: e < F.col("value")))
+    cut = rows.join(edges, on, "left").withColumn(part, F.when(F.col("__edges").isNull(), 0).otherwise(below))
+    cut = cut_lineage(cut.select(*rows.columns, part), "median-ranges")
+    state = [] if first else [F.first("__before").alias("__from"), F.first("__total").alias("__total")]
+    per = cut.groupBy(*group, part).agg(F.sum("n").alias("__n"), *state)
+    if first:
+        totals, on = _on(per, sizes.drop("__rows").withColumnRenamed("__all", "__total"), group)
+        per = per.join(totals, on).select(*group, part, "__n", F.lit(0).cast("bigint").alias("__from"), "__total")
+    running = F.sum("__n").over(Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    per = (per.withColumn("__end", F.col("__from") + running).withColumn("__before", F.col("__end") - F.col("__n"))
+           .where((F.col("__before") <= F.expr("__total div 2")) & (F.col("__end") > F.expr("(__total - 1) div 2"))))
+    keep, on = _on(cut, per.select(*group, part, "__before", "__total"), [*group, part])
+    return cut.drop("__before", "__total").join(keep, on).select(*group, part, "value", "n", "__before", "__total")
