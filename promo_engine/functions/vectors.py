@@ -18,14 +18,20 @@ def as_doubles(c) -> Column:
     return F.transform(_c(c), lambda x: x.cast("double"))
 
 
-def literal_vector(values) -> Column:
-    """A constant ``array<double>``, built as one SQL literal (one JVM call
-    instead of one per coordinate).  ``repr`` gives the shortest text that
-    parses back to the same double, so the values are bit-exact."""
+def _literal(values) -> str | None:
+    """SQL text of a constant ``array<double>``; ``repr`` gives the shortest
+    text that parses back to the same double.  None with values that no text has."""
     vals = [float(v) for v in values]
     if any(v != v or v in (float("inf"), float("-inf")) for v in vals):
-        return F.array(*[F.lit(v) for v in vals])
-    return F.expr("array(" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in vals) + ")")
+        return None
+    return "array(" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in vals) + ")"
+
+
+def literal_vector(values) -> Column:
+    """A constant ``array<double>``, built as one SQL literal (one JVM call
+    instead of one per coordinate), bit-exact."""
+    text = _literal(values)
+    return F.array(*[F.lit(float(v)) for v in values]) if text is None else F.expr(text)
 
 
 def squared_euclidean(a, b) -> Column:
@@ -56,6 +62,7 @@ def nearest(point, centres: list[list[float]], metric: str = "euclidean") -> Col
     literals -- the same thing a broadcast of the centres does.
     """
     dist = euclidean if metric == "euclidean" else manhattan
-    cand = [F.struct(dist(point, literal_vector(c)).alias("d"), F.lit(i).alias("i"))
-            for i, c in enumerate(centres)]
-    return F.array_min(F.array(*cand))["i"]
+    texts = [_literal(c) for c in centres]
+    every = (F.array(*[literal_vector(c) for c in centres]) if None in texts
+             else F.expr("array(" + ", ".join(texts) + ")"))        # one expression, however many centres
+    return F.array_min(F.transform(every, lambda c, i: F.struct(dist(point, c).alias("d"), i.alias("i"))))["i"]

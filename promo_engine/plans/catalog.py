@@ -6,19 +6,27 @@ Every query reads the driver tables (through the coupon adapter or the
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promo_engine.functions.coupon import stable_mean
+from promo_engine.operators import boost as BO
 from promo_engine.operators import clean as CL
 from promo_engine.operators import cluster as CU
 from promo_engine.operators import dataset as DS
 from promo_engine.operators import features as FT
 from promo_engine.operators import model as MD
+from promo_engine.operators import ranking as RK
 from promo_engine.operators import reports as R
+from promo_engine.operators import silhouette as SI
 from promo_engine.operators import user_block as UB
 from promo_engine.plans import materialize as MZ
 from promo_engine.plans import split as SP
+from promo_engine.session import scratch_path
+from promo_engine.sources import files as FL
+from promo_engine.sources import sinks as SK
 from promo_engine.sources.coupons import coupon_raw
 from promo_engine.sources.tables import read_table
 
@@ -266,11 +274,26 @@ def q_silhouette_labels(spark, sf):
 
 
 def q_pca_2d(spark, sf):
-    return CU.pca_2d(_points(spark, sf)).select("id", "x", "y")
+    """Points on the first two principal axes, to 6 decimals."""
+    return _pca_points(spark, sf).select("id", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
+
+
+def q_silhouette_euclidean(spark, sf):
+    """Silhouette of the labelled classes in the plain distance, per class, to 9 decimals."""
+    s = SI.euclidean_silhouette(_points(spark, sf).withColumnRenamed("label", "cluster"))
+    return s.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_points"),
+                                    F.round(F.avg("silhouette"), 9).alias("mean_silhouette"))
+
+
+PCA_DIGITS = 6
 
 
 def _pca_points(spark, sf):
-    return CU.pca_2d(_points(spark, sf)).select("id", "p")
+    """The 2-D points of the clustering queries.  They lie on a grid of 1e-6:
+    principal axes are known to some 12 digits only, and a grid gives every
+    engine the same points to cluster."""
+    at = [F.round(F.col(c), PCA_DIGITS) + F.lit(0.0) for c in "xy"]
+    return CU.pca_2d(_points(spark, sf)).select("id", F.array(*at).alias("p"))
 
 
 def q_kmeans_assign(spark, sf, k: int = 3):
@@ -287,18 +310,23 @@ def q_lloyd_kmeans(spark, sf, k: int = 3):
 
 
 def q_choose_k(spark, sf):
-    return CU.choose_k(_pca_points(spark, sf), seed=7)
+    """Silhouette of the Lloyd fits for k = 2 to 10 (to 9 decimals), and the k that is chosen."""
+    t = CU.choose_k(_pca_points(spark, sf), seed=7)
+    return t.select("k", F.round("silhouette", 9).alias("silhouette"), "chosen")
 
 
 def q_cluster_report(spark, sf, k: int = 3):
-    _, out = CU.mllib_kmeans(_pca_points(spark, sf), k, seed=7)
-    return CU.cluster_report(out)
+    """Size, centre and mean silhouette of the three Lloyd clusters, to 9 decimals."""
+    r = CU.cluster_report(CU.lloyd_kmeans(_pca_points(spark, sf), k, seed=7).assigned)
+    return r.select("cluster", "n_points", F.round(F.col("centre")[0], 9).alias("x"), F.round(F.col("centre")[1], 9).alias("y"),
+                    F.round("mean_silhouette", 9).alias("mean_silhouette"))
 
 
 QUERIES.update({
     "centroid_distance": q_centroid_distance,
     "lloyd_step": q_lloyd_step,
     "silhouette_labels": q_silhouette_labels,
+    "silhouette_euclidean": q_silhouette_euclidean,
     "pca_2d": q_pca_2d,
     "kmeans_assign": q_kmeans_assign,
     "lloyd_kmeans": q_lloyd_kmeans,
@@ -382,12 +410,90 @@ def q_gbt_importance(spark, sf):
     return MD.importance(MD.fit(DS.train_union(tr, va), MD.USER_BLOCK_PARAMS))
 
 
+def q_gbt_watch(spark, sf):
+    """Area under the ROC curve after each of the 10 rounds of the per-user-block
+    model, on its training and validation rows (M3b)."""
+    fields(spark, sf, TRAIN)
+    tr, va = _in_parallel(*[(lambda s=s: _variant_dataset(spark, sf, s, "user_block")) for s in (TRAIN, VALIDATE)])
+    sets = {"train": tr, "validate": va}
+    run = BO.boost(spark, scratch_path(spark, f"gbt-watch-{uuid.uuid4().hex}"),
+                   BO.training_table(sets, MD.feature_columns(tr)), MD.USER_BLOCK_PARAMS, train_sets=tuple(sets))
+    return run.watched()
+
+
+AUC_FEATURES = ["distance", "discount_rate", "min_cost_of_manjian", "is_manjian"]
+
+
+def q_rank_auc(spark, sf):
+    """How well each plain feature alone ranks the 15-day label of all label
+    rows of the training split, by month of receipt."""
+    _, label = fields(spark, sf)
+    long = label.select("label", F.month("date_received").alias("received_month"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("score")) for c in AUC_FEATURES])).alias("x"))
+    return RK.rank_auc(long.select("label", "received_month", "x.*"), ["feature", "received_month"])
+
+
 QUERIES.update({
+    "gbt_watch": q_gbt_watch,
+    "rank_auc": q_rank_auc,
     "gbt_compact_predictions": q_gbt_compact_predictions,
     "gbt_user_block_predictions": q_gbt_user_block_predictions,
     "gbt_importance": q_gbt_importance,
 })
 
+# ---- files: written from the tables and read back -------------------------------------------
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_csv_round_trip(spark, sf):
+    """All coupon rows through an offline CSV log (K2, S1, C8) with values
+    planted that their columns can't hold; what is read has the reason (P11)."""
+    t = SK.offline_text(coupon_raw(spark, sf))
+    key = lambda c, n: F.col(c).cast("bigint") % n == 0
+    t = t.withColumns({
+        "Distance": F.when(key("User_id", 97), F.lit("far")).otherwise(F.col("Distance")),
+        "Date": F.when(key("Merchant_id", 13) & F.col("Date").isNotNull(), F.lit("20161345")).otherwise(F.col("Date")),
+        "Date_received": F.when(key("User_id", 2), F.concat("Date_received", F.lit(".0"))).otherwise(F.col("Date_received"))})
+    path = _scratch(spark, "csv")
+    SK.write_offline_csv(t, path)
+    return FL.read_quarantined(spark, path).drop("line")
+
+
+LINE_VALUES = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def q_whitespace_round_trip(spark, sf):
+    """Numbers of all line items through a text of columns apart by blanks (S3); what is no number is null."""
+    li = read_table(spark, sf, "lineitem").select(*[F.col(c).cast("double").alias(c) for c in LINE_VALUES])
+    path = _scratch(spark, "text")
+    SK.write_whitespace(li.withColumn("l_tax", F.when(F.col("l_linenumber") != 7, F.col("l_tax"))), path)
+    return FL.read_whitespace_text(spark, path)
+
+
+def q_registry_round_trip(spark, sf):
+    """Line items in the shapes of three registered datasets (K1, S2, S4, S5, P6, P18): a letter to
+    recode, a class column at the end, columns to drop by name."""
+    li = read_table(spark, sf, "lineitem")
+    value = [F.col(c).cast("double") for c in ("l_quantity", "l_discount")]
+    letter = F.translate("l_returnflag", "ANR", "MIF")
+    shapes = {"abalone": ([letter.alias("sex"), *value], False), "iris": ([*value, F.col("l_returnflag")], False),
+              "wholesale": ([F.lit(1).alias("Channel"), F.lit(2).alias("Region"), *value], True)}
+    out = None
+    for name, (cols, header) in shapes.items():
+        path = _scratch(spark, name)
+        SK.write_csv(li.select(*cols), path, header=header)
+        part = FL.load_dataset(spark, name, path).select(F.lit(name).alias("dataset"), "p")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+QUERIES.update({
+    "csv_round_trip": q_csv_round_trip,
+    "whitespace_round_trip": q_whitespace_round_trip,
+    "registry_round_trip": q_registry_round_trip,
+})
+
 #: Means of doubles: sums differ in the last bits between engines, so results are compared to 9 decimals.
 MEANS = ("mean_distance", "receive_buy_mean_rate", "receive_use_mean", "15_mean_consume_distance",
          "history_field_User_id_receive_and_consume_mean_discount_rate",

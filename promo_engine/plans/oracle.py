@@ -540,3 +540,116 @@ ORACLES["centroid_distance"] = ("select id, label, round(euclidean, 9) as euclid
                                 + ORACLES["centroid_distance"] + ")")
 ORACLES["lloyd_step"] = ("select cluster, n_points, list_transform(centre, lambda x: round(x, 9)) as centre, "
                          "round(shift, 9) as shift from (" + ORACLES["lloyd_step"] + ")")
+
+
+# area under the ROC curve by ranks: a positive row beats the negative rows below it and half of those beside it
+ORACLES["rank_auc"] = _with(BASE, TRAIN_FIELDS, "s as (" + " union all ".join(
+    f"select '{c}' as feature, cast(month(date_received) as integer) as received_month, cast({c} as double) as score, label from L0"
+    for c in ("distance", "discount_rate", "min_cost_of_manjian", "is_manjian")) + ")", """c as (
+  select feature, received_month, score, count_if(label = 1) as pos, count_if(label = 0) as neg from s
+  where score is not null group by all),
+b as (select *, coalesce(sum(neg) over (partition by feature, received_month order by score
+        rows between unbounded preceding and 1 preceding), 0) as below from c)""") + """
+select feature, received_month, cast(sum(pos) as bigint) as n_pos, cast(sum(neg) as bigint) as n_neg,
+  case when sum(pos) * sum(neg) > 0 then (cast(sum(pos * (2 * below + neg)) as double) / 2.0)
+    / (cast(sum(pos) as double) * cast(sum(neg) as double)) end as auc
+from b group by feature, received_month"""
+
+
+# ---- files --------------------------------------------------------------------------------
+ORACLES["csv_round_trip"] = _with(f"coupon_raw as ({COUPON_RAW_SQL})") + """select user_id, merchant_id, coupon_id, discount_rate_raw,
+  cast(case when user_id % 97 <> 0 then distance_raw end as bigint) as distance_raw, date_received,
+  case when merchant_id % 13 <> 0 then date_used end as date_used,
+  nullif(concat_ws('; ', case when user_id % 97 = 0 then 'Distance: far' end,
+                   case when merchant_id % 13 = 0 and date_used is not null then 'Date: 20161345' end), '') as reason
+from coupon_raw"""
+ORACLES["whitespace_round_trip"] = """select cast(l_orderkey as double) as _c0, cast(l_linenumber as double) as _c1,
+  cast(l_quantity as double) as _c2, cast(l_extendedprice as double) as _c3, cast(l_discount as double) as _c4,
+  case when l_linenumber <> 7 then cast(l_tax as double) end as _c5 from lineitem"""
+ORACLES["registry_round_trip"] = """with v as (select l_returnflag as f, cast(l_quantity as double) as q, cast(l_discount as double) as d
+  from lineitem)
+select 'abalone' as dataset, [case f when 'A' then 0.0::double when 'N' then 1.0::double when 'R' then 2.0::double end, q, d] as p from v
+union all select 'iris', [q, d] from v union all select 'wholesale', [q, d] from v"""
+
+
+# ---- principal axes and Lloyd passes -----------------------------------------------------------
+def _axis(name: str, matrix: str) -> str:
+    """The dominant axis of a symmetric matrix by squaring it 20 times, largest part positive."""
+    return f"""{name}_pow(n, m) as (select 0, m from {matrix}
+  union all
+  select n + 1, list_transform(sq, lambda r: list_transform(r, lambda x: x / t)) from (
+    select n, sq, list_sum(list_transform(range(1, len(sq) + 1), lambda i: sq[i][i])) as t from (
+      select n, list_transform(m, lambda r: list_transform(m, lambda s: list_dot_product(r, s))) as sq
+      from {name}_pow where n < 20))),
+{name}_row as (select list_reduce(m, lambda a, b: case when list_dot_product(a, a) >= list_dot_product(b, b) then a else b end) as r
+  from {name}_pow where n = 20),
+{name} as (select list_transform(r, lambda x: x / sqrt(list_dot_product(r, r))
+    * case when r[list_position(list_transform(r, lambda y: abs(y)), list_max(list_transform(r, lambda y: abs(y))))] < 0 then -1 else 1 end) as v
+  from {name}_row)"""
+
+
+PCA = f"""pts as (select vec_id as id, cast(embedding as double[]) as p from embeddings),
+ex0 as (select id, unnest(p) as x, unnest(range(len(p))) as pos from pts),
+mean as (select list(m order by pos) as m from (select pos, avg(x) as m from ex0 group by pos)),
+cen as (select id, list_transform(list_zip(p, m), lambda s: s[1] - s[2]) as p from pts cross join mean),
+ex as (select id, unnest(p) as x, unnest(range(len(p))) as pos from cen),
+cov as (select list(r order by i) as m from (select i, list(c order by j) as r from (
+   select a.pos as i, b.pos as j, sum(a.x * b.x) as c from ex a join ex b on a.id = b.id group by a.pos, b.pos) group by i)),
+cov1 as (select list_transform(m, lambda r: list_transform(r, lambda x: x / t)) as m
+  from (select m, list_sum(list_transform(range(1, len(m) + 1), lambda i: m[i][i])) as t from cov)),
+{_axis('a1', 'cov1')},
+cov2 as (select list_transform(range(1, len(v) + 1), lambda i: list_transform(range(1, len(v) + 1), lambda j: m[i][j] - l * v[i] * v[j])) as m
+  from (select m, v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) as l from cov1 cross join a1)),
+{_axis('a2', 'cov2')},
+flat as (select id, round(list_dot_product(p, a1.v), 6) + 0.0 as x, round(list_dot_product(p, a2.v), 6) + 0.0 as y
+  from cen cross join a1 cross join a2)"""
+
+
+def _lloyd(ks: str) -> str:
+    """Every Lloyd pass of every k: centres by md5 order, sums as whole numbers of 2**-40, 21 passes at most."""
+    grid = "cast(sum(cast(floor({0} * 1099511627776.0 + 0.5) as hugeint)) as double) / (cast(count(*) as double) * 1099511627776.0)"
+    return f"""ks as (select unnest({ks}) as k),
+drawn as (select x, y, row_number() over (order by md5(concat(id, '-7')), id) as r from flat),
+start as (select k, list([x, y] order by r) as c from ks join drawn on r <= k group by k),
+loop(k, pass, c, used, stop) as (select k, 0, c, c, false from start
+  union all
+  select k, pass + 1, case when shift > 0.0001 then new else c end, c, shift <= 0.0001 from (
+    select k, pass, c, new, list_sum(list_transform(list_zip(c, new), lambda s:
+        sqrt((s[1][1] - s[2][1]) * (s[1][1] - s[2][1]) + (s[1][2] - s[2][2]) * (s[1][2] - s[2][2])))) as shift from (
+      select k, pass, c, list_transform(range(1, len(c) + 1), lambda i: coalesce(map_extract(means, i)[1], c[i])) as new from (
+        select k, pass, c, map(list(i), list([mx, my])) as means from (
+          select k, pass, c, i, {grid.format('x')} as mx, {grid.format('y')} as my from (
+            select k, pass, c, x, y, list_position(d, list_min(d)) as i from (
+              select k, pass, c, x, y, list_transform(c, lambda q: sqrt((x - q[1]) * (x - q[1]) + (y - q[2]) * (y - q[2]))) as d
+              from loop cross join flat where not stop and pass < 21))
+          group by k, pass, c, i)
+        group by k, pass, c)))),
+done as (select k, c, used from loop qualify row_number() over (partition by k order by pass desc) = 1),
+asg as (select k, id, x, y, list_position(d, list_min(d)) - 1 as cluster from (
+  select k, id, x, y, list_transform(used, lambda q: sqrt((x - q[1]) * (x - q[1]) + (y - q[2]) * (y - q[2]))) as d from done cross join flat)),
+st as (select k, cluster, count(*) as n, sum(x) as sx, sum(y) as sy, sum(x * x + y * y) as q from asg group by k, cluster),
+tot as (select a.k, a.id, a.cluster as own, st.cluster as c, st.n,
+  greatest(st.n * (a.x * a.x + a.y * a.y) - 2 * (a.x * st.sx + a.y * st.sy) + st.q, 0) as t from asg a join st using (k)),
+ab as (select k, id, own, max(case when c = own then n end) as own_n, max(case when c = own and n > 1 then t / (n - 1) end) as a,
+  min(case when c <> own then t / n end) as b from tot group by k, id, own),
+sv as (select k, id, own as cluster, case when own_n <= 1 or b is null then 0.0
+  else coalesce(case when greatest(a, b) = 0 then null else (b - a) / greatest(a, b) end, 0.0) end as s from ab)"""
+
+
+_RECURSIVE = "with recursive "
+ORACLES["pca_2d"] = _RECURSIVE + PCA + "\nselect id, x, y from flat"
+ORACLES["lloyd_kmeans"] = (_RECURSIVE + PCA + ",\n" + _lloyd("[3]")
+                           + "\nselect id, cast(cluster as integer) as cluster, x, y from asg")
+ORACLES["choose_k"] = (_RECURSIVE + PCA + ",\n" + _lloyd("range(2, 11)") + """,
+score as (select cast(k as integer) as k, avg(s) as s from sv group by k)
+select k, round(s, 9) as silhouette, case when row_number() over (order by s desc, k) = 1 then 1 else 0 end as chosen from score""")
+ORACLES["cluster_report"] = (_RECURSIVE + PCA + ",\n" + _lloyd("[3]") + """,
+part as (select cluster, cast(count(*) as bigint) as n_points, round(avg(x), 9) as x, round(avg(y), 9) as y from asg group by cluster)
+select cast(cluster as integer) as cluster, n_points, x, y, round(avg(s), 9) as mean_silhouette
+from part join sv using (cluster) group by all""")
+ORACLES["silhouette_euclidean"] = _with(PTS, f"""pair as (select a.id, a.label as own, b.label as c, sum(sqrt({_FOLD_SQ.format(a='a.p', b='b.p')})) as s,
+  count(*) as n from pts a cross join pts b group by a.id, a.label, b.label),
+ab as (select id, own, max(case when c = own and n > 1 then s / (n - 1) end) as a, min(case when c <> own then s / n end) as b
+  from pair group by id, own),
+sv as (select own as cluster, case when a is null or b is null or greatest(a, b) = 0 then 0.0 else (b - a) / greatest(a, b) end as s from ab)
+""") + "select cluster, cast(count(*) as bigint) as n_points, round(avg(s), 9) as mean_silhouette from sv group by cluster"

@@ -59,6 +59,30 @@ def read_offline_csv(spark: SparkSession, path: str, strict: bool = False) -> Da
     )
 
 
+def read_quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """S1 with quarantine: the rows of ``read_offline_csv`` with ``reason``
+    and ``line``.  ``reason`` is null in good rows; else it names, in the
+    order of the columns, every value that its column can't hold (null in
+    the row), or says that the line has too few or too many fields, and
+    ``line`` is then the text of the line.  No line is lost: the good rows
+    are those without a reason, the rest can be written elsewhere."""
+    head = spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in (*head, "_line")])
+    df = (spark.read.option("header", True).option("nullValue", "null").option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_line").schema(schema).csv(path))
+    number = {c: F.col(c).try_cast("double").try_cast("bigint") for c in ("User_id", "Merchant_id", "Coupon_id", "Distance")}
+    date = {c: C.yyyymmdd_to_date(c) for c in ("Date_received", "Date") if c in head}
+    bad = [F.when(F.col(c).isNotNull() & v.isNull(), F.concat(F.lit(f"{c}: "), F.col(c)))
+           for c, v in sorted((number | date).items(), key=lambda x: head.index(x[0]))]
+    reason = F.when(F.col("_line").isNotNull(), F.lit("wrong number of fields")).otherwise(
+        F.nullif(F.concat_ws("; ", *bad), F.lit("")))
+    return df.select(number["User_id"].alias("user_id"), number["Merchant_id"].alias("merchant_id"),
+                     number["Coupon_id"].alias("coupon_id"), F.col("Discount_rate").alias("discount_rate_raw"),
+                     number["Distance"].alias("distance_raw"), date["Date_received"].alias("date_received"),
+                     date.get("Date", F.lit(None).cast("date")).alias("date_used"), reason.alias("reason"),
+                     F.col("_line").alias("line"))
+
+
 def read_headerless_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV without header; columns come out as ``_c0.._cN`` (text)."""
     return spark.read.option("header", False).csv(path)

@@ -103,3 +103,92 @@ def test_literal_vector_is_bit_exact(spark):
     vals = [0.1, -0.5, 1e-05, 1.2345678901234567e300, -3.0e-320, 2.0 / 3.0, 0.0, 123456789.123]
     got = spark.range(1).select(V.literal_vector(vals).alias("v")).first().v
     assert [x.hex() for x in got] == [float(x).hex() for x in vals]
+
+
+def test_all_k_at_once_equal_single_fits(spark):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(0, 1, (40, 2)), rng.normal(6, 1, (40, 2)), rng.normal((0, 6), 1, (40, 2))])
+    pts = _pts(spark, x).drop("cluster")
+    many = CU.lloyd_many(pts, range(2, 6), seed=3)
+    for k, fit in many.items():
+        one = CU.lloyd_kmeans(pts, k, seed=3)
+        assert (one.centres, one.passes, one.shift, one.used) == (fit.centres, fit.passes, fit.shift, fit.used)
+    scores = CU.mean_silhouettes(pts, {k: f.used for k, f in many.items()})
+    for k, fit in many.items():
+        assert scores[k] == pytest.approx(CU.mean_silhouette(fit.assigned), abs=1e-12)
+
+
+def test_all_k_are_few_jobs(spark):
+    rng = np.random.default_rng(2)
+    pts = _pts(spark, rng.normal(size=(200, 2))).drop("cluster")
+    group = "choose-k-jobs"
+    spark.sparkContext.setJobGroup(group, "all k")
+    out = CU.choose_k(pts, ks=range(2, 11), seed=5)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # two jobs (a shuffle map stage and its result) for each pass under AQE, a few around them
+    assert out.count() == 9 and jobs <= 2 * CU.MAX_PASSES + 14
+
+
+def test_grid_mean_has_no_order(spark):
+    rng = np.random.default_rng(4)
+    vals = [float(v) for v in rng.normal(size=999) * 1e3]
+    a = spark.createDataFrame([(v,) for v in vals], "x double")
+    b = spark.createDataFrame([(v,) for v in sorted(vals)], "x double").repartition(7)
+    got = [d.agg(CU.grid_mean(F.col("x"))).first()[0] for d in (a, b)]
+    assert got[0] == got[1] == pytest.approx(math.fsum(vals) / len(vals), abs=1e-12)
+    big = spark.createDataFrame([(1e300,), (3e300,)], "x double")
+    assert big.agg(CU.grid_mean(F.col("x"))).first()[0] == 2e300
+
+
+def test_pca_far_from_the_origin(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 5)) * [5, 3, 1, .5, .1]
+    near = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    got = CU.pca_2d(_pts(spark, x + 1e8).drop("cluster")).orderBy("id").select("x", "y").toPandas().to_numpy()
+    want = (x - x.mean(0)) @ near[2][:2].T
+    want *= np.sign(near[2][:2][np.arange(2), np.abs(near[2][:2]).argmax(1)])
+    assert np.abs(got - want).max() < 1e-5          # of points known to 1e-8 at 1e8
+    few = CU.pca_2d(_pts(spark, [(1.0, 2.0, 3.0), (2.0, 2.0, 3.0)]).drop("cluster")).orderBy("id").collect()
+    assert [(r.x, r.y) for r in few] == [(pytest.approx(-0.5), 0.0), (pytest.approx(0.5), 0.0)]
+    assert CU.pca_2d(_pts(spark, [(1.0, 2.0)]).drop("cluster").limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+def test_euclidean_silhouette_is_brute_force(spark, block):
+    from promo_engine.operators.silhouette import euclidean_silhouette
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0, 1, (60, 64)), rng.normal(.4, 1, (50, 64)), rng.normal(4, 1, (40, 64)), [[9.0] * 64]])
+    c = np.array([0] * 60 + [1] * 50 + [2] * 40 + [3])
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    want = []
+    for i in range(len(x)):
+        own = c == c[i]
+        a = d[i, own].sum() / max(1, own.sum() - 1)
+        b = min(d[i, c == k].mean() for k in set(c) if k != c[i])
+        want.append(0.0 if own.sum() == 1 else (b - a) / max(a, b))
+    df = _pts(spark, x, c).withColumn("target", F.lit("clash"))
+    got = {r.id: r.silhouette for r in euclidean_silhouette(df, block).collect()}
+    assert [got[i] for i in range(len(x))] == pytest.approx(want, abs=1e-9)
+
+
+def test_euclidean_silhouette_skips_far_clusters(spark):
+    from promo_engine.operators import silhouette as SI
+    x = np.concatenate([np.random.default_rng(i).normal(100 * i, 1, (30, 2)) for i in range(6)])
+    c = np.repeat(np.arange(6), 30)
+    pts = _pts(spark, x, c).select(F.col("id").alias("row"), F.col("cluster").cast("bigint").alias("c"), "p")
+    asked = SI._asked(pts, SI._clusters(pts))
+    # its own cluster and one or two others, of six
+    assert asked.count() <= 180 * 3 and asked.groupBy("row").count().agg(F.min("count")).first()[0] >= 2
+
+
+def test_euclidean_silhouette_edges(spark):
+    from promo_engine.operators.silhouette import euclidean_silhouette
+    rows = [(0, [0.0, 0.0], 1), (1, [0.0, 0.0], 1), (2, [0.0, 0.0], 2), (3, [0.0, 0.0], 2), (4, None, 1), (5, [1.0, None], 2),
+            (6, [float("nan"), 1.0], 1), (7, [1.0, 1.0], None)]
+    df = spark.createDataFrame(rows, "id long, p array<double>, cluster int")
+    got = {r.id: r.silhouette for r in euclidean_silhouette(df).collect()}
+    assert got == {0: 0.0, 1: 0.0, 2: 0.0, 3: 0.0, 4: None, 5: None, 6: None, 7: None}
+    one = euclidean_silhouette(df.where("cluster = 1")).collect()
+    assert {r.silhouette for r in one if r.id < 2} == {0.0}
+    assert euclidean_silhouette(df.limit(0)).count() == 0
