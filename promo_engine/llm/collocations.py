@@ -1,20 +1,21 @@
 """Phrase collocations from FM-indexes of corpus shards.
 
-1. *Shards.*  Each task turns consecutive texts into one sequence of word ids
+1. *Shards.*  Each task turns consecutive texts into sequences of word ids
    (a language and a word make an id; pieces end in id 0) of a bounded number
-   of words, with the shard's vocabulary.  Word counts are added up over the
-   shards; words that reach ``min_count`` get an id for the whole corpus, the
-   others end a piece, as no phrase that holds one can reach it.
+   of words.  Consecutive shards form a group of bounded size with one
+   vocabulary.  Word counts are added up over the groups; words that reach
+   ``min_count`` get an id for the whole corpus, the others end a piece, as no
+   phrase that holds one can reach it.
 2. *Index.*  A shard's ids are sorted by the ``LONGEST`` words that follow,
    in both directions; that gives a Burrows-Wheeler transform each, and
    phrases are pairs of intervals in them.  Extending intervals to the left
    or right by every word that occurs there enumerates the phrases with
    their counts (``Index.left``, ``Index.right``).
 3. *Levels.*  Two-word phrases are counted first and added up over the
-   shards.  Those that reach ``min_count`` go back to the shards that hold
-   them, and only they are extended to three and four words, which are added
-   up in turn.  No phrase that reaches ``min_count`` is lost by this: every
-   part of it occurs at least as often.
+   groups.  Those that reach ``min_count`` go back to the groups that hold
+   them, and only they are extended to three words, and those in turn to
+   four.  No phrase that reaches ``min_count`` is lost by this: every part of
+   it occurs at least as often.
 4. Cuts, drops by longer phrases and ranks are joins and aggregates over the
    phrases that are left, in exact arithmetic.
 """
@@ -37,7 +38,8 @@ MIN_COUNT = 30
 COVER = (80, 100)          # a phrase goes if a longer one has this share of its count
 TOP = 2000
 SCALE = 2_000_000
-SHARD_WORDS = 2_000_000  # words and ends of pieces; below 2**21 the sorts are fastest
+SHARD_WORDS = 2_000_000  # words and ends of pieces of an index; below 2**21 the sorts are fastest
+GROUP_WORDS = 8_000_000  # of the shards of one group
 RANGES = 1 << 16           # of words, each numbered by itself
 SLICE = 1 << 20            # bytes tokenised at once
 ROWS = 1 << 16             # rows of an Arrow batch sent on
@@ -89,64 +91,75 @@ class _Words(dict):
         return len(self.names)
 
 
-class _Shard:
-    def __init__(self):
+class _Group:
+    """Consecutive shards with one vocabulary."""
+
+    def __init__(self, number: int):
+        self.number, self.size, self.pending = number, 0, 0
         self.names: list[tuple[str, bytes]] = []
         self.words: dict[str, _Words] = {}
         self.parts: list[np.ndarray] = []
-        self.size = 0
+        self.counts = np.zeros(1, dtype=np.int64)
 
     def add(self, lang: str, toks: list[bytes]) -> None:
         have = self.words.get(lang)
         if have is None:
             have = self.words[lang] = _Words(lang, self.names)
         self.parts.append(np.fromiter(map(have.__getitem__, toks), dtype=np.int64, count=len(toks)))
-        self.size += len(toks)
-
-    def rows(self, number: int) -> Iterator[pa.RecordBatch]:
-        ids = np.concatenate(self.parts) if self.parts else np.empty(0, np.int64)
-        counts = np.bincount(ids, minlength=len(self.names) + 1)[1:]
-        none = lambda n, t: pa.nulls(n, type=t)
-        yield pa.record_batch([pa.array([number]), none(1, pa.int32()), none(1, pa.string()), none(1, pa.binary()),
-                               none(1, pa.int64()), C.binary([pack(ids)])], names=_SHARD_COLUMNS)
+        self.pending += len(toks)
+
+    def shard(self) -> Iterator[pa.RecordBatch]:
+        """What was added since the last shard."""
+        if self.pending:
+            ids = np.concatenate(self.parts)
+            counts = np.bincount(ids, minlength=len(self.names) + 1)
+            counts[:len(self.counts)] += self.counts
+            self.counts, self.parts = counts, []
+            self.size, self.pending = self.size + self.pending, 0
+            yield pa.record_batch([pa.array([self.number]), *[pa.nulls(1, type=t) for t in (
+                pa.int32(), pa.string(), pa.binary(), pa.int64())], C.binary([pack(ids)])], names=_SHARD_COLUMNS)
+
+    def vocabulary(self) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(self.names), ROWS):
             part = self.names[lo:lo + ROWS]
             n = len(part)
             yield pa.record_batch([
-                pa.array(np.full(n, number)), pa.array(np.arange(lo + 1, lo + n + 1), type=pa.int32()),
+                pa.array(np.full(n, self.number)), pa.array(np.arange(lo + 1, lo + n + 1), type=pa.int32()),
                 pa.array([x for x, _ in part], type=pa.string()), C.binary([w for _, w in part]),
-                pa.array(counts[lo:lo + n]), none(n, pa.binary())], names=_SHARD_COLUMNS)
+                pa.array(self.counts[lo + 1:lo + n + 1]), pa.nulls(n, type=pa.binary())], names=_SHARD_COLUMNS)
 
 
-_SHARD_COLUMNS = ["shard", "local", "lang", "word", "n", "ids"]
+_SHARD_COLUMNS = ["grp", "local", "lang", "word", "n", "ids"]
 
 
-def shards(docs: DataFrame, text_col: str, lang_col: str, words: int) -> DataFrame:
-    """A row with the packed ``ids`` of every shard, and one for each of its words (``local`` is its id there)."""
+def shards(docs: DataFrame, text_col: str, lang_col: str, words: int, group_words: int) -> DataFrame:
+    """A row with the packed ``ids`` of every shard, and one for each word of a group (``local`` is its id there)."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).cast("string").cast("binary").alias("text")).where(F.octet_length("text") > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        shard = _Shard()
+        group = _Group(TaskContext.get().partitionId() << 32)
         for b in batches:
             for row in range(b.num_rows):
                 lang = b.column("lang")[row].as_py()
                 for toks in tokens(b.column("text")[row].as_py()):
-                    if shard.size + len(toks) >= words and b"." in toks:        # full: the next begins with a piece
+                    if group.pending + len(toks) >= words and b"." in toks:      # full: the next begins with a piece
                         cut = len(toks) - toks[::-1].index(b".")
-                        shard.add(lang, toks[:cut])
-                        yield from shard.rows(number)
-                        toks, shard, number = toks[cut:], _Shard(), number + 1
-                    shard.add(lang, toks)
-                shard.add(lang, [b"."])
-        if shard.size:
-            yield from shard.rows(number)
-    return rows.mapInArrow(run, "shard bigint, local int, lang string, word binary, n bigint, ids binary")
+                        group.add(lang, toks[:cut])
+                        toks = toks[cut:]
+                        yield from group.shard()
+                        if group.size >= group_words:
+                            yield from group.vocabulary()
+                            group = _Group(group.number + 1)
+                    group.add(lang, toks)
+                group.add(lang, [b"."])
+        yield from group.shard()
+        yield from group.vocabulary()
+    return rows.mapInArrow(run, "grp bigint, local int, lang string, word binary, n bigint, ids binary")
 
 
 def corpus_words(vocabulary: DataFrame, min_count: int) -> DataFrame:
-    """``shard, local, g, lang, word, f`` of the words that reach ``min_count``, with the id ``g`` of the word in
+    """``grp, local, g, lang, word, f`` of the words that reach ``min_count``, with the id ``g`` of the word in
     the corpus; ``lang``, ``word`` and ``f`` stand in one of a word's rows alone.
 
     Words are dealt to ``RANGES`` ranges by a hash and numbered in each, so one shuffle adds up the counts
@@ -155,10 +168,10 @@ def corpus_words(vocabulary: DataFrame, min_count: int) -> DataFrame:
     rows = (vocabulary.withColumn("range", F.pmod(F.xxhash64("lang", "word"), F.lit(RANGES)))
             .repartition("range").withColumn("f", F.sum("n").over(own)).where(F.col("f") >= min_count)
             .withColumn("at", F.dense_rank().over(Window.partitionBy("range").orderBy("lang", "word")))
-            .withColumn("lead", F.row_number().over(own.orderBy("shard")) == 1))
+            .withColumn("lead", F.row_number().over(own.orderBy("grp")) == 1))
     g = F.col("at").cast("bigint") * RANGES + F.col("range")
     low = F.when(g < 1 << 32, g).otherwise(F.raise_error(F.lit("ids of frequent words need more than 32 bits")))
-    return C.cut_lineage(rows.select("shard", "local", low.alias("g"), *[
+    return C.cut_lineage(rows.select("grp", "local", low.alias("g"), *[
         F.when(F.col("lead"), F.col(c)).alias(c) for c in ("lang", "word", "f")]), "phrase-words")
 
 
@@ -259,59 +272,127 @@ def _table(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
                               names=list(columns))
 
 
-def _encoded(shard: pa.Table, words: pa.Table) -> pa.Table:
-    """The shard in symbols: its frequent words by ascending corpus id from 1 on, 0 for its other words and
-    one 0 between pieces; ``names`` are the steps between these ids."""
+def _encoded(group: pa.Table, words: pa.Table) -> pa.Table:
+    """The group's shards in symbols: a shard's frequent words by ascending corpus id from 1 on, 0 for its
+    other words and one 0 between pieces; ``names`` are the steps between these ids."""
     out = []
-    if shard.num_rows and words.num_rows:
-        ids = unpack(shard.column("ids")[0].as_py())
+    if group.num_rows and words.num_rows:
         local, g = (np.asarray(words.column(c).combine_chunks()).astype(np.int64) for c in ("local", "g"))
         order = np.argsort(g)
-        symbol = np.zeros(int(max(ids.max(initial=0), local.max())) + 1, dtype=np.int64)
-        symbol[local[order]] = np.arange(1, len(g) + 1)
-        ids = symbol[ids]
-        keep = np.ones(len(ids), dtype=bool)
-        keep[1:] = (ids[1:] > 0) | (ids[:-1] > 0)
-        out = [(shard.column("shard")[0].as_py(), pack(ids[keep]), pack(np.diff(g[order], prepend=0)))]
-    return pa.table([pa.array([x for x, _, _ in out], type=pa.int64()), C.binary([x for _, x, _ in out]),
-                     C.binary([x for _, _, x in out])], names=["shard", "ids", "names"])
+        local, g = local[order], g[order]
+        for raw in group.column("ids"):
+            ids = unpack(raw.as_py())
+            here = np.bincount(ids, minlength=int(local.max()) + 1)[local] > 0
+            symbol = np.zeros(max(int(ids.max(initial=0)), int(local.max())) + 1, dtype=np.int64)
+            symbol[local[here]] = np.arange(1, int(here.sum()) + 1)
+            ids = symbol[ids]
+            keep = np.ones(len(ids), dtype=bool)
+            keep[1:] = (ids[1:] > 0) | (ids[:-1] > 0)
+            out.append((pack(ids[keep]), pack(np.diff(g[here], prepend=0))))
+    number = group.column("grp")[0].as_py() if group.num_rows else 0
+    return pa.table([pa.array([number] * len(out), type=pa.int64()), C.binary([x for x, _ in out]),
+                     C.binary([x for _, x in out])], names=["grp", "ids", "names"])
+
+
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows ``hi, lo, n`` of several shards as those of the group, in order."""
+    rows = np.concatenate([np.empty((0, 3), dtype=np.int64), *parts])
+    if len(parts) < 2 or not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))] if rows[:, 1].any() else rows[np.argsort(rows[:, 0])]
+    at = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]))
+    return np.concatenate([rows[at, :2], np.add.reduceat(rows[:, 2], at)[:, None]], axis=1)
 
 
 def pairs(encoded: DataFrame) -> DataFrame:
-    """``shard, hi, n``: the two-word phrases of each shard."""
+    """``grp, hi, lo, n``: the two-word phrases of each group."""
+    def found(row: dict) -> np.ndarray:
+        _, _, key, _, _, n = _two(*_indexed(row["ids"], row["names"]))
+        return np.stack([key, np.zeros(len(n), np.int64), n], axis=1)
+
+    def sent(number: int | None, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = _merged(parts)
+        yield from _table({"grp": np.full(len(rows), number), "hi": rows[:, 0], "lo": rows[:, 1], "n": rows[:, 2]})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, parts = None, []
         for b in batches:
             for row in C.each_row(b):
-                _, _, key, _, _, n = _two(*_indexed(row["ids"], row["names"]))
-                yield from _table({"shard": np.full(len(n), row["shard"]), "hi": key, "n": n})
-    return encoded.mapInArrow(run, "shard bigint, hi bigint, n bigint")
-
-
-def _longer(shard: pa.Table, often: pa.Table) -> pa.Table:
-    """Three- and four-word phrases of a shard whose two-word parts are all in ``often``."""
-    out = [np.empty((0, 3), dtype=np.int64)]
-    if shard.num_rows and often.num_rows:
-        names, index = _indexed(*(shard.column(c)[0].as_py() for c in ("ids", "names")))
-        known = np.sort(np.asarray(often.column("hi").combine_chunks()))
-
-        def is_known(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            key = _key(names[a], names[b])
-            return known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
-        a, b, _, lo, back, n = _two(names, index)
-        ok = is_known(a, b)
-        a, b, lo, back, n = a[ok], b[ok], lo[ok], back[ok], n[ok]
-        own, c, lo, back, n = index.right(lo, back, n)
-        ok = is_known(b[own], c)
-        own, c, lo, back, n = own[ok], c[ok], lo[ok], back[ok], n[ok]
-        a, b = a[own], b[own]
-        none = np.zeros(len(c), dtype=np.int64)
-        out.append(np.stack([_key(names[a], names[b]), _key(names[c], none), n], axis=1))
-        own, d, _, _, n = index.left(lo, back, n)
-        ok = is_known(d, a[own])
-        own, d, n = own[ok], d[ok], n[ok]
-        out.append(np.stack([_key(names[d], names[a[own]]), _key(names[b[own]], names[c[own]]), n], axis=1))
-    both = np.concatenate(out)
-    return pa.table([pa.array(np.ascontiguousarray(both[:, i])) for i in range(3)], names=["hi", "lo", "n"])
+                if row["grp"] != number and parts:                 # a group's shards follow each other
+                    yield from sent(number, parts)
+                    parts = []
+                number = row["grp"]
+                parts.append(found(row))
+        if parts:
+            yield from sent(number, parts)
+    return encoded.mapInArrow(run, "grp bigint, hi bigint, lo bigint, n bigint")
+
+
+class _Known:
+    """A set of phrases by their keys."""
+
+    def __init__(self, hi: np.ndarray, lo: np.ndarray | None = None):
+        self.hi = np.unique(hi)
+        if lo is not None:             # two keys: the second under the place of the first
+            self.both = np.unique(self._under(hi, lo))
+
+    def _under(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.hi, hi) << 32 | (lo >> 32 & 0xFFFFFFFF)
+
+    @staticmethod
+    def _is_in(sorted_: np.ndarray, key: np.ndarray) -> np.ndarray:
+        return sorted_[np.minimum(np.searchsorted(sorted_, key), len(sorted_) - 1)] == key
+
+    def two(self, hi: np.ndarray) -> np.ndarray:
+        return self._is_in(self.hi, hi)
+
+    def three(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        return self.two(hi) & self._is_in(self.both, self._under(hi, lo))
+
+
+def _threes(row: tuple[bytes, bytes], known: _Known):
+    """Three-word phrases whose two-word parts are known: names, index, words, keys and intervals."""
+    names, index = _indexed(*row)
+    a, b, key, lo, back, n = _two(names, index)
+    ok = known.two(key)
+    a, b, lo, back, n = a[ok], b[ok], lo[ok], back[ok], n[ok]
+    own, c, lo, back, n = index.right(lo, back, n)
+    ok = known.two(_key(names[b[own]], names[c]))
+    own, c, lo, back, n = own[ok], c[ok], lo[ok], back[ok], n[ok]
+    a, b = a[own], b[own]
+    return names, index, (a, b, c), (_key(names[a], names[b]), _key(names[c], np.zeros(len(c), np.int64))), (lo, back, n)
+
+
+def _of_group(found):
+    """For a cogroup of a group's shards and its known phrases: ``found`` of every shard, added up."""
+    def run(group: pa.Table, often: pa.Table) -> pa.Table:
+        parts = []
+        if group.num_rows and often.num_rows:
+            hi, lo = (np.asarray(often.column(c).combine_chunks()) for c in ("hi", "lo"))
+            parts = [found((x.as_py(), y.as_py()), hi, lo) for x, y in zip(group.column("ids"), group.column("names"), strict=True)]
+        rows = _merged(parts)
+        number = group.column("grp")[0].as_py() if len(rows) else 0
+        return pa.table([pa.array(np.full(len(rows), number)), *[pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)]],
+                        names=["grp", "hi", "lo", "n"])
+    return run
+
+
+def _three_words(row: tuple[bytes, bytes], hi: np.ndarray, _: np.ndarray) -> np.ndarray:
+    _, _, _, key, (_, _, n) = _threes(row, _Known(hi))
+    return np.stack([*key, n], axis=1)
+
+
+def _four_words(row: tuple[bytes, bytes], hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """Four-word phrases whose three-word parts are known."""
+    known = _Known(hi, lo)
+    inner = _key(hi & 0xFFFFFFFF, lo >> 32 & 0xFFFFFFFF)
+    names, index, (a, b, c), key, (left, back, n) = _threes(row, _Known(np.concatenate([hi, inner])))
+    ok = known.three(*key)
+    a, b, c, left, back, n = a[ok], b[ok], c[ok], left[ok], back[ok], n[ok]
+    own, d, _, _, n = index.left(left, back, n)
+    a, b, c = a[own], b[own], c[own]
+    ok = known.three(_key(names[d], names[a]), _key(names[b], np.zeros(len(b), np.int64)))
+    return np.stack([_key(names[d], names[a])[ok], _key(names[b], names[c])[ok], n[ok]], axis=1)
 
 
 def _part(word: str) -> Column:
@@ -338,34 +419,40 @@ def _after(k: int) -> Column:
 
 
 def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT,
-            shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+            shard_words: int = SHARD_WORDS, group_words: int = GROUP_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(words, counts, totals): ``lang, word, f, g`` of the words that reach ``min_count``, ``hi, lo, f`` of the
     phrases of two to four of them that do (four ids of 32 bits), ``lang, n`` of all word occurrences."""
     spark = docs.sparkSession
     with C.arrow_rows(spark, 1000):
-        raw = C.cut_lineage(shards(docs, text_col, lang_col, shard_words), "phrase-shards")
+        raw = C.cut_lineage(shards(docs, text_col, lang_col, shard_words, group_words), "phrase-shards")
     vocabulary = raw.where(F.col("local").isNotNull())
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
     found = corpus_words(vocabulary, min_count)
+    by_group = lambda rows, *names: rows.select(*names).toDF(*names).groupBy("grp")
     encoded = C.cut_lineage(
-        raw.where(F.col("local").isNull()).select("shard", "ids").groupBy("shard")
-        .cogroup(found.select("shard", "local", "g").toDF("shard", "local", "g").groupBy("shard"))
-        .applyInArrow(_encoded, "shard bigint, ids binary, names binary"), "phrase-ids")
-    # one row per shard and phrase; the sum over shards stays beside them, to go back to the shards
-    each = Window.partitionBy("hi")
+        by_group(raw.where(F.col("local").isNull()), "grp", "ids").cogroup(by_group(found, "grp", "local", "g"))
+        .applyInArrow(_encoded, "grp bigint, ids binary, names binary"), "phrase-ids")
+
+    def often(rows: DataFrame, name: str) -> DataFrame:
+        # one row per group and phrase; the sum over groups stays beside them, to go back to the groups
+        total = F.sum("n").over(Window.partitionBy("hi", "lo"))
+        return C.cut_lineage(rows.withColumn("f", total).where(F.col("f") >= min_count).drop("n"), name)
+
+    def longer(known: DataFrame, how) -> DataFrame:
+        return by_group(encoded, "grp", "ids", "names").cogroup(by_group(known, "grp", "hi", "lo")).applyInArrow(
+            _of_group(how), "grp bigint, hi bigint, lo bigint, n bigint")
     with C.arrow_rows(spark, 1):
-        two = C.cut_lineage(pairs(encoded).withColumn("f", F.sum("n").over(each)).where(F.col("f") >= min_count),
-                            "phrase-pairs")
-    longer = C.cut_lineage(
-        encoded.groupBy("shard").cogroup(two.select("shard", "hi").toDF("shard", "hi").groupBy("shard"))
-        .applyInArrow(_longer, "hi bigint, lo bigint, n bigint")
-        .groupBy("hi", "lo").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count), "phrase-longer")
-    counts = two.groupBy("hi").agg(F.max("f").alias("f")).select("hi", F.lit(0).cast("bigint").alias("lo"), "f")
-    return found.where(F.col("f").isNotNull()).select("lang", "word", "f", "g"), counts.unionByName(longer), totals
+        two = often(pairs(encoded), "phrase-pairs")
+    three = often(longer(two, _three_words), "phrase-threes")
+    four = longer(three, _four_words).groupBy("hi", "lo").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    once = [t.groupBy("hi", "lo").agg(F.max("f").alias("f")) for t in (two, three)]
+    return (found.where(F.col("f").isNotNull()).select("lang", "word", "f", "g"),
+            C.cut_lineage(once[0].unionByName(once[1]).unionByName(four), "phrase-all"), totals)
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT,
-                 cover: tuple[int, int] = COVER, top: int = TOP, shard_words: int = SHARD_WORDS) -> DataFrame:
+                 cover: tuple[int, int] = COVER, top: int = TOP, shard_words: int = SHARD_WORDS,
+                 group_words: int = GROUP_WORDS) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``top`` phrases of two
     to four words of each language, by the score of their weakest cut.
 
@@ -377,7 +464,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     are in the counts, and shown as the replacement character.  Other columns
     are not read; an empty table gives no rows.
     """
-    words, counts, totals = phrases(docs, text_col, lang_col, min_count, shard_words)
+    words, counts, totals = phrases(docs, text_col, lang_col, min_count, shard_words, group_words)
     keyed = counts.select("hi", "lo", F.col("f").alias("a"), *[_part(w).alias(f"g{w}") for w in "1234"])
     keyed = C.cut_lineage(keyed.withColumn("size", F.when(F.col("g3") == 0, 2).when(F.col("g4") == 0, 3).otherwise(4)),
                           "phrase-counts")

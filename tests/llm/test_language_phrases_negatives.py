@@ -161,8 +161,8 @@ def found(llm, rows, **how):
     return sorted(tuple(r) for r in collocations.collocations(df, **how).collect())
 
 
-@pytest.mark.parametrize("words", [collocations.SHARD_WORDS, 300])
-def test_collocations_are_brute_force(llm, words):
+@pytest.mark.parametrize("words, group", [(collocations.SHARD_WORDS, collocations.GROUP_WORDS), (300, 700), (50, 1)])
+def test_collocations_are_brute_force(llm, words, group):
     rng = random.Random(5)
     names = [f"w{i}" for i in range(12)] + ["Été", "été", "a-b"]
     rows = []
@@ -171,7 +171,7 @@ def test_collocations_are_brute_force(llm, words):
         rows.append((text + (" New York City hall" if i % 3 else ""), rng.choice(["en", "en", "de", None, "und"])))
     for least, top in ((30, 2000), (4, 2000), (4, 7)):
         want = plain_collocations(rows, least, top)
-        assert want and found(llm, rows, min_count=least, top=top, shard_words=words) == want
+        assert want and found(llm, rows, min_count=least, top=top, shard_words=words, group_words=group) == want
 
 
 def test_collocations_repeats_and_edges(llm, edge, edge_rows, empty):
