@@ -142,22 +142,47 @@ def decode(tokens: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>, raw binary")
 
 
+def _digested(enc: tiktoken.Encoding, written: list[bytes], doc_ids: pa.Array, ids: list[np.ndarray],
+              with_ids: bool) -> pa.RecordBatch:
+    lists = [v.tolist() for v in ids]
+    texts = [b"".join(map(written.__getitem__, v))[:-1] for v in lists]
+    out = {"doc_id": doc_ids, "n_tokens": pa.array(map(len, lists), type=pa.int64()),
+           "ids_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], type=pa.string()),
+           "decoded_sha256": pa.array([hashlib.sha256(enc.decode_bytes(v)).hexdigest() for v in lists], type=pa.string())}
+    return pa.RecordBatch.from_pydict(out | ({"ids": _lists(ids)} if with_ids else {}))
+
+
+_DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
 def digest(tokens: DataFrame, rank_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """The contract's columns of ``encode``'s rows, decoded as ``decode`` does, and the ids if asked for."""
     rows = tokens.select("doc_id", "ids")
     rows.sparkSession.sparkContext.addFile(rank_path)
+    none = np.empty(0, dtype=np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(_shipped(rank_path), pattern)
         written = [b"%d " % i for i in range(enc.n_vocab)]
         for b in batches:
             for part, arrays in _arrays(b):
-                ids = [[] if v is None else v.tolist() for v in arrays]
-                texts = [b"".join(map(written.__getitem__, v))[:-1] for v in ids]
-                out = {"doc_id": part.column("doc_id"), "n_tokens": pa.array(map(len, ids), type=pa.int64()),
-                       "ids_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], type=pa.string()),
-                       "decoded_sha256": pa.array([hashlib.sha256(enc.decode_bytes(v)).hexdigest() for v in ids],
-                                                  type=pa.string())}
-                yield pa.RecordBatch.from_pydict(out | ({"ids": part.column("ids")} if with_ids else {}))
-    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-                           + ", ids array<int>" * with_ids)
+                yield _digested(enc, written, part.column("doc_id"), [none if v is None else v for v in arrays], with_ids)
+    return rows.mapInArrow(run, _DIGEST + ", ids array<int>" * with_ids)
+
+
+def encode_digest(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+                  piece_chars: int = PIECE_CHARS, with_ids: bool = False) -> DataFrame:
+    """``digest`` of ``encode`` in one stage, so that a task slot has one
+    Python worker with one encoder and the ids needn't leave it."""
+    rows = C.id_text(docs, id_col, text_col)
+    rows.sparkSession.sparkContext.addFile(rank_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(_shipped(rank_path), pattern)
+        written = [b"%d " % i for i in range(enc.n_vocab)]
+        for b in batches:
+            ids, texts = b.column("doc_id"), b.column("text")
+            for lo in range(0, b.num_rows, ROWS):
+                got = [encode_array(enc, t.as_py() or "", piece_chars) for t in texts.slice(lo, ROWS)]
+                yield _digested(enc, written, ids.slice(lo, ROWS), got, with_ids)
+    return rows.mapInArrow(run, _DIGEST + ", ids array<int>" * with_ids)

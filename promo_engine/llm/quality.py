@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promo_engine.llm import common as C
@@ -180,18 +180,28 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         "doc_id", F.coalesce(C.doc_fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, unchanged, that the classifier doesn't reject."""
-    (mine,) = C.fresh(docs, "__score")
-    feats = C.cut_lineage(features(docs), "quality")
-    model = train(feats, labels)
-    score: Column = _score_column(model)(F.col(text_col).cast("string"))
-    return docs.withColumn(mine, score).where(F.col(mine) >= threshold).drop(mine)
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, unchanged, that the classifier doesn't reject.
+
+    The statistics of a text are computed once: they are written beside the
+    row, and both the training and the scores read them there."""
+    (mine,) = C.fresh(docs, "__statistics")
+    rows = C.cut_lineage(docs.withColumn(mine, _statistics_column()(F.col(text_col).cast("string"))), "quality-rows")
+    model = train(rows.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(mine).alias("x")), labels)
+    return rows.where(_score_column(model)(F.col(mine)) >= threshold).drop(mine)
+
+
+def _statistics_column():
+    @F.arrow_udf("array<double>")
+    def column(texts: pa.Array) -> pa.Array:
+        raw = C.texts_of(pa.record_batch([texts], names=["text"]))
+        return pa.array([statistics(t) for t in raw], type=pa.list_(pa.float64()))
+    return column
 
 
 def _score_column(model: Model):
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        raw = C.texts_of(pa.record_batch([texts], names=["text"]))
-        return pa.array(model.score(np.array([statistics(t) for t in raw]).reshape(len(raw), len(STATISTICS))))
+    def score(x: pa.Array) -> pa.Array:
+        return pa.array(model.score(np.array(x.flatten(), dtype=np.float64).reshape(len(x), len(STATISTICS))))
     return score

@@ -20,8 +20,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = bpe.encode(common.documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
-    return bpe.digest(tokens, RANKS, public_tokenizers.PATTERN)
+    return bpe.encode_digest(common.documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
 def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
