@@ -50,8 +50,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, ids_sha256, decoded_sha256`` of every row."""
     common.ship_package(spark)
-    tokens = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    return bpe.digest(tokens, RANKS, public_tokenizers.PATTERN, with_ids=True)
+    return bpe.encode_digest(docs, RANKS, public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [("quality", quality_stage), ("line_dedup", line_stage), ("near_dedup", near_stage),
