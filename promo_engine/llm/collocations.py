@@ -38,7 +38,7 @@ MIN_COUNT = 30
 COVER = (80, 100)          # a phrase goes if a longer one has this share of its count
 TOP = 2000
 SCALE = 2_000_000
-SHARD_WORDS = 2_000_000  # words and ends of pieces of an index; below 2**21 the sorts are fastest
+SHARD_WORDS = 1_000_000  # words and ends of pieces of an index; below 2**21 the sorts are fastest
 GROUP_WORDS = 8_000_000  # of the shards of one group
 RANGES = 1 << 16           # of words, each numbered by itself
 SLICE = 1 << 20            # bytes tokenised at once
