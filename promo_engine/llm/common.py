@@ -12,6 +12,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,9 +103,16 @@ def _letters(seed: int) -> np.ndarray:
 _LETTERS = [_letters(s) for s in range(4)]
 
 
+LONG_WORD = 256
+
+
 def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
     """A 64-bit hash of every word: a polynomial over its bytes by prefix
-    sums, then mixed.  Works on slices, so a very long list stays cheap."""
+    sums, then mixed.  Works on slices, so a very long list stays cheap.
+
+    Words of over ``LONG_WORD`` bytes take xxh3 instead: polynomials modulo
+    2**64 have words that are equal under every base, of a thousand letters
+    or more."""
     n = len(words)
     out = np.empty(n, dtype=np.uint64)
     if n == 0:
@@ -125,7 +133,10 @@ def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
             starts = ends - lens[at:to]
             out[at:to] = (sums[ends] - sums[starts]) * inv[starts] + lens[at:to].astype(np.uint64)
         at = to
-    return mix64(out)
+    out = mix64(out)
+    for i in np.flatnonzero(lens > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(words[i], seed)
+    return out
 
 
 def gram_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:

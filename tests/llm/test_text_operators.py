@@ -158,3 +158,24 @@ def test_empty_tables(empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert bpe.digest(bpe.encode(empty, RANKS, P.PATTERN), RANKS, P.PATTERN).count() == 0
     assert exact_dedup.exact_groups(empty).count() == 0
+
+
+def thue_morse(k):
+    """Two words of 2**k letters that polynomials modulo 2**64 can't tell apart, from k = 11 on."""
+    a = b"a"
+    for _ in range(k):
+        a += a.translate(bytes.maketrans(b"ab", b"ba"))
+    return a.decode(), a.translate(bytes.maketrans(b"ab", b"ba")).decode()
+
+
+def test_words_alike_to_polynomials_are_told_apart(llm):
+    from promo_engine.llm import common, ngram_join
+    one, two = thue_morse(11)
+    for seed in range(4):
+        assert len(set(common.word_hashes([one.encode(), two.encode()], seed).tolist())) == 2
+    rest = " ".join(f"w{i}" for i in range(34))
+    texts = [f"{one} {rest}", f"{two} {rest}"]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.n_removed for r in substring_dedup.remove_repeats(docs).collect()} == {0}
+    short = llm.createDataFrame([(0, f"{one} a b c d"), (1, f"{two} a b c d")], "doc_id bigint, text string")
+    assert {r.n_links for r in ngram_join.near_groups(short).collect()} == {0}
