@@ -28,7 +28,7 @@ from promo_engine.session import scratch_path
 from promo_engine.sources import files as FL
 from promo_engine.sources import sinks as SK
 from promo_engine.sources.coupons import coupon_raw
-from promo_engine.sources.tables import read_table
+from promo_engine.sources.tables import read_table, table_path
 
 TRAIN = SP.ADAPTER_SPLITS[0]
 VALIDATE = SP.ADAPTER_SPLITS[1]
@@ -49,8 +49,8 @@ def fields(spark: SparkSession, sf: str, split: SP.SplitSet = TRAIN):
     session for all adapter splits (one pass over the source, pruned to the
     receipt dates the splits cover)."""
     family = SP.ADAPTER_SPLITS
-    src = labelled(spark, sf, MZ.received_range(family))
-    return MZ.fields(spark, src, split, token=f"adapter:{sf}", family=family)
+    return MZ.fields(spark, lambda: labelled(spark, sf, MZ.received_range(family)), split, token=f"adapter:{sf}",
+                     family=family, sources=[table_path(sf, t) for t in ("lineitem", "orders")])
 
 
 # ---- cleaning / label --------------------------------------------------------

@@ -41,6 +41,19 @@ def _identity(spark: SparkSession, df: DataFrame) -> tuple:
     return df.semanticHash(), tuple(files)
 
 
+def file_state(spark: SparkSession, paths) -> tuple:
+    """Size and modification time of every file under ``paths``, without reading or planning anything."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        files = p.getFileSystem(conf).listFiles(p, True)
+        while files.hasNext():
+            s = files.next()
+            out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def received_range(splits) -> tuple:
     """Smallest [lo, hi) receipt-date range covering every history and label
     interval of ``splits`` (used to prune the source before tagging)."""
@@ -48,19 +61,23 @@ def received_range(splits) -> tuple:
     return min(iv.start for iv in ivs), max(iv.end for iv in ivs)
 
 
-def fields_table(spark: SparkSession, cleaned: DataFrame, splits, token: str) -> DataFrame:
+def fields_table(spark: SparkSession, cleaned, splits, token: str, sources=None) -> DataFrame:
     """(cleaned columns..., split, field) for the history and label intervals
     of every split set in ``splits``, written in ONE pass over the source
     (a row is repeated once per interval it falls in) and partitioned by
     split and field.  Written once per session, source ``token`` and state
-    of the input (``_identity``): other rows or replaced files are written anew."""
+    of the input: other rows or replaced files are written anew.  That state is
+    the plan and files of ``cleaned`` (``_identity``); with ``sources``, the
+    paths which it reads, it is that of their files, and ``cleaned`` may be a
+    function that is only called when the table has to be written."""
     splits = tuple(splits)
-    key = (spark.sparkContext.applicationId, token, splits, _identity(spark, cleaned))
+    state = _identity(spark, cleaned) if sources is None else file_state(spark, sources)
+    key = (spark.sparkContext.applicationId, token, splits, state)
     with _LOCK:
         return spark.read.parquet(_write_once(spark, cleaned, splits, key))
 
 
-def _write_once(spark: SparkSession, cleaned: DataFrame, splits, key) -> str:
+def _write_once(spark: SparkSession, cleaned, splits, key) -> str:
     path = _WRITTEN.get(key)
     if path is not None and not _exists(spark, f"{path}/_SUCCESS"):
         path = None   # the folder was cleaned up: write again
@@ -73,6 +90,7 @@ def _write_once(spark: SparkSession, cleaned: DataFrame, splits, key) -> str:
             if s.label is not None:
                 tags.append(F.when(s.label.predicate(), F.lit(f"{s.name}/label")))
         tag = F.explode(F.array_compact(F.array(*tags)))
+        cleaned = cleaned() if callable(cleaned) else cleaned
         (cleaned.select("*", tag.alias("__tag"))
          .withColumn("split", F.split_part("__tag", F.lit("/"), F.lit(1)))
          .withColumn("field", F.split_part("__tag", F.lit("/"), F.lit(2)))
@@ -82,15 +100,15 @@ def _write_once(spark: SparkSession, cleaned: DataFrame, splits, key) -> str:
     return path
 
 
-def fields(spark: SparkSession, cleaned: DataFrame, split: SP.SplitSet, token: str,
-           test_table: DataFrame | None = None, family=None) -> tuple[DataFrame, DataFrame]:
+def fields(spark: SparkSession, cleaned, split: SP.SplitSet, token: str, test_table: DataFrame | None = None,
+           family=None, sources=None) -> tuple[DataFrame, DataFrame]:
     """(history, label) of ``split`` read back from the written table of its
     split family (partition pruning on split and field)."""
-    t = fields_table(spark, cleaned, family or (split,), token)
+    t = fields_table(spark, cleaned, family or (split,), token, sources)
     mine = t.where(F.col("split") == split.name).drop("split")
     history = mine.where(F.col("field") == "history").drop("field")
     if split.label is None:
-        label = SP.label_field(cleaned, split, test_table)
+        label = SP.label_field(cleaned() if callable(cleaned) and test_table is None else cleaned, split, test_table)
     else:
         rows = mine.where(F.col("field") == "label").drop("field")
         label = SP.label_field(rows, SP.SplitSet(split.name, split.history, None, None, split.has_outcome),
