@@ -66,21 +66,27 @@ def read_quarantined(spark: SparkSession, path: str) -> DataFrame:
     the row), or says that the line has too few or too many fields, and
     ``line`` is then the text of the line.  No line is lost: the good rows
     are those without a reason, the rest can be written elsewhere."""
-    head = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in (*head, "_line")])
-    df = (spark.read.option("header", True).option("nullValue", "null").option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_line").schema(schema).csv(path))
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    first = lines.first()
+    head = (first["value"] if first else ",".join(OFFLINE_COLUMNS)).strip().split(",")
+    # a field that isn't there is null, one that is there and empty is not
+    schema = ", ".join(f"`{c}` string" for c in (*head, "_more"))
+    fields = F.from_csv("value", schema, {"nullValue": "\u0001"})
+    df = lines.where(F.trim("value") != ",".join(head)).select("value", fields.alias("f")).select("value", "f.*")
+    whole = F.col(head[-1]).isNotNull() & F.col("_more").isNull()
+    df = df.select("value", whole.alias("_whole"), *[
+        F.when(F.trim(c) != "null", F.nullif(F.trim(c), F.lit(""))).alias(c) for c in head])
     number = {c: F.col(c).try_cast("double").try_cast("bigint") for c in ("User_id", "Merchant_id", "Coupon_id", "Distance")}
     date = {c: C.yyyymmdd_to_date(c) for c in ("Date_received", "Date") if c in head}
     bad = [F.when(F.col(c).isNotNull() & v.isNull(), F.concat(F.lit(f"{c}: "), F.col(c)))
            for c, v in sorted((number | date).items(), key=lambda x: head.index(x[0]))]
-    reason = F.when(F.col("_line").isNotNull(), F.lit("wrong number of fields")).otherwise(
+    reason = F.when(~F.col("_whole"), F.lit("wrong number of fields")).otherwise(
         F.nullif(F.concat_ws("; ", *bad), F.lit("")))
     return df.select(number["User_id"].alias("user_id"), number["Merchant_id"].alias("merchant_id"),
                      number["Coupon_id"].alias("coupon_id"), F.col("Discount_rate").alias("discount_rate_raw"),
                      number["Distance"].alias("distance_raw"), date["Date_received"].alias("date_received"),
                      date.get("Date", F.lit(None).cast("date")).alias("date_used"), reason.alias("reason"),
-                     F.col("_line").alias("line"))
+                     F.when(reason.isNotNull(), F.col("value")).alias("line"))
 
 
 def read_headerless_csv(spark: SparkSession, path: str) -> DataFrame:
