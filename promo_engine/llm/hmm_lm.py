@@ -12,7 +12,8 @@ distributed: they are counted in Spark and only meet the blocks that ask.
    of symbols, where they are added up; each block gets its words' totals.
 3. Baum-Welch: expected transition and emission counts of every training
    document, by the scaled forward-backward recursion, added up per partition
-   and then by Spark; every pass covers all.
+   and then by Spark; every pass covers all.  Passes end when one gains less
+   than ``TOLERANCE`` of the log likelihood, or at a number set by parameters.
 4. Scores: scaled forward recursion over the whole text, plus the words'
    shares of their symbols.
 
@@ -39,11 +40,13 @@ SYMBOLS = 1 << 14
 BLOCK_TOKENS = 500_000
 RANGE_ENTRIES = 250_000
 SEGMENT = 256
-SEGMENTS_AT_ONCE = 1024
+SEGMENTS_AT_ONCE = 512
+RESCALE = 8             # steps after which vectors are scaled to sum 1
 BLOCKS_AT_ONCE = 2
 TEXTS_AT_ONCE = 256
 START_PASSES = 8
 PASSES = 3
+TOLERANCE = 5e-4        # share of its log likelihood that a pass must gain for another one to follow
 EMISSION_PRIOR = 0.05
 HELD_OUT_FOLD = 1
 
@@ -84,32 +87,37 @@ def _segments(sizes: np.ndarray, most: int) -> _Segments:
 def _transfers(p: Params, sym: np.ndarray, s: _Segments) -> tuple[np.ndarray, np.ndarray]:
     """Scaled transfer matrix of each segment (first ones: all rows as from the start) and its log scale."""
     k = len(p.start)
-    m = np.broadcast_to(np.eye(k), (len(s.at), k, k)).copy()
+    wide = np.tile(p.emit, (1, k))                   # a row for each row of a matrix: one plain product a step
+    m = np.broadcast_to(np.eye(k).ravel(), (len(s.at), k * k)).copy()
     log = np.zeros(len(s.at))
-    for t in range(int(s.size.max(initial=0))):
-        act = int(np.searchsorted(-s.size, -t, side="left"))
-        e = p.emit[sym[s.at[:act] + t]][:, None, :]
-        m[:act] = (m[:act].reshape(-1, k) @ p.move).reshape(act, k, k) * e
-        if t % 8 == 7:
-            top = m[:act].max(axis=(1, 2))
-            m[:act] /= top[:, None, None]
-            log[:act] += np.log(top)
-    return m, log
+    for lo in range(0, len(s.at), SEGMENTS_AT_ONCE):
+        at, size = s.at[lo:lo + SEGMENTS_AT_ONCE], s.size[lo:lo + SEGMENTS_AT_ONCE]
+        mine, scale = m[lo:lo + SEGMENTS_AT_ONCE], log[lo:lo + SEGMENTS_AT_ONCE]
+        for t in range(int(size.max(initial=0))):
+            act = int(np.searchsorted(-size, -t, side="left"))
+            mine[:act] = (mine[:act].reshape(-1, k) @ p.move).reshape(act, k * k)
+            mine[:act] *= np.take(wide, sym[at[:act] + t], axis=0)
+            if t % RESCALE == RESCALE - 1:
+                top = mine[:act].max(axis=1)
+                mine[:act] /= top[:, None]
+                scale[:act] += np.log(top)
+    return m.reshape(-1, k, k), log
 
 
 def _first_runs(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Normalised forward vector at the end of each first segment, and its log likelihood."""
-    a = p.start * p.emit[sym[at]]
-    c = a.sum(axis=1)
-    a /= c[:, None]
-    log = np.log(c)
+    one = np.ones(len(p.start))
+    a = p.start * np.take(p.emit, sym[at], axis=0)
+    log = np.zeros(len(at))
     for t in range(1, int(size.max(initial=0))):
         act = int(np.searchsorted(-size, -t, side="left"))
-        b = (a[:act] @ p.move) * p.emit[sym[at[:act] + t]]
-        c = b.sum(axis=1)
-        a[:act] = b / c[:, None]
-        log[:act] += np.log(c)
-    return a, log
+        a[:act] = (a[:act] @ p.move) * np.take(p.emit, sym[at[:act] + t], axis=0)
+        if t % RESCALE == 0:
+            c = a[:act] @ one
+            a[:act] /= c[:, None]
+            log[:act] += np.log(c)
+    c = a @ one
+    return a / c[:, None], log + np.log(c)
 
 
 def _join(p: Params, sym: np.ndarray, s: _Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,38 +153,76 @@ def log_likelihoods(p: Params, sym: np.ndarray, sizes: np.ndarray, most: int = S
 
 def expected_counts(p: Params, sym: np.ndarray, sizes: np.ndarray, most: int = SEGMENT
                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Baum-Welch counts of all sequences: start (K), moves (K x K), emissions (symbols x K), log likelihood."""
+    """Baum-Welch counts of all sequences: start (K), moves (K x K), emissions (symbols x K), log likelihood.
+
+    Sequences of one segment need nothing from elsewhere: one run forward
+    gives their counts and their likelihood.  Those of several first get the
+    forward and backward vectors at their segments' ends (``_ends``)."""
     k, n_sym = len(p.start), len(p.emit)
-    if len(sizes) == 0:
-        return np.zeros(k), np.zeros((k, k)), np.zeros((n_sym, k)), 0.0
-    s = _segments(sizes, most)
-    enter, log, mats = _join(p, sym, s)
-    leave = np.ones((len(s.at), k))                 # backward vectors at each segment's last token
+    start, moves, emit, log = np.zeros(k), np.zeros((k, k)), np.zeros((n_sym, k)), 0.0
+    begin = np.cumsum(sizes) - sizes
+    long = sizes > most
+    if long.any():
+        part = sym[np.repeat(begin[long], sizes[long]) + np.arange(sizes[long].sum())
+                   - np.repeat(np.cumsum(sizes[long]) - sizes[long], sizes[long])]
+        s = _segments(sizes[long], most)
+        log += _add_groups(p, part, s.at, s.size, s.first, *_ends(p, part, s), start, moves, emit)
+    order = np.flatnonzero(~long)
+    order = order[np.argsort(-sizes[order], kind="stable")]
+    n = len(order)
+    log += _add_groups(p, sym, begin[order], sizes[order], np.ones(n, dtype=bool), np.zeros((n, k)), np.ones((n, k)), start,
+                       moves, emit)
+    return start, moves, emit, log
+
+
+def _ends(p: Params, sym: np.ndarray, s: _Segments) -> tuple[np.ndarray, np.ndarray]:
+    """Forward vectors entering each segment and backward vectors at each segment's last token."""
+    enter, _, mats = _join(p, sym, s)
+    leave = np.ones((len(s.at), len(p.start)))
     for j in range(int(s.index.max()), 0, -1):
         w = np.flatnonzero(s.index == j)
         b = np.einsum("nij,nj->ni", mats[w], leave[w])
         leave[s.prev[w]] = b / b.sum(axis=1, keepdims=True)
-    start, moves, emit = np.zeros(k), np.zeros((k, k)), np.zeros((n_sym, k))
-    for lo in range(0, len(s.at), SEGMENTS_AT_ONCE):   # each segment's ends are known, so groups stand alone
+    return enter, leave
+
+
+def _add_groups(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray, first: np.ndarray, enter: np.ndarray,
+                leave: np.ndarray, start: np.ndarray, moves: np.ndarray, emit: np.ndarray) -> float:
+    """``_add_counts`` by groups of segments; the ends of each are known, so groups stand alone."""
+    log = 0.0
+    for lo in range(0, len(at), SEGMENTS_AT_ONCE):
         g = slice(lo, lo + SEGMENTS_AT_ONCE)
-        _add_counts(p, sym, s.at[g], s.size[g], s.first[g], enter[g], leave[g], start, moves, emit)
-    return start, moves, emit, float(log.sum())
+        log += _add_counts(p, sym, at[g], size[g], first[g], enter[g], leave[g], start, moves, emit)
+    return log
 
 
 def _add_counts(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray, first: np.ndarray, enter: np.ndarray,
-                leave: np.ndarray, start: np.ndarray, moves: np.ndarray, emit: np.ndarray) -> None:
-    """Adds the expected counts of segments (longest first) to ``start``, ``moves`` and ``emit``."""
+                leave: np.ndarray, start: np.ndarray, moves: np.ndarray, emit: np.ndarray) -> float:
+    """Adds the expected counts of segments (longest first) to ``start``, ``moves`` and ``emit``; their log
+    likelihood given what comes before them."""
     k = len(p.start)
-    alphas, acts = [], []
+    one = np.ones(k)
+    alphas, emits, acts, scales, log = [], [], [], [], 0.0
     for t in range(int(size.max())):
         act = int(np.searchsorted(-size, -t, side="left"))
+        e = np.take(p.emit, sym[at[:act] + t], axis=0)
         if t == 0:
             a = np.where(first[:, None], p.start, enter @ p.move)
         else:
             a = alphas[-1][:act] @ p.move
-        a = a * p.emit[sym[at[:act] + t]]
-        alphas.append(a / a.sum(axis=1, keepdims=True))
+        a *= e
+        c = None
+        if t % RESCALE == 0:                         # between, the vectors get smaller but don't vanish
+            c = a @ one
+            a /= c[:, None]
+            log += float(np.log(c).sum())
+        else:
+            ending = int(np.searchsorted(-size, -t - 1, side="left"))
+            log += float(np.log(a[ending:] @ one).sum())
+        alphas.append(a)
+        emits.append(e)
         acts.append(act)
+        scales.append(c)
     gammas, symbols = [], []
     beta = np.empty((len(at), k))
     done = 0
@@ -184,26 +230,28 @@ def _add_counts(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray, fi
         act = acts[t]
         beta[done:act] = leave[done:act]             # segments whose last token this is
         done = act
-        here = sym[at[:act] + t]
         g = alphas[t] * beta[:act]
-        g /= g.sum(axis=1, keepdims=True)
+        total = g @ one
+        g /= total[:, None]
         gammas.append(g)
-        symbols.append(here)
-        eb = p.emit[here] * beta[:act]
+        symbols.append(sym[at[:act] + t])
+        eb = emits[t] * beta[:act]
         if t == 0:
             start += g[first].sum(axis=0)
             before, eb = enter[~first], eb[~first]
         else:
             before = alphas[t - 1][:act]
         if len(before):
-            back = eb @ p.move.T
-            total = (before * back).sum(axis=1, keepdims=True)
-            moves += p.move * (before.T @ (eb / total))
+            # what the vectors before and behind give together: the same sum as at t, in the scale of t - 1
+            both = total if scales[t] is None else total * scales[t]
+            moves += p.move * (before.T @ (eb / (both if t else both[~first])[:, None]))
             if t:
-                beta[:act] = back / back.sum(axis=1, keepdims=True)
+                back = eb @ p.move.T
+                beta[:act] = back / (back @ one)[:, None] if t % RESCALE == 0 else back
     g, here = np.concatenate(gammas), np.concatenate(symbols)
     for i in range(k):
         emit[:, i] += np.bincount(here, weights=g[:, i], minlength=len(emit))
+    return log
 
 
 def estimate(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, shape: np.ndarray) -> Params:
@@ -398,6 +446,8 @@ def _fit(blocks: DataFrame, tokens: np.ndarray, ends: int, states: int, seed: in
         if start.sum() > 0:                     # there may be no training document
             p = estimate(start, moves, emit, shape)
         logs.append(log)
+        if len(logs) > 1 and logs[-1] - logs[-2] <= TOLERANCE * abs(logs[-1]):
+            break
     return p, logs
 
 
