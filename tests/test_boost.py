@@ -106,7 +106,9 @@ def test_watched_auc_is_that_of_the_scores(spark, sets, whole):
     again = B.predictions(whole, sets["validate"], FEATURES, PARAMS.eta, batch=2).collect()
     assert len(prob) == 200 and all(abs(prob[r.user_id] - r.prob) < 1e-12 and 0 < r.prob < 1 for r in again)
     used = B.importance(whole, FEATURES).collect()
-    assert used[0].feature_name == "fa" and sum(r.importance for r in used) == sum(n[1] >= 0 for t in whole.trees() for n in t.nodes)
+    assert max(used, key=lambda r: r.gain_importance).feature_name == "fa"
+    assert [r.importance for r in used] == sorted((r.importance for r in used), reverse=True)
+    assert sum(r.importance for r in used) == sum(n[1] >= 0 for t in whole.trees() for n in t.nodes)
 
 
 def test_a_round_is_a_newton_step(spark):
