@@ -265,22 +265,20 @@ def silhouette_points(assigned: DataFrame, stats: list[dict] | None = None) -> D
 
 def _silhouette(cl: Column, stats: list[dict]) -> Column:
     """The silhouette of point ``p`` in cluster ``cl`` from all clusters' sums."""
+    # all clusters' totals in one array, so that no product is computed twice
     xx = V.dot("p", "p")
-    per = []
-    for s in stats:
-        tot = (F.lit(float(s["n"])) * xx - 2.0 * V.dot("p", V.literal_vector(s["sum_p"]))
-               + F.lit(float(s["sum_sq"])))
-        tot = F.greatest(tot, F.lit(0.0))
-        per.append((int(s["cluster"]), int(s["n"]), tot))
-    own_n, a = F.lit(0), F.lit(None).cast("double")
-    for cid, n, tot in per:
-        own_n = F.when(cl == cid, F.lit(n)).otherwise(own_n)
-        a = F.when(cl == cid, F.when(F.lit(n) > 1, tot / F.lit(float(max(n - 1, 1))))).otherwise(a)
-    others = [F.when(cl != cid, tot / F.lit(float(n))) for cid, n, tot in per]
-    b = F.least(*others) if len(others) > 1 else F.lit(None).cast("double")
-    s_val = (F.when((own_n <= 1) | b.isNull(), F.lit(0.0))
-             .otherwise(F.try_divide(b - a, F.greatest(a, b))))
-    return F.coalesce(s_val, F.lit(0.0))
+    rows = F.array(*[F.struct(F.lit(int(s["cluster"])).alias("c"), F.lit(int(s["n"])).alias("n"), F.greatest(
+        F.lit(float(s["n"])) * xx - 2.0 * V.dot("p", V.literal_vector(s["sum_p"])) + F.lit(float(s["sum_sq"])),
+        F.lit(0.0)).alias("t")) for s in stats])
+    parts = F.aggregate(rows, F.struct(F.lit(0).alias("n"), F.lit(None).cast("double").alias("a"), F.lit(None).cast("double").alias("b")),
+                        lambda acc, x: F.struct(
+                            F.when(x["c"] == cl, x["n"]).otherwise(acc["n"]).alias("n"),
+                            F.when((x["c"] == cl) & (x["n"] > 1), x["t"] / F.greatest(x["n"] - 1, F.lit(1)).cast("double"))
+                            .otherwise(acc["a"]).alias("a"),
+                            F.when(x["c"] != cl, F.least(acc["b"], x["t"] / x["n"].cast("double"))).otherwise(acc["b"]).alias("b")),
+                        lambda acc: F.when((acc["n"] <= 1) | acc["b"].isNull(), F.lit(0.0)).otherwise(
+                            F.try_divide(acc["b"] - acc["a"], F.greatest(acc["a"], acc["b"]))))
+    return F.coalesce(parts, F.lit(0.0))
 
 
 def mean_silhouettes(points: DataFrame, centres: dict[int, list[list[float]]]) -> dict[int, float]:
@@ -300,9 +298,12 @@ def mean_silhouettes(points: DataFrame, centres: dict[int, list[list[float]]]) -
     for r in sorted(got, key=lambda r: (r["k"], r["cluster"])):
         stats.setdefault(r["k"], []).append({"cluster": r["cluster"], "n": r["n"], "sum_sq": r["sum_sq"],
                                              "sum_p": [r[f"s{i}"] for i in dims]})
-    row = each.groupBy().agg(*[stable_mean(F.when(F.col("k") == k, _silhouette(F.col("cluster"), s))).alias(f"k{k}")
-                               for k, s in stats.items()]).first()
-    return {k: float(row[f"k{k}"]) for k in centres}
+    value = F.lit(None).cast("double")
+    for k, st in stats.items():
+        value = F.when(F.col("k") == k, _silhouette(F.col("cluster"), st)).otherwise(value)
+    got = each.select("k", value.alias("s")).groupBy("k").agg(stable_mean("s").alias("s")).collect()
+    scores = {r["k"]: float(r["s"]) for r in got}
+    return {k: scores[k] for k in centres}
 
 
 def mean_silhouette(assigned: DataFrame, stats: list[dict] | None = None) -> float:
