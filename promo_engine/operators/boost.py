@@ -12,13 +12,17 @@ the table anew beside the trees and, if asked for, the AUC of each round on
 every set.  A batch folder counts once its trees are written, which is the
 last step: a run that dies in between starts again from the last whole
 batch, and a finished model can be trained further.  Trees are evaluated as
-column expressions, in the JVM.
+column expressions, in the JVM; a batch of them is too large for one compiled
+method, so these jobs run with code that is cut into several
+(``_small_methods``).
 """
 
 from __future__ import annotations
 
 import random
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.ml.functions import array_to_vector
@@ -34,6 +38,21 @@ CURVATURE = 1e-16       # least weight of a row, as margins run away
 _TREES = "round int, id int, left int, right int, feature int, threshold double, value double, gain double"
 
 
+@contextmanager
+def _small_methods(spark: SparkSession) -> Iterator[None]:
+    """Jobs planned inside compile projections, whose code Spark splits, instead of whole stages."""
+    name = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 @dataclass(frozen=True)
 class Tree:
     """Nodes in preorder; ``left`` and ``right`` are node numbers, -1 in a leaf."""
@@ -166,6 +185,14 @@ def boost(spark: SparkSession, folder: str, table: DataFrame | None, params: MD.
     run = Run(spark, folder)
     if table is not None:
         run.start(table)
+    with _small_methods(spark):
+        _train(run, params, rounds, train_sets, batch, watch, l2, seed, max_bins)
+    return run
+
+
+def _train(run: Run, params: MD.Booster, rounds: int | None, train_sets: tuple[str, ...], batch: int, watch: bool,
+           l2: float, seed: int, max_bins: int) -> None:
+    spark = run.spark
     total = params.rounds if rounds is None else rounds
     share = 1.0 if params.colsample == "all" else float(params.colsample)
     done = run.rounds()
@@ -202,7 +229,6 @@ def boost(spark: SparkSession, folder: str, table: DataFrame | None, params: MD.
         spark.createDataFrame([(t.round, *n) for t in trees for n in t.nodes], _TREES).coalesce(1) \
             .write.mode("overwrite").parquet(run._path("trees", done))
         done += count
-    return run
 
 
 def predictions(run: Run, rows: DataFrame, features: list[str], eta: float, batch: int = BATCH) -> DataFrame:
@@ -211,10 +237,10 @@ def predictions(run: Run, rows: DataFrame, features: list[str], eta: float, batc
     out = rows.select(*MD.ID_COLUMNS, F.array(*[MD._numeric(c, types[c]) for c in features]).alias("f"),
                       F.lit(0.0).alias("margin"))
     trees = run.trees()
-    for lo in range(0, len(trees), batch):
-        if lo:
-            out = MD.cut_lineage(out, "boost-score")       # a plan holds one batch of trees
-        out = staged(out, trees[lo:lo + batch], eta).withColumn("margin", F.element_at("margins", -1)).drop("margins")
+    with _small_methods(run.spark):
+        for lo in range(0, len(trees), batch):                     # a plan holds one batch of trees
+            out = MD.cut_lineage(staged(out, trees[lo:lo + batch], eta).withColumn(
+                "margin", F.element_at("margins", -1)).drop("margins"), "boost-score")
     return out.select(*MD.ID_COLUMNS, (1.0 / (1.0 + F.exp(-F.col("margin")))).alias("prob"))
 
 
