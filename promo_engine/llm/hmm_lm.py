@@ -26,6 +26,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -287,7 +288,7 @@ def coded_blocks(rows: DataFrame, block_tokens: int, n_symbols: int) -> DataFram
     """Documents (doc_id, text, train) as blocks: code 0 is the end, code i the block's word i - 1,
     whose symbol stands in ``symbols``, so that passes over symbols don't read the words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, n = TaskContext.get().partitionId(), 0
+        task, n, held = TaskContext.get().partitionId(), 0, 0
         ids, train, sizes, codes = [], [], [], []
         table: dict[bytes, int] = defaultdict()
         table.default_factory = lambda: len(table) + 1
@@ -296,7 +297,7 @@ def coded_blocks(rows: DataFrame, block_tokens: int, n_symbols: int) -> DataFram
             return pa.record_batch([
                 pa.array([(task << 32) + n], type=pa.int64()), pa.array([ids], type=pa.list_(pa.int64())),
                 pa.array([train], type=pa.list_(pa.bool_())), pa.array([sizes], type=pa.list_(pa.int32())),
-                C.binary([np.array(codes, dtype="<i4").tobytes()]),
+                C.binary([np.concatenate(codes).astype("<i4").tobytes()]),
                 pa.array([list(table)], type=pa.list_(pa.binary())),
                 C.binary([_symbols(list(table), n_symbols).astype("<i4").tobytes()])],
                 names=["block", "ids", "train", "sizes", "codes", "words", "symbols"])
@@ -307,11 +308,11 @@ def coded_blocks(rows: DataFrame, block_tokens: int, n_symbols: int) -> DataFram
                 ids.append(i)
                 train.append(t)
                 sizes.append(len(words) + 1)
-                codes += [table[w] for w in words]
-                codes.append(0)
-                if len(codes) >= block_tokens:
+                codes.append(np.fromiter(chain(map(table.__getitem__, words), (0,)), dtype=np.int32, count=len(words) + 1))
+                held += len(words) + 1
+                if held >= block_tokens:
                     yield out()
-                    n += 1
+                    n, held = n + 1, 0
                     ids, train, sizes, codes = [], [], [], []
                     table.clear()
         if ids:
@@ -492,13 +493,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
             within[0] = 0.0                                # the end is its symbol's only token
             doc = np.repeat(np.arange(len(b.sizes)), b.sizes)
             add = lambda x: np.bincount(doc, weights=x[b.codes], minlength=len(b.sizes))
-            chain = log_likelihoods(p, b.symbol[b.codes], b.sizes)
+            path = log_likelihoods(p, b.symbol[b.codes], b.sizes)
             cols["doc_id"] += b.ids
             cols["held_out"] += (~b.train).tolist()
             cols["n_tokens"] += b.sizes.tolist()
             cols["n_known"] += add(count > 0).astype(np.int64).tolist()
             cols["base_score"] += add(weight - whole).tolist()
-            cols["score"] += (chain / np.log(10) + add(within)).tolist()
+            cols["score"] += (path / np.log(10) + add(within)).tolist()
         types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         return pa.table([pa.array(c, type=t) for c, t in zip(cols.values(), types, strict=True)], names=list(cols))
     scored = (blocks.groupBy("block").cogroup(answers.where("block is not null").select("block", "part", "counts")
