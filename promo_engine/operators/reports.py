@@ -152,12 +152,16 @@ def box_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     qt = qt.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
            .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
-    # one row per column: bounded.  The box table leads, so a column without values has its row too.
-    return (F.broadcast(qt).join(long.where(~F.isnan("value")), "column_name", "left")
-            .groupBy("column_name", "q1", "median", "q3")
-            .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-                 F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-                 F.count_if(F.col("value").isNotNull() & ~inside).alias("n_outliers")))
+    # the rows meet the box table where they are read and are added up there; joined to them from the left, so that
+    # columns without values have their row too, it can't be sent to the tasks, and all rows of a column meet in one
+    per = (long.where(~F.isnan("value")).join(F.broadcast(qt), "column_name")
+           .groupBy("column_name")
+           .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+                F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+                F.count_if(~inside).alias("n_outliers")))
+    return (qt.join(F.broadcast(per), "column_name", "left")          # a row per column on both sides
+            .select("column_name", "q1", "median", "q3", "whisker_low", "whisker_high",
+                    F.coalesce("n_outliers", F.lit(0).cast("bigint")).alias("n_outliers")))
 
 
 def unpivot_numeric(df: DataFrame, cols: list[str], id_cols: list[str] | None = None) -> DataFrame:

@@ -50,6 +50,15 @@ def test_box_stats_random_table(spark):
         assert bs[c].n_outliers == int(((x < lo) | (x > hi)).sum())
 
 
+def test_box_stats_adds_up_where_rows_are_read(spark):
+    """No join brings all rows of a column together, and a column without values keeps its row."""
+    rows = [(float(x), None) for x in range(100)] + [(1e6, None), (float("nan"), None), (None, None)]
+    bs = R.box_stats(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
+    assert "SortMergeJoin" not in bs._jdf.queryExecution().executedPlan().toString()
+    got = {r.column_name: tuple(r)[1:] for r in bs.collect()}
+    assert got == {"a": (25.0, 50.0, 75.0, 0.0, 99.0, 1), "b": (None, None, None, None, None, 0)}
+
+
 def test_column_sums_share(spark):
     t = random_int_table(spark)
     rows = R.column_sums(t, ["A", "B", "C"]).collect()
