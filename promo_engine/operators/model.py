@@ -27,6 +27,7 @@ from promo_engine.session import cut_lineage, scratch_path
 
 ID_COLUMNS = ("user_id", "coupon_id", "date_received")
 MISSING = -999.0
+TASK_ROWS = 250_000      # training rows of one task, which keeps them in memory while trees grow
 
 
 @dataclass(frozen=True)
@@ -75,10 +76,14 @@ class FittedModel:
 
 def fit(train: DataFrame, params: Booster = MAIN_PARAMS, rounds: int | None = None,
         drop_ids: bool = True, seed: int = 0) -> FittedModel:
-    """Fit on the training rows, written once (GBT runs many jobs);
-    ``rounds=None`` means the parameter set's own."""
+    """Fit on the training rows, written once (GBT runs many jobs) and dealt
+    evenly to tasks of at most about ``TASK_ROWS``, as written files hold any
+    number of rows each; ``rounds=None`` means the parameter set's own."""
     feats = feature_columns(train, drop_ids)
     data = cut_lineage(assemble(train, feats).withColumn("label", F.col("label").cast("double")))
+    rows = data.count()      # from the files' footers
+    if rows > TASK_ROWS:
+        data = data.repartition(max(-(-rows // TASK_ROWS), data.sparkSession.sparkContext.defaultParallelism))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=params.rounds if rounds is None else rounds,
                         stepSize=params.eta, maxDepth=params.depth, subsamplingRate=params.subsample,
                         featureSubsetStrategy=params.colsample, minInstancesPerNode=params.min_child,

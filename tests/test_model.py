@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from promo_engine.operators import model as MD
 
@@ -37,3 +38,14 @@ def test_importance(spark, data):
     assert sum(r.importance for r in imp) == internal
     assert all(r.importance > 0 for r in imp)
     assert [r.importance for r in imp] == sorted([r.importance for r in imp], reverse=True)
+
+
+def test_training_rows_are_dealt_to_tasks(spark, monkeypatch):
+    """One file of many rows is not one task's training data."""
+    monkeypatch.setattr(MD, "TASK_ROWS", 100, raising=False)
+    rows = spark.range(1000).coalesce(1).select(F.col("id").alias("user_id"), F.lit(1).alias("coupon_id"),
+                                                F.lit("2016-01-01").cast("date").alias("date_received"),
+                                                (F.col("id") % 7).alias("x"), (F.col("id") % 2).cast("int").alias("label"))
+    fm = MD.fit(rows, MD.Booster(eta=0.1, depth=2, rounds=1))
+    sizes = [r["count"] for r in fm.data.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 110
