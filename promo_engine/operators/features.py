@@ -408,10 +408,12 @@ def attach(label: DataFrame, history: DataFrame | None, specs: list[Spec], chain
             tables = cut_lineage_all([lambda t=t, m=m: build(t, m) for t, m in ch], "chain")
         else:
             tables = [build(t, m) for t, m in ch]
-        for top, table in zip(tops, tables):
+        # every join shuffles what the ones before have attached, so the widest table comes last
+        for top, table in sorted(zip(tops, tables), key=lambda x: len(x[1].columns) - len(x[0])):
             # the chain table holds exactly the label rows' key combinations
             # (nulls included), so this join matches null-safe on every key
             out = _join_keys(out, table, top, top)
+        out = out.select(*label.columns, *[F.col(f"`{c}`") for top, t in zip(tops, tables) for c in t.columns if c not in top])
     for s in specs:   # first/last receipt flags compare the row with the group value
         if s.agg in ("first", "last"):
             out = out.withColumn(s.name, F.when(F.col(s.value) == F.col(s.name), 1).otherwise(0))

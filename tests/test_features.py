@@ -116,3 +116,26 @@ def test_user_block_fills_zero(spark, small):
 
 def test_raw_columns_constant():
     assert RAW_COLUMNS[0] == "user_id"
+
+
+def test_widest_chain_is_joined_last(spark, monkeypatch):
+    """Joins shuffle what was attached before; the columns come in the order of the specs' key sets all the same."""
+    import datetime as dt
+
+    from promo_engine.operators import features as FT
+    day = dt.date(2016, 1, 1)
+    rows = [(1, 7, 3, "0.9", 2, day, day, 0, 0.9, 1), (1, 8, 3, "0.9", 2, day, None, 0, 0.9, 0),
+            (2, 7, None, None, None, None, day, 0, None, 0)]
+    lab = spark.createDataFrame(rows, "user_id long, merchant_id long, coupon_id long, discount_rate_raw string, distance long, "
+                                      "date_received date, date_used date, is_manjian int, discount_rate double, label int")
+    widths, join = [], FT._join_keys
+
+    def spied(left, right, keys, *more):
+        if "discount_rate_raw" in left.columns:
+            widths.append(len(right.columns) - len(keys))
+        return join(left, right, keys, *more)
+    monkeypatch.setattr(FT, "_join_keys", spied)
+    got = FT.attach(lab, lab, FT.MAIN_SPECS)
+    assert len(widths) > 2 and widths == sorted(widths)
+    plain = FT.attach(lab, lab, FT.MAIN_SPECS, chained=False).select(got.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
