@@ -21,20 +21,49 @@ from pyspark.sql import functions as F
 from promo_engine.functions import vectors as V
 from promo_engine.session import cut_lineage
 
-BLOCK = 2048
+BLOCK = 1 << 14       # rows of a block; all blocks travel once for each one they meet, so smaller ones cost shuffles
+PAIRS = 1 << 17       # distances held at once
+CLOSE = 1e-4          # of two points' squared lengths: squared distances below it are taken by differences
 SLACK = 1e-9          # of the bounds, for rounding
 
 
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of the rows of ``a`` to those beside them in ``b``, by differences (no cancellation)."""
+    d = a - b
+    return np.einsum("...i,...i->...", d, d)
+
+
 def distance_sums(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """For every row of ``x`` the sum of its distances to the rows of ``y``, by differences (no cancellation)."""
-    out = np.empty(len(x))
-    step = max(1, (1 << 20) // max(1, len(y)))
-    for lo in range(0, len(x), step):
-        part = x[lo:lo + step]
-        square = np.zeros((len(part), len(y)))
-        for d in range(x.shape[1]):
-            square += (part[:, d, None] - y[None, :, d]) ** 2
-        out[lo:lo + step] = np.sqrt(square).sum(axis=1)
+    """For every row of ``x`` the sum of its distances to the rows of ``y``.
+
+    Products of matrices give squared distances fast, and with all digits but
+    for pairs that lie close together for their distance from the middle;
+    these are taken by differences, as are all if squares leave the range of
+    doubles."""
+    out = np.zeros(len(x))
+    if not x.size or not y.size:
+        return out
+    with np.errstate(over="ignore", invalid="ignore"):
+        middle = y.mean(axis=0)
+        cx, cy = x - middle, y - middle
+        xx, yy = np.einsum("ij,ij->i", cx, cx), np.einsum("ij,ij->i", cy, cy)
+        plain = np.isfinite(4 * (xx.max() + yy.max()))
+        for lo in range(0, len(x), max(1, PAIRS // len(y))):
+            part = slice(lo, lo + max(1, PAIRS // len(y)))
+            if not plain:
+                for i in range(lo, min(part.stop, len(x))):
+                    out[i] = np.sqrt(_squares(x[i], y)).sum()
+                continue
+            both = xx[part, None] + yy
+            square = cx[part] @ cy.T
+            square *= -2
+            square += both
+            both *= CLOSE
+            i, j = np.nonzero(square < both)
+            for at in range(0, len(i), PAIRS // 8):
+                a, b = i[at:at + PAIRS // 8], j[at:at + PAIRS // 8]
+                square[a, b] = _squares(x[lo + a], y[b])
+            out[part] = np.sqrt(square, out=square).sum(axis=1)
     return out
 
 

@@ -192,3 +192,27 @@ def test_euclidean_silhouette_edges(spark):
     one = euclidean_silhouette(df.where("cluster = 1")).collect()
     assert {r.silhouette for r in one if r.id < 2} == {0.0}
     assert euclidean_silhouette(df.limit(0)).count() == 0
+
+
+def test_distance_sums_are_fast_and_exact():
+    """Matrix products take a fraction of the time of differences; copies, near copies far away and huge values keep their digits."""
+    import time
+
+    from promo_engine.operators import silhouette as SI
+    rng = np.random.default_rng(5)
+
+    def plain(x, y):
+        return np.array([np.sqrt(sum((a[d] - y[:, d]) ** 2 for d in range(x.shape[1]))).sum() for a in x])
+    x = rng.normal(size=(1500, 64))
+    near = 1e6 + np.repeat(x[:20], 3, axis=0) * 1e-3 + rng.normal(size=(60, 64)) * 1e-9
+    for points in (x[:200], near, np.vstack([near, x[:50]]), x[:30] * 1e160, np.repeat(x[:4], 5, axis=0)):
+        with np.errstate(over="ignore"):
+            assert np.allclose(SI.distance_sums(points, points), plain(points, points), rtol=1e-9, atol=0)
+    square = np.zeros((len(x), len(x)))
+    start = time.process_time()
+    for d in range(64):
+        square += (x[:, d, None] - x[None, :, d]) ** 2
+    slow = time.process_time() - start
+    start = time.process_time()
+    SI.distance_sums(x, x)
+    assert time.process_time() - start < slow / 2
