@@ -41,7 +41,8 @@ SYMBOLS = 1 << 14
 BLOCK_TOKENS = 500_000
 RANGE_ENTRIES = 250_000
 SEGMENT = 256
-SEGMENTS_AT_ONCE = 512
+SEGMENTS_AT_ONCE = 2048
+TOKENS_AT_ONCE = 1 << 17
 RESCALE = 8             # steps after which vectors are scaled to sum 1
 BLOCKS_AT_ONCE = 2
 TEXTS_AT_ONCE = 256
@@ -60,6 +61,8 @@ class Params:
 
 
 # ---------------------------------------------------------------- sequences
+# Vectors of states are columns: arrays have a row for each state, so that a step over many segments is a few plain
+# operations on long rows.
 
 @dataclass
 class _Segments:
@@ -67,7 +70,6 @@ class _Segments:
     index: np.ndarray
     at: np.ndarray
     size: np.ndarray
-    first: np.ndarray
     prev: np.ndarray        # row of the segment before, -1 for first ones
 
 
@@ -82,66 +84,131 @@ def _segments(sizes: np.ndarray, most: int) -> _Segments:
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.arange(len(order))
     prev = np.where(index[order] > 0, place[order - (index[order] > 0)], -1)
-    return _Segments(doc[order], index[order], at[order], size[order], index[order] == 0, prev)
+    return _Segments(doc[order], index[order], at[order], size[order], prev)
 
 
-def _transfers(p: Params, sym: np.ndarray, s: _Segments) -> tuple[np.ndarray, np.ndarray]:
-    """Scaled transfer matrix of each segment (first ones: all rows as from the start) and its log scale."""
+def _groups(rows: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows (of segments, longest first) in groups that run side by side."""
+    lo = 0
+    while lo < len(rows):
+        n = max(1, min(SEGMENTS_AT_ONCE, TOKENS_AT_ONCE // int(size[rows[lo]])))
+        yield rows[lo:lo + n]
+        lo += n
+
+
+def _steps(sym: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """The tokens of segments (longest first) by their place in them, all at place 0 first: where each place
+    begins (and the last one ends), the symbols, and for each segment where its last token is."""
+    act = np.searchsorted(-size, -np.arange(int(size[0])), side="left")       # segments that reach a place
+    begin = np.concatenate([[0], np.cumsum(act)])
+    here = np.empty(begin[-1], dtype=np.int64)
+    for t, (lo, n) in enumerate(zip(begin.tolist(), act.tolist(), strict=False)):
+        np.take(sym, at[:n] + t, out=here[lo:lo + n], mode="clip")
+    return begin.tolist(), here, begin[size - 1] + np.arange(len(size))
+
+
+_HELD: dict[str, np.ndarray] = {}
+
+
+def _rows(name: str, k: int, n: int) -> np.ndarray:
+    """``k`` rows of ``n`` numbers, not set, in memory that the worker keeps under ``name`` and uses again (new
+    memory for every group costs as much as the work on it).  The rows' places don't fall together in the
+    processor's cache."""
+    step = n + (65 - n) % 512
+    if name not in _HELD or len(_HELD[name]) < k * step:
+        _HELD[name] = np.empty(k * step)
+    return _HELD[name][:k * step].reshape(k, step)[:, :n]
+
+
+def _emissions(p: Params, here: np.ndarray) -> np.ndarray:
+    e = _rows("emissions", len(p.start), len(here))
+    for own, row in zip(p.emit.T, e, strict=True):
+        np.take(own, here, out=row, mode="clip")
+    return e
+
+
+def _transfers(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled transfer matrix (from, to, segment) of each segment and its log scale."""
     k = len(p.start)
-    wide = np.tile(p.emit, (1, k))                   # a row for each row of a matrix: one plain product a step
-    m = np.broadcast_to(np.eye(k).ravel(), (len(s.at), k * k)).copy()
-    log = np.zeros(len(s.at))
-    for lo in range(0, len(s.at), SEGMENTS_AT_ONCE):
-        at, size = s.at[lo:lo + SEGMENTS_AT_ONCE], s.size[lo:lo + SEGMENTS_AT_ONCE]
-        mine, scale = m[lo:lo + SEGMENTS_AT_ONCE], log[lo:lo + SEGMENTS_AT_ONCE]
-        for t in range(int(size.max(initial=0))):
-            act = int(np.searchsorted(-size, -t, side="left"))
-            mine[:act] = (mine[:act].reshape(-1, k) @ p.move).reshape(act, k * k)
-            mine[:act] *= np.take(wide, sym[at[:act] + t], axis=0)
-            if t % RESCALE == RESCALE - 1:
-                top = mine[:act].max(axis=1)
-                mine[:act] /= top[:, None]
-                scale[:act] += np.log(top)
-    return m.reshape(-1, k, k), log
-
-
-def _first_runs(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Normalised forward vector at the end of each first segment, and its log likelihood."""
-    one = np.ones(len(p.start))
-    a = p.start * np.take(p.emit, sym[at], axis=0)
-    log = np.zeros(len(at))
-    for t in range(1, int(size.max(initial=0))):
-        act = int(np.searchsorted(-size, -t, side="left"))
-        a[:act] = (a[:act] @ p.move) * np.take(p.emit, sym[at[:act] + t], axis=0)
+    begin, here, _ = _steps(sym, at, size)
+    e = _emissions(p, here)
+    move = np.ascontiguousarray(p.move.T)
+    m = np.repeat(np.eye(k)[:, :, None], len(at), axis=2)
+    log, next_ = np.zeros(len(at)), np.empty_like(m)
+    for t in range(len(begin) - 1):
+        act = begin[t + 1] - begin[t]
+        mine = m[:, :, :act]
+        np.multiply(np.matmul(move, mine, out=next_[:, :, :act]), e[:, begin[t]:begin[t + 1]], out=mine)
+        if t % RESCALE == RESCALE - 1:
+            top = mine.max(axis=(0, 1))
+            mine /= top
+            log[:act] += np.log(top)
+    return m, log
+
+
+def _forward(p: Params, e: np.ndarray, begin: list[int], enter: np.ndarray | None
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forward vectors of all tokens (emissions ``e``) in the order of ``_steps``, scaled at every ``RESCALE``th
+    place, these scales (1 between), and their summed logs of each segment.  Without ``enter`` (vectors before
+    the segments) they begin at the start."""
+    n = begin[1]
+    move = np.ascontiguousarray(p.move.T)
+    a, scale, log = _rows("forward", *e.shape), _rows("scale", 1, e.shape[1])[0], np.zeros(n)
+    scale[:] = 1
+    a[:, :n] = p.start[:, None] if enter is None else move @ enter
+    a[:, :n] *= e[:, :n]
+    for t in range(len(begin) - 1):
+        lo, hi = begin[t], begin[t + 1]
+        now = a[:, lo:hi]
+        if t:
+            np.matmul(move, a[:, begin[t - 1]:begin[t - 1] + hi - lo], out=now)
+            now *= e[:, lo:hi]
+        if t % RESCALE == 0:                         # between, the vectors get smaller but don't vanish
+            c = now.sum(axis=0)
+            now /= c
+            scale[lo:hi] = c
+            log[:hi - lo] += np.log(c)
+    return a, scale, log
+
+
+def _backward(p: Params, e: np.ndarray, begin: list[int], last: np.ndarray, leave: np.ndarray) -> np.ndarray:
+    """Backward vectors of all tokens, from those at the segments' last tokens; ``e`` is multiplied by them."""
+    b = _rows("backward", *e.shape)
+    b[:, last] = leave
+    for t in range(len(begin) - 2, 0, -1):
+        lo, hi = begin[t], begin[t + 1]
+        before = b[:, begin[t - 1]:begin[t - 1] + hi - lo]
+        e[:, lo:hi] *= b[:, lo:hi]
+        np.matmul(p.move, e[:, lo:hi], out=before)
         if t % RESCALE == 0:
-            c = a[:act] @ one
-            a[:act] /= c[:, None]
-            log[:act] += np.log(c)
-    c = a @ one
-    return a / c[:, None], log + np.log(c)
+            before /= before.sum(axis=0)
+    e[:, :begin[1]] *= b[:, :begin[1]]
+    return b
 
 
-def _join(p: Params, sym: np.ndarray, s: _Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forward vectors entering each segment (zeros for first ones), log likelihood of each segment
-    given what comes before, and the later segments' transfer matrices (identity for first ones)."""
+def _later(p: Params, sym: np.ndarray, s: _Segments) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Rows of the segments that aren't first, by their index; the transfer matrices of all (identity for first
+    ones) and their log scales."""
     k = len(p.start)
-    enter, out, log = np.zeros((len(s.at), k)), np.zeros((len(s.at), k)), np.zeros(len(s.at))
-    mats = np.broadcast_to(np.eye(k), (len(s.at), k, k)).copy()
-    f = np.flatnonzero(s.first)
-    out[f], log[f] = _first_runs(p, sym, s.at[f], s.size[f])
-    later = np.flatnonzero(~s.first)
-    if len(later):
-        sub = _Segments(s.doc[later], s.index[later], s.at[later], s.size[later], s.first[later], s.prev[later])
-        mats[later], scale = _transfers(p, sym, sub)
-        log[later] = scale
-        for j in range(1, int(s.index.max()) + 1):
-            w = np.flatnonzero(s.index == j)
-            enter[w] = out[s.prev[w]]
-            v = np.einsum("nk,nkj->nj", enter[w], mats[w])
-            c = v.sum(axis=1)
-            out[w] = v / c[:, None]
-            log[w] += np.log(c)
-    return enter, log, mats
+    rows = np.flatnonzero(s.prev >= 0)
+    rows_by = [rows[s.index[rows] == j] for j in range(1, int(s.index.max(initial=0)) + 1)]
+    mats, log = np.repeat(np.eye(k)[:, :, None], len(s.at), axis=2), np.zeros(len(s.at))
+    for g in _groups(rows, s.size):
+        mats[:, :, g], log[g] = _transfers(p, sym, s.at[g], s.size[g])
+    return rows_by, mats, log
+
+
+def _through(mats: np.ndarray, rows_by: list[np.ndarray], s: _Segments, out: np.ndarray, log: np.ndarray) -> np.ndarray:
+    """Vectors entering each segment (zeros for first ones), given those at the ends (``out``) of first ones;
+    completes ``out``, and ``log`` by what each segment adds."""
+    enter = np.zeros_like(out)
+    for rows in rows_by:
+        enter[:, rows] = out[:, s.prev[rows]]
+        v = np.einsum("in,ijn->jn", enter[:, rows], mats[:, :, rows])
+        c = v.sum(axis=0)
+        out[:, rows] = v / c
+        log[rows] += np.log(c)
+    return enter
 
 
 def log_likelihoods(p: Params, sym: np.ndarray, sizes: np.ndarray, most: int = SEGMENT) -> np.ndarray:
@@ -149,110 +216,79 @@ def log_likelihoods(p: Params, sym: np.ndarray, sizes: np.ndarray, most: int = S
     if len(sizes) == 0:
         return np.zeros(0)
     s = _segments(sizes, most)
-    return np.bincount(s.doc, weights=_join(p, sym, s)[1], minlength=len(sizes))
+    rows_by, mats, log = _later(p, sym, s)
+    out = np.empty((len(p.start), len(s.at)))
+    for g in _groups(np.flatnonzero(s.prev < 0), s.size):
+        begin, here, last = _steps(sym, s.at[g], s.size[g])
+        a, _, scales = _forward(p, _emissions(p, here), begin, None)
+        ends = a[:, last]
+        c = ends.sum(axis=0)
+        out[:, g], log[g] = ends / c, scales + np.log(c)
+    _through(mats, rows_by, s, out, log)
+    return np.bincount(s.doc, weights=log, minlength=len(sizes))
 
 
 def expected_counts(p: Params, sym: np.ndarray, sizes: np.ndarray, most: int = SEGMENT
                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch counts of all sequences: start (K), moves (K x K), emissions (symbols x K), log likelihood.
 
-    Sequences of one segment need nothing from elsewhere: one run forward
-    gives their counts and their likelihood.  Those of several first get the
-    forward and backward vectors at their segments' ends (``_ends``)."""
+    The transfer matrices of later segments give the backward vectors at the
+    ends of all; first segments are run, their ends give the forward vectors
+    that enter the others, and these are run."""
     k, n_sym = len(p.start), len(p.emit)
-    start, moves, emit, log = np.zeros(k), np.zeros((k, k)), np.zeros((n_sym, k)), 0.0
-    begin = np.cumsum(sizes) - sizes
-    long = sizes > most
-    if long.any():
-        part = sym[np.repeat(begin[long], sizes[long]) + np.arange(sizes[long].sum())
-                   - np.repeat(np.cumsum(sizes[long]) - sizes[long], sizes[long])]
-        s = _segments(sizes[long], most)
-        log += _add_groups(p, part, s.at, s.size, s.first, *_ends(p, part, s), start, moves, emit)
-    order = np.flatnonzero(~long)
-    order = order[np.argsort(-sizes[order], kind="stable")]
-    n = len(order)
-    log += _add_groups(p, sym, begin[order], sizes[order], np.ones(n, dtype=bool), np.zeros((n, k)), np.ones((n, k)), start,
-                       moves, emit)
-    return start, moves, emit, log
-
-
-def _ends(p: Params, sym: np.ndarray, s: _Segments) -> tuple[np.ndarray, np.ndarray]:
-    """Forward vectors entering each segment and backward vectors at each segment's last token."""
-    enter, _, mats = _join(p, sym, s)
-    leave = np.ones((len(s.at), len(p.start)))
-    for j in range(int(s.index.max()), 0, -1):
-        w = np.flatnonzero(s.index == j)
-        b = np.einsum("nij,nj->ni", mats[w], leave[w])
-        leave[s.prev[w]] = b / b.sum(axis=1, keepdims=True)
-    return enter, leave
-
-
-def _add_groups(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray, first: np.ndarray, enter: np.ndarray,
-                leave: np.ndarray, start: np.ndarray, moves: np.ndarray, emit: np.ndarray) -> float:
-    """``_add_counts`` by groups of segments; the ends of each are known, so groups stand alone."""
-    log = 0.0
-    for lo in range(0, len(at), SEGMENTS_AT_ONCE):
-        g = slice(lo, lo + SEGMENTS_AT_ONCE)
-        log += _add_counts(p, sym, at[g], size[g], first[g], enter[g], leave[g], start, moves, emit)
-    return log
-
-
-def _add_counts(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray, first: np.ndarray, enter: np.ndarray,
-                leave: np.ndarray, start: np.ndarray, moves: np.ndarray, emit: np.ndarray) -> float:
-    """Adds the expected counts of segments (longest first) to ``start``, ``moves`` and ``emit``; their log
-    likelihood given what comes before them."""
-    k = len(p.start)
-    one = np.ones(k)
-    alphas, emits, acts, scales, log = [], [], [], [], 0.0
-    for t in range(int(size.max())):
-        act = int(np.searchsorted(-size, -t, side="left"))
-        e = np.take(p.emit, sym[at[:act] + t], axis=0)
-        if t == 0:
-            a = np.where(first[:, None], p.start, enter @ p.move)
-        else:
-            a = alphas[-1][:act] @ p.move
-        a *= e
-        c = None
-        if t % RESCALE == 0:                         # between, the vectors get smaller but don't vanish
-            c = a @ one
-            a /= c[:, None]
-            log += float(np.log(c).sum())
-        else:
-            ending = int(np.searchsorted(-size, -t - 1, side="left"))
-            log += float(np.log(a[ending:] @ one).sum())
-        alphas.append(a)
-        emits.append(e)
-        acts.append(act)
-        scales.append(c)
-    gammas, symbols = [], []
-    beta = np.empty((len(at), k))
-    done = 0
-    for t in range(len(alphas) - 1, -1, -1):
-        act = acts[t]
-        beta[done:act] = leave[done:act]             # segments whose last token this is
-        done = act
-        g = alphas[t] * beta[:act]
-        total = g @ one
-        g /= total[:, None]
-        gammas.append(g)
-        symbols.append(sym[at[:act] + t])
-        eb = emits[t] * beta[:act]
-        if t == 0:
-            start += g[first].sum(axis=0)
-            before, eb = enter[~first], eb[~first]
-        else:
-            before = alphas[t - 1][:act]
-        if len(before):
-            # what the vectors before and behind give together: the same sum as at t, in the scale of t - 1
-            both = total if scales[t] is None else total * scales[t]
-            moves += p.move * (before.T @ (eb / (both if t else both[~first])[:, None]))
-            if t:
-                back = eb @ p.move.T
-                beta[:act] = back / (back @ one)[:, None] if t % RESCALE == 0 else back
-    g, here = np.concatenate(gammas), np.concatenate(symbols)
-    for i in range(k):
-        emit[:, i] += np.bincount(here, weights=g[:, i], minlength=len(emit))
-    return log
+    start, moves, emit, log = np.zeros(k), np.zeros((k, k)), np.zeros((k, n_sym)), 0.0
+    if len(sizes) == 0:
+        return start, moves, emit.T, log
+    p = Params(p.start, p.move, np.ascontiguousarray(p.emit.T).T)      # a row of emissions for each state
+    s = _segments(sizes, most)
+    rows_by, mats, scales = _later(p, sym, s)
+    leave, out = np.ones((k, len(s.at))), np.empty((k, len(s.at)))
+    for rows in reversed(rows_by):
+        b = np.einsum("ijn,jn->in", mats[:, :, rows], leave[:, rows])
+        leave[:, s.prev[rows]] = b / b.sum(axis=0)
+    for g in _groups(np.flatnonzero(s.prev < 0), s.size):
+        more, out[:, g] = _add_counts(p, sym, s.at[g], s.size[g], None, leave[:, g], start, moves, emit)
+        log += more
+    enter = _through(mats, rows_by, s, out, scales)
+    for g in _groups(np.flatnonzero(s.prev >= 0), s.size):
+        log += _add_counts(p, sym, s.at[g], s.size[g], enter[:, g], leave[:, g], start, moves, emit)[0]
+    return start, moves, emit.T, log
+
+
+def _add_counts(p: Params, sym: np.ndarray, at: np.ndarray, size: np.ndarray, enter: np.ndarray | None,
+                leave: np.ndarray, start: np.ndarray, moves: np.ndarray, emit: np.ndarray) -> tuple[float, np.ndarray]:
+    """Adds the expected counts of segments (longest first, all first ones or none) to ``start``, ``moves`` and
+    ``emit``; their log likelihood given what comes before them, and the forward vectors at their ends."""
+    n = len(at)
+    begin, here, last = _steps(sym, at, size)
+    e = _emissions(p, here)
+    a, scale, scales = _forward(p, e, begin, enter)
+    ends = a[:, last]
+    c = ends.sum(axis=0)
+    g = _backward(p, e, begin, last, leave)
+    g *= a
+    total = np.sum(g, axis=0, out=_rows("total", 1, g.shape[1])[0])
+    # what the vectors before and behind give together: the same sum as at a token, in the scale of the one before
+    scale *= total
+    g /= total
+    e /= scale
+    both, t = np.zeros_like(moves), 1
+    same = np.diff(begin, n=2) == 0                      # places that as many segments reach as the one before
+    while t < len(begin) - 1:
+        to = t + 1
+        while same[t - 1] and to < len(begin) - 1 and same[to - 1]:
+            to += 1
+        lo, hi = begin[t], begin[to]
+        both += a[:, begin[t - 1]:begin[t - 1] + hi - lo] @ e[:, lo:hi].T
+        t = to
+    if enter is None:
+        start += g[:, :n].sum(axis=1)
+    else:
+        both += enter @ e[:, :n].T
+    moves += p.move * both
+    for i in range(len(emit)):
+        emit[i] += np.bincount(here, weights=g[i], minlength=emit.shape[1])
+    return float((scales + np.log(c)).sum()), ends / c
 
 
 def estimate(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, shape: np.ndarray) -> Params:
