@@ -23,6 +23,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -79,24 +80,23 @@ def unpack(raw: bytes) -> np.ndarray:
 
 
 class _Words(dict):
-    """Ids of the words of one language, given in the order of ``names``."""
+    """Ids of the words of one language, given by ``group``."""
 
-    def __init__(self, lang: str, names: list[tuple[str, bytes]]):
+    def __init__(self, group: _Group):
         super().__init__({b".": 0})
-        self.lang, self.names = lang, names
+        self.group = group
 
     def __missing__(self, word: bytes) -> int:
-        self.names.append((self.lang, word))
-        self[word] = len(self.names)
-        return len(self.names)
+        self.group.known += 1
+        self[word] = self.group.known
+        return self.group.known
 
 
 class _Group:
     """Consecutive shards with one vocabulary."""
 
     def __init__(self, number: int):
-        self.number, self.size, self.pending = number, 0, 0
-        self.names: list[tuple[str, bytes]] = []
+        self.number, self.size, self.pending, self.known = number, 0, 0, 0
         self.words: dict[str, _Words] = {}
         self.parts: list[np.ndarray] = []
         self.counts = np.zeros(1, dtype=np.int64)
@@ -104,15 +104,15 @@ class _Group:
     def add(self, lang: str, toks: list[bytes]) -> None:
         have = self.words.get(lang)
         if have is None:
-            have = self.words[lang] = _Words(lang, self.names)
-        self.parts.append(np.fromiter(map(have.__getitem__, toks), dtype=np.int64, count=len(toks)))
+            have = self.words[lang] = _Words(self)
+        self.parts.append(np.fromiter(map(have.__getitem__, toks), dtype=np.uint32, count=len(toks)))
         self.pending += len(toks)
 
     def shard(self) -> Iterator[pa.RecordBatch]:
         """What was added since the last shard."""
         if self.pending:
             ids = np.concatenate(self.parts)
-            counts = np.bincount(ids, minlength=len(self.names) + 1)
+            counts = np.bincount(ids, minlength=self.known + 1)
             counts[:len(self.counts)] += self.counts
             self.counts, self.parts = counts, []
             self.size, self.pending = self.size + self.pending, 0
@@ -120,13 +120,15 @@ class _Group:
                 pa.int32(), pa.string(), pa.binary(), pa.int64())], C.binary([pack(ids)])], names=_SHARD_COLUMNS)
 
     def vocabulary(self) -> Iterator[pa.RecordBatch]:
-        for lo in range(0, len(self.names), ROWS):
-            part = self.names[lo:lo + ROWS]
-            n = len(part)
-            yield pa.record_batch([
-                pa.array(np.full(n, self.number)), pa.array(np.arange(lo + 1, lo + n + 1), type=pa.int32()),
-                pa.array([x for x, _ in part], type=pa.string()), C.binary([w for _, w in part]),
-                pa.array(self.counts[lo + 1:lo + n + 1]), pa.nulls(n, type=pa.binary())], names=_SHARD_COLUMNS)
+        for lang, have in self.words.items():
+            items = islice(have.items(), 1, None)            # without the ends of pieces
+            while part := list(islice(items, ROWS)):
+                n = len(part)
+                local = np.fromiter((i for _, i in part), dtype=np.int32, count=n)
+                yield pa.record_batch([
+                    pa.array(np.full(n, self.number)), pa.array(local), pa.array([lang] * n, type=pa.string()),
+                    C.binary([w for w, _ in part]), pa.array(self.counts[local]), pa.nulls(n, type=pa.binary())],
+                    names=_SHARD_COLUMNS)
 
 
 _SHARD_COLUMNS = ["grp", "local", "lang", "word", "n", "ids"]
@@ -181,8 +183,12 @@ def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if int(key.max(initial=0)).bit_length() + bits > 63:
         order = np.argsort(key, kind="stable")
         return order, key[order]
-    both = np.sort(key << bits | np.arange(len(key)))       # far faster than sorting places by keys
-    return both & ((1 << bits) - 1), both >> bits
+    both = key << bits
+    both |= np.arange(len(key))
+    both.sort()                                             # far faster than sorting places by keys
+    order = both & ((1 << bits) - 1)
+    both >>= bits
+    return order, both
 
 
 class Index:
@@ -203,15 +209,21 @@ class Index:
         """The symbol before each place in sorted order, and the place which that symbol has in it."""
         rank, top, depth = text, self.symbols - 1, 1
         while depth < LONGEST:
-            order, key = _sorted(rank << top.bit_length() | np.roll(rank, -depth))
+            key = np.roll(rank, -depth)
+            key |= rank << top.bit_length()
+            order, key = _sorted(key)
             new = np.concatenate([[False], key[1:] != key[:-1]])
             rank = np.empty(len(text), dtype=np.int64)
             rank[order] = np.cumsum(new)
+            del key, new
             top, depth = int(rank[order[-1]]), depth * 2
-        before = text[order - 1]
-        step = np.empty(len(text), dtype=np.int64)
-        step[_sorted(before)[0]] = np.arange(len(text))
-        return before, step
+        del rank
+        order -= 1
+        before = text[order]
+        del order
+        step = np.empty(len(text), dtype=np.int32)          # kept as long as the index
+        step[_sorted(before)[0]] = np.arange(len(text), dtype=np.int32)
+        return before.astype(np.int32), step
 
     def side(self, which: int) -> tuple[np.ndarray, np.ndarray]:
         if self.sides[which] is None:
@@ -226,16 +238,18 @@ class Index:
     def _extend(self, which: int, lo: np.ndarray, other: np.ndarray, n: np.ndarray):
         before, step = self.side(which)
         begin = np.cumsum(n) - n
-        owner = np.repeat(np.arange(len(n)), n)
-        place = np.arange(len(owner)) + np.repeat(lo - begin, n)
+        place = np.repeat(lo - begin, n)
+        place += np.arange(len(place))
         bits = self.symbols.bit_length()
-        order, key = _sorted(owner << bits | before[place])
+        key = np.repeat(np.arange(len(n)) << bits, n)
+        key |= before[place]
+        order, key = _sorted(key)
         at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
         own, symbol = key[at] >> bits, key[at] & ((1 << bits) - 1)
         count = np.diff(np.append(at, len(key)))
         real = symbol > 0
         at, own, symbol, count = at[real], own[real], symbol[real], count[real]
-        return own, symbol, step[place[order[at]]], other[own] + at - begin[own], count
+        return own, symbol, step[place[order[at]]].astype(np.int64), other[own] + at - begin[own], count
 
     def left(self, lo: np.ndarray, back: np.ndarray, n: np.ndarray):
         """Every phrase with one word more on the left: ``row it extends, word, lo, back, n``."""
@@ -304,15 +318,38 @@ def _merged(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([rows[at, :2], np.add.reduceat(rows[:, 2], at)[:, None]], axis=1)
 
 
+def _by_key(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases of one shard by ascending key; a shard's counts have 32 bits."""
+    order = np.argsort(key)
+    return key[order], n[order].astype(np.uint32)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]], rows: int = ROWS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Phrases (keys, counts) of several shards, each by ascending key, as those of all, in order: range of keys by
+    range, so that beside the parts only about ``rows`` rows of them are held."""
+    at = [0] * len(parts)
+    while any(a < len(key) for a, (key, _) in zip(at, parts, strict=True)):
+        each = max(1, rows // len(parts))
+        last = min(key[min(a + each, len(key)) - 1] for a, (key, _) in zip(at, parts, strict=True) if a < len(key))
+        to = [int(np.searchsorted(key, last, side="right")) for key, _ in parts]
+        key = np.concatenate([key[a:z] for (key, _), a, z in zip(parts, at, to, strict=True)])
+        n = np.concatenate([n[a:z] for (_, n), a, z in zip(parts, at, to, strict=True)]).astype(np.int64)
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        yield key[first], np.add.reduceat(n, first)
+        at = to
+
+
 def pairs(encoded: DataFrame) -> DataFrame:
     """``grp, hi, lo, n``: the two-word phrases of each group."""
-    def found(row: dict) -> np.ndarray:
+    def found(row: dict) -> tuple[np.ndarray, np.ndarray]:
         _, _, key, _, _, n = _two(*_indexed(row["ids"], row["names"]))
-        return np.stack([key, np.zeros(len(n), np.int64), n], axis=1)
+        return _by_key(key, n)
 
-    def sent(number: int | None, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        rows = _merged(parts)
-        yield from _table({"grp": np.full(len(rows), number), "hi": rows[:, 0], "lo": rows[:, 1], "n": rows[:, 2]})
+    def sent(number: int | None, parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for key, n in _summed(parts):
+            yield from _table({"grp": np.full(len(key), number), "hi": key, "lo": np.zeros(len(key), np.int64), "n": n})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts = None, []

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -192,6 +193,34 @@ def test_long_text_is_cut_at_pieces():
     assert collocations.unpack(collocations.pack(ids[:0])).tolist() == []
 
 
+def test_group_is_held_in_little_memory():
+    """A group's words and the phrases of its shards: bytes per word, and what adding the shards up takes beside them."""
+    words = [b"word%07d" % i for i in range(100_000)]
+    tracemalloc.start()
+    group = collocations._Group(0)
+    for lo in range(0, len(words), 1000):
+        group.add("en", words[lo:lo + 1000])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    rows = [(b.column("local").to_pylist(), b.column("word").to_pylist(), b.column("lang").to_pylist(),
+             b.column("n").to_pylist()) for _ in [list(group.shard())] for b in group.vocabulary()]
+    assert sorted(r for cols in rows for r in zip(*cols, strict=True)) == [(i + 1, w, "en", 1) for i, w in enumerate(words)]
+    assert held < 120 * len(words), held
+    rng = np.random.default_rng(2)
+    shards = [(k, rng.integers(1, 9, len(k))) for k in (rng.choice(1 << 40, 100_000) >> 22 for _ in range(6))]
+    want = Counter()
+    for k, n in shards:
+        np.add.at(total := np.zeros(1 << 18, dtype=np.int64), k, n)
+        want.update({int(i): int(total[i]) for i in np.flatnonzero(total)})
+    parts = [collocations._by_key(*s) for s in [*shards, (np.empty(0, np.int64), np.empty(0, np.int64))]]
+    got = list(collocations._summed(parts, 1 << 12))
+    most = max(len(k) for k, _ in got)
+    key = np.concatenate([k for k, _ in got])
+    assert (np.diff(key) > 0).all() and most < 1 << 15
+    assert dict(zip(key.tolist(), np.concatenate([n for _, n in got]).tolist(), strict=True)) == want
+    assert list(collocations._summed([])) == []
+
+
 def test_index_counts_phrases():
     rng = np.random.default_rng(2)
     text = np.concatenate([[0], rng.integers(0, 5, 400)])
