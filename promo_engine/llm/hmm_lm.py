@@ -44,7 +44,7 @@ SEGMENT = 256
 SEGMENTS_AT_ONCE = 2048
 TOKENS_AT_ONCE = 1 << 17
 RESCALE = 8             # steps after which vectors are scaled to sum 1
-BLOCKS_AT_ONCE = 2
+BLOCKS_AT_ONCE = 2      # rows of blocks in a batch sent to Python, and in a row group of their files
 TEXTS_AT_ONCE = 256
 START_PASSES = 8
 PASSES = 3
@@ -356,6 +356,18 @@ def coded_blocks(rows: DataFrame, block_tokens: int, n_symbols: int) -> DataFram
     return rows.mapInArrow(run, _BLOCK)
 
 
+def written_blocks(rows: DataFrame, block_tokens: int, n_symbols: int) -> DataFrame:
+    """``coded_blocks``, written and read back.
+
+    Their rows have some 4 MB.  Row groups of a few keep what executors hold to
+    write and read them (row group, columns, (de)compressed pages outside the
+    heap) to a few blocks; else a page takes the codes of 100 blocks, or all
+    that a task writes.  Texts come in batches of few, too."""
+    with C.arrow_rows(rows.sparkSession, TEXTS_AT_ONCE):
+        return C.cut_lineage(coded_blocks(rows, block_tokens, n_symbols), "lm-blocks",
+                             **{"parquet.block.row.count.limit": str(BLOCKS_AT_ONCE)})
+
+
 class _Block:
     def __init__(self, row: dict, n_symbols: int):
         self.block = row["block"]
@@ -503,7 +515,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     rows = C.id_text(docs, id_col, text_col)
     out = F.coalesce(C.doc_fold(folds=folds) == held_out, F.lit(False))
     n_parts = C.parts_for(C.text_bytes(rows) // 24, range_entries)
-    blocks = C.cut_lineage(coded_blocks(rows.withColumn("train", ~out), block_tokens, symbols), "lm-blocks")
+    blocks = written_blocks(rows.withColumn("train", ~out), block_tokens, symbols)
     with C.arrow_rows(docs.sparkSession, BLOCKS_AT_ONCE):
         answers = C.cut_lineage(_asks(blocks, n_parts, symbols).groupBy("part").applyInArrow(_counted(symbols), _ANSWER),
                                 "lm-counts")

@@ -74,9 +74,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Write ``df`` as a parquet table in the shared checkpoint folder and
-    read it back.
+def cut_lineage(df: DataFrame, name: str = "cut", **options: str) -> DataFrame:
+    """Write ``df`` as a parquet table (with the writer's ``options``) in the
+    shared checkpoint folder and read it back.
 
     Truncates the plan before iterative stages (model fit, Lloyd passes,
     choice of k) and survives executor loss (files, not executor memory).
@@ -85,7 +85,7 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.parquet(path)
 
 

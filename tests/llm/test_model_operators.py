@@ -2,8 +2,10 @@
 
 import tracemalloc
 import zlib
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +108,26 @@ def test_hmm_passes_read_all_blocks(llm, monkeypatch):
     assert len(read) == 3 and len(set(read)) == 1 and read[0] > 12
 
 
+def test_hmm_blocks_are_read_and_written_a_few_at_a_time(llm, monkeypatch):
+    """However many blocks a task writes, a row group (and so a page, and a batch of the reader) holds a few; texts
+    come to Python in small batches."""
+    kept, batches, cut, coded = {}, [], hmm_lm.C.cut_lineage, hmm_lm.coded_blocks
+
+    def noted(df, name, **options):
+        batches.append((name, int(llm.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))))
+        kept[name] = cut(df, name, **options)
+        return kept[name]
+    monkeypatch.setattr(hmm_lm.C, "cut_lineage", noted)
+    monkeypatch.setattr(hmm_lm, "coded_blocks", lambda rows, *a: coded(rows.coalesce(1), *a))
+    texts = [" ".join(f"w{(i * j) % 13}" for j in range(40)) for i in range(120)]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert hmm_lm.score(docs, block_tokens=100, symbols=8, states=2, start_passes=1, passes=1).count() == len(texts)
+    groups = [m.row_group(i).num_rows for m in (pq.read_metadata(urlparse(f).path) for f in kept["lm-blocks"].inputFiles())
+              for i in range(m.num_row_groups)]
+    assert sum(groups) == 40 and max(groups) <= hmm_lm.BLOCKS_AT_ONCE
+    assert dict(batches)["lm-blocks"] <= hmm_lm.TEXTS_AT_ONCE
+
+
 def test_hmm_empty_and_untrained(empty, llm):
     assert hmm_lm.score(empty).count() == 0
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 1)
