@@ -165,6 +165,18 @@ def texts_of(table: pa.Table | pa.RecordBatch, name: str = "text") -> list[bytes
                                                       else pa.binary()).to_pylist()]
 
 
+def byte_strings(values: pa.Array) -> list[bytes]:
+    """The values of a binary array without nulls (a third of the time of ``to_pylist``, for many short ones)."""
+    values = values.cast(pa.large_binary())
+    if len(values) == 0:
+        return []
+    at = np.frombuffer(values.buffers()[1], dtype="<i8")[values.offset:values.offset + len(values) + 1]
+    lo, hi = int(at[0]), int(at[-1])
+    data = values.buffers()[2].slice(lo, hi - lo).to_pybytes() if hi > lo else b""
+    at = (at - lo).tolist()
+    return [data[a:z] for a, z in zip(at, at[1:], strict=False)]
+
+
 def each_row(batch: pa.RecordBatch) -> Iterator[dict]:
     """The rows as dicts, one at a time: for batches of few, large rows."""
     for i in range(batch.num_rows):

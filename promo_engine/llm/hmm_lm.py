@@ -46,6 +46,7 @@ TOKENS_AT_ONCE = 1 << 17
 RESCALE = 8             # steps after which vectors are scaled to sum 1
 BLOCKS_AT_ONCE = 2      # rows of blocks in a batch sent to Python, and in a row group of their files
 TEXTS_AT_ONCE = 256
+PASS_BYTES = 64 << 20   # of the blocks' files to a task of a pass; each task sends sums of all symbols
 START_PASSES = 8
 PASSES = 3
 TOLERANCE = 5e-4        # share of its log likelihood that a pass must gain for another one to follow
@@ -397,8 +398,9 @@ _ANSWER = "part int, block bigint, counts binary, symbols binary, seen binary, t
 def _asks(blocks: DataFrame, n_parts: int, n_symbols: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in C.each_row(batch):
-                b = _Block(row, n_symbols)
+            words = batch.column("words")
+            for i, row in enumerate(C.each_row(batch.drop_columns(["words"]))):
+                b = _Block(row | {"words": C.byte_strings(words.slice(i, 1).flatten())}, n_symbols)
                 if not b.words:
                     continue
                 counts = np.bincount(b.codes[b.in_training()], minlength=len(b.words) + 1)[1:].astype("<i4")
@@ -406,9 +408,10 @@ def _asks(blocks: DataFrame, n_parts: int, n_symbols: int) -> DataFrame:
                 order = np.argsort(part, kind="stable")
                 cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
                 ends = np.append(cuts[1:], len(order))
+                sent = [b.words[i] for i in order.tolist()]
                 yield pa.record_batch([
                     pa.array(part[order][cuts], type=pa.int32()), pa.array([b.block] * len(cuts), type=pa.int64()),
-                    C.binary([b" ".join([b.words[i] for i in order[a:z]]) for a, z in zip(cuts, ends, strict=True)]),
+                    C.binary([b" ".join(sent[a:z]) for a, z in zip(cuts, ends, strict=True)]),
                     C.binary([counts[order[a:z]].tobytes() for a, z in zip(cuts, ends, strict=True)])],
                     names=["part", "block", "words", "counts"])
     return blocks.mapInArrow(run, _ASK)
@@ -475,7 +478,8 @@ def _pass(blocks: DataFrame, p: Params, n_symbols: int) -> tuple[np.ndarray, np.
     sums = (blocks.select("block", "train", "sizes", "codes", "symbols")
             .mapInArrow(run, "at int, " + ", ".join(f"{n} double" for n in names))
             .groupBy("at").agg(*(F.sum(n).alias(n) for n in names)))
-    with C.arrow_rows(blocks.sparkSession, BLOCKS_AT_ONCE):
+    with C.arrow_rows(blocks.sparkSession, BLOCKS_AT_ONCE), C.settings(
+            blocks.sparkSession, {"spark.sql.files.maxPartitionBytes": str(PASS_BYTES)}):
         got = sums.toArrow()
     acc = np.zeros((n_symbols + 1 + k + 2, k))
     if got.num_rows:
@@ -530,9 +534,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
         cols = {k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
         for row in table.to_pylist():
             b = _Block(row, symbols)
-            count = np.zeros(len(b.words) + 1, dtype=np.int64)
+            count = np.zeros(len(b.symbol), dtype=np.int64)
             count[0] = ends
-            if b.words:
+            if len(count) > 1:
                 got = sorted(zip(told.column("part").to_pylist(), told.column("counts").to_pylist(), strict=True))
                 order = np.argsort(b.parts(n_parts, symbols), kind="stable")
                 count[1 + order] = np.concatenate([np.frombuffer(c, dtype="<i8") for _, c in got])
@@ -550,7 +554,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
             cols["score"] += (path / np.log(10) + add(within)).tolist()
         types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         return pa.table([pa.array(c, type=t) for c, t in zip(cols.values(), types, strict=True)], names=list(cols))
-    scored = (blocks.groupBy("block").cogroup(answers.where("block is not null").select("block", "part", "counts")
+    # words are only needed where a symbol's words are dealt to several ranges
+    coded = blocks if n_parts > symbols else blocks.drop("words")
+    scored = (coded.groupBy("block").cogroup(answers.where("block is not null").select("block", "part", "counts")
                                               .groupBy("block"))
               .applyInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
                                  "base_score double, score double"))

@@ -5,11 +5,12 @@ import zlib
 from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from promo_engine.llm import hmm_lm, mixing, quality
+from promo_engine.llm import common, hmm_lm, mixing, quality
 
 
 def chain(rng, k=3, m=5):
@@ -128,6 +129,14 @@ def test_hmm_blocks_are_read_and_written_a_few_at_a_time(llm, monkeypatch):
     assert dict(batches)["lm-blocks"] <= hmm_lm.TEXTS_AT_ONCE
 
 
+def test_byte_strings_are_the_values():
+    words = [b"a", b"", "Ünï".encode(), b"x" * 300, b"b"]
+    for kind in (pa.binary(), pa.large_binary()):
+        lists = pa.array([words, [], words[3:]], type=pa.list_(kind))
+        got = [common.byte_strings(lists.slice(i, 1).flatten()) for i in range(3)]
+        assert got == lists.to_pylist() and common.byte_strings(pa.array([b""], type=kind)) == [b""]
+
+
 def test_hmm_empty_and_untrained(empty, llm):
     assert hmm_lm.score(empty).count() == 0
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 1)
