@@ -62,7 +62,7 @@ def test_written_fields_need_no_plan(spark, sf, tmp_path):
     """A second call neither builds the source nor writes; a replaced file does both."""
     import shutil
     for t in ("lineitem", "orders"):
-        shutil.copy(f"{sf}/{t}.parquet", tmp_path / f"{t}.parquet")
+        shutil.copyfile(f"{sf}/{t}.parquet", tmp_path / f"{t}.parquet")
     d, calls = str(tmp_path), []
 
     def source():
